@@ -7,10 +7,30 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewheel.llm import language_id, quality, toxicity
+from tidewheel.llm import language_id, quality, separator_scan, token_files, toxicity
 from tidewheel.llm.common import documents, remainder
 
 
+def tokenizer(name: str) -> str:
+    """A public vocabulary's file; the folder is the setting ``spark.tidewheel.tokenizers``, else the installed one."""
+    spark = SparkSession.getActiveSession()
+    folder = spark.conf.get("spark.tidewheel.tokenizers", None) if spark else None
+    if folder:
+        return f"{folder.rstrip('/')}/{name}"
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files.roundtrip(documents(spark, sf_dir, "doc_id", "text"), tokenizer("word_bpe_49k.json"))
+
+
+def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir, "doc_id", "text")
+    return separator_scan.counts(docs, tokenizer("word_bpe_49k.json"), end_id=49407)
+
+
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = documents(spark, sf_dir, "doc_id", "text"), spark.read.parquet(f"{sf_dir}/labels.parquet")
     held = remainder("doc_id", 4) == 2
@@ -36,7 +56,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op7_toxicity, op8_quality, op10_language_id)}
+    return {f.__name__: f for f in (op2_token_files, op6_token_counts, op7_toxicity, op8_quality, op10_language_id)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewheel.llm import language_id, quality, separator_scan, token_files, toxicity
+from tidewheel.llm import edit_embedding, gif_media, language_id, near_dedup, quality, separator_scan, token_files, toxicity
 from tidewheel.llm.common import documents, remainder
 
 
@@ -22,10 +22,22 @@ def tokenizer(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_edit_embedding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return edit_embedding.with_next(documents(spark, sf_dir, "doc_id", "text"))
+
+
 def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.roundtrip(documents(spark, sf_dir, "doc_id", "text"), tokenizer("word_bpe_49k.json"))
 
 
+def op3_gif(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return gif_media.features(gif_media.store_texts(documents(spark, sf_dir, "doc_id", "text")))
+
+
+def op5_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(documents(spark, sf_dir, "doc_id", "text"), percent=85)
+
+
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir, "doc_id", "text")
     return separator_scan.counts(docs, tokenizer("word_bpe_49k.json"), end_id=49407)
@@ -56,7 +68,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_token_files, op6_token_counts, op7_toxicity, op8_quality, op10_language_id)}
+    return {f.__name__: f for f in (op1_edit_embedding, op2_token_files, op3_gif, op5_minhash_dedup, op6_token_counts, op7_toxicity, op8_quality, op10_language_id)}
 
 
 def oracle_sql() -> dict[str, str]:

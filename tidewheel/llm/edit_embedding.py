@@ -32,7 +32,7 @@ from tidewheel.llm.linking import by_unit, components, units
 #: Steps of the walk that a fingerprint keeps, about: between half of it and all.
 BITS = 512
 #: Characters walked together.
-TOGETHER = 1 << 24
+TOGETHER = 1 << 23
 _A, _B = np.uint32(0x9E3779B1), np.uint32(0x85EBCA77)
 
 
@@ -49,8 +49,11 @@ def walk(texts: list[np.ndarray]) -> list[tuple[int, np.ndarray]]:
         return out
     n = np.array([len(texts[i]) for i in order])
     level = np.array([level_of(k) for k in n])
-    flat = np.concatenate([*(texts[i] for i in order), np.zeros(1, np.uint32)]) * _A
-    flat ^= flat >> np.uint32(15)
+    flat = np.concatenate([*(texts[i] for i in order), np.zeros(1, np.uint32)])
+    texts = []
+    flat *= _A
+    for lo in range(0, len(flat), 1 << 20):
+        flat[lo : lo + (1 << 20)] ^= flat[lo : lo + (1 << 20)] >> np.uint32(15)
     ends = np.cumsum(n)
     at = ends - n
     room = 2 * BITS

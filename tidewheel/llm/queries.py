@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewheel.llm import edit_embedding, gif_media, language_id, near_dedup, quality, separator_scan, token_files, toxicity
+from tidewheel.llm import edit_embedding, gif_media, language_id, mixing, near_dedup, quality, sentencepiece_codec, separator_scan, token_files, toxicity
 from tidewheel.llm.common import documents, remainder
 
 
@@ -34,6 +34,10 @@ def op3_gif(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gif_media.features(gif_media.store_texts(documents(spark, sf_dir, "doc_id", "text")))
 
 
+def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mixture(documents(spark, sf_dir, "doc_id", "source", "text"))
+
+
 def op5_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(documents(spark, sf_dir, "doc_id", "text"), percent=85)
 
@@ -59,6 +63,10 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", held.alias("held_out"), "score", "predicted")
 
 
+def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentencepiece_codec.digests(documents(spark, sf_dir, "doc_id", "text"), tokenizer("piece_bpe_32k.model"))
+
+
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir, "doc_id", "text", "lang")
     held = remainder("doc_id", 3) == 1
@@ -67,9 +75,15 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", held.alias("held_out"), "lang_pred", "score")
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_edit_embedding, op2_token_files, op3_gif, op5_minhash_dedup, op6_token_counts, op7_toxicity, op8_quality, op10_language_id)}
+    return {f.__name__: f for f in (op1_edit_embedding, op2_token_files, op3_gif, op4_mixing, op5_minhash_dedup, op6_token_counts, op7_toxicity, op8_quality, op9_sentencepiece, op10_language_id, pipeline)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op4_mixing": mixing.mixture_sql()}

@@ -2,16 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from tidewheel.plans import lookups, series, skies
+from tidewheel.plans.tables import Query
 
-from pyspark.sql import DataFrame, SparkSession
-
-Query = Callable[[SparkSession, str], DataFrame]
+BOOKS = (lookups.book, series.book, skies.book)
 
 
 def queries() -> dict[str, Query]:
-    return {}
+    return {k: f for b in BOOKS for k, f in b.queries.items()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {k: s for b in BOOKS for k, s in b.oracle.items()}

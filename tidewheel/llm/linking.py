@@ -54,7 +54,7 @@ def by_unit(rows: DataFrame, f: Callable[[dict, list], Iterator[pa.RecordBatch]
     return rows.select(*UNIT, *names).repartition(*UNIT).sortWithinPartitions(*UNIT, "node").mapInArrow(apply, schema)
 
 
-def common(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray, columns: int = 8192) -> np.ndarray:
+def common(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray, columns: int = 2048) -> np.ndarray:
     """Sizes of the intersections of the sets ``left`` with the sets ``right`` (row numbers), by products of incidence matrices over the values that two sets or more hold."""
     flat = np.concatenate(sets) if sets else np.zeros(0, np.uint64)
     if not len(flat):

@@ -35,7 +35,7 @@ from tidewheel.llm.common import chunks, mix64, stored
 from tidewheel.llm.linking import UNIT, by_unit, common, components, forest, units
 
 WORDS, KEPT, KEYS, COMMON, COMMON_KEYS, BLOCK = 5, 64, 12, 256, 8, 512
-PIECE = 1 << 21
+PIECE = 1 << 19
 _R = 0x9E3779B97F4A7C15 | 1
 _STEP = np.array([0xA24BAED4963EE407, 0x9FB21C651E98DF25, 0xD6E8FEB86659FD93, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9], np.uint64)
 
@@ -57,7 +57,7 @@ def shingle_sets(texts: list[str | None]) -> Iterator[np.ndarray]:
 
 def _sets(raw: list[bytes]) -> Iterator[np.ndarray]:
     buf = np.frombuffer(b"\n".join(raw) + b"\n", np.uint8)
-    size = 1 << max(20, int(len(buf)).bit_length())
+    size = 1 << max(18, int(len(buf)).bit_length())
     up, down = _powers(size)
     white = (buf == 32) | ((buf >= 9) & (buf <= 13))
     edge = np.flatnonzero(np.diff(np.concatenate([[True], white]).view(np.int8)))
@@ -86,10 +86,11 @@ def sketches(docs: DataFrame) -> DataFrame:
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             n, key, kept = [], [], []
-            for s in shingle_sets(batch.column(1).to_pylist()):
-                n.append(len(s))
-                key.append(hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None)
-                kept.append(s[:KEPT].astype(np.int64))
+            for lo in range(0, batch.num_rows, 256):
+                for s in shingle_sets(batch.column(1)[lo : lo + 256].to_pylist()):
+                    n.append(len(s))
+                    key.append(hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None)
+                    kept.append(s[:KEPT].astype(np.int64))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(key, pa.binary()), pa.array(kept, pa.list_(pa.int64()))], names=["doc_id", "n_shingles", "key", "sketch"])
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(apply, "doc_id long, n_shingles long, key binary, sketch array<long>")
@@ -147,8 +148,8 @@ def candidates(listed: DataFrame, threshold: float) -> DataFrame:
         for r, k in enumerate(keys):
             listing[r, : len(k)] = k
         marked = np.zeros(len(kept), bool)
-        for lo in range(0, len(i), 4096):
-            a, b = i[lo : lo + 4096], j[lo : lo + 4096]
+        for lo in range(0, len(i), 2048):
+            a, b = i[lo : lo + 2048], j[lo : lo + 2048]
             near = (estimates(table[a], table[b], KEPT) >= threshold - margin) & (node[a] != node[b])
             a, b = a[near], b[near]
             same = (listing[a][:, :, None] == listing[b][:, None, :]) & (listing[a] >= 0)[:, :, None]
@@ -188,10 +189,9 @@ def full_sets(docs: DataFrame) -> DataFrame:
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column(1).to_pylist()
-            for lo in range(0, len(texts), 512):
-                sets = [s.tobytes() for s in shingle_sets(texts[lo : lo + 512])]
-                yield pa.RecordBatch.from_arrays([batch.column(0)[lo : lo + 512], pa.array(sets, pa.binary())], names=["node", "full"])
+            for lo in range(0, batch.num_rows, 256):
+                sets = [s.tobytes() for s in shingle_sets(batch.column(1)[lo : lo + 256].to_pylist())]
+                yield pa.RecordBatch.from_arrays([batch.column(0)[lo : lo + 256], pa.array(sets, pa.binary())], names=["node", "full"])
 
     return docs.select(F.col("doc_id").cast("long").alias("node"), "text").mapInArrow(apply, "node long, full binary")
 

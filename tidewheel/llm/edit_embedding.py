@@ -26,8 +26,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewheel.llm.common import codes, in_order, stored
-from tidewheel.llm.linking import by_unit, components, units
+from tidewheel.llm.common import chunks, codes, in_order, stored
+from tidewheel.llm.linking import by_unit, components, forest, units
 
 #: Steps of the walk that a fingerprint keeps, about: between half of it and all.
 BITS = 512
@@ -41,8 +41,8 @@ def level_of(n_chars: int) -> int:
     return max(0, int(np.ceil(np.log2(max(1, 2 * n_chars) / BITS))))
 
 
-def walk(texts: list[np.ndarray]) -> list[tuple[int, np.ndarray]]:
-    """(level, bits) of each text's code points."""
+def walk(texts: list[np.ndarray], seed: int = 0) -> list[tuple[int, np.ndarray]]:
+    """(level, bits) of each text's code points; every seed is a walk rule of its own."""
     out: list[tuple[int, np.ndarray]] = [(0, np.zeros(0, np.uint8))] * len(texts)
     order = sorted((i for i in range(len(texts)) if len(texts[i])), key=lambda i: -len(texts[i]))
     if not order:
@@ -60,7 +60,7 @@ def walk(texts: list[np.ndarray]) -> list[tuple[int, np.ndarray]]:
     bits, kept = np.zeros((len(order), room), np.uint8), np.zeros(len(order), np.int64)
     # the first text whose level is not above v, for each v
     finest = np.searchsorted(-level, -np.arange(int(level.max()) + 1), side="left")
-    rng = np.random.default_rng(20240817)  # the same walk for every batch
+    rng = np.random.default_rng(20240817 + seed)  # the same walk for every batch
     live, step = len(order), 0
     while live:
         cursor, stop = at[:live], ends[:live]
@@ -112,13 +112,15 @@ def edited(text: str, following: str) -> str:
     return text[: len(text) - k] + following[:k]
 
 
-def fingerprints(docs: DataFrame) -> DataFrame:
+def fingerprints(docs: DataFrame, seed: int = 0) -> DataFrame:
     """(doc_id, fingerprint, sha256) of (doc_id, text) rows."""
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = [t or "" for t in batch.column(1).to_pylist()]
-            prints = [text_of(*w) for w in walk([codes(t) for t in texts])]
+            prints = []
+            for lo, hi in chunks(texts, TOGETHER):
+                prints += [text_of(*w) for w in walk([codes(t) for t in texts[lo:hi]], seed)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(prints), pa.array([hashlib.sha256(t.encode()).hexdigest() for t in texts])], names=["doc_id", "fingerprint", "sha256"])
 
     return docs.select("doc_id", "text").mapInArrow(apply, docs.select("doc_id").schema.add("fingerprint", "string").add("sha256", "string"))
@@ -167,16 +169,29 @@ def with_next(docs: DataFrame) -> DataFrame:
     return ordered.select("doc_id", "text", "_part", "_echo").mapInArrow(apply, schema)
 
 
-def near_classes(docs: DataFrame, threshold: float = 0.8, bands: int = 24, width: int = 14, block: int = 512) -> DataFrame:
+def near_classes(docs: DataFrame, threshold: float = 0.6, walks: int = 3, bands: int = 24, width: int = 14, block: int = 512) -> DataFrame:
     """(doc_id, class_id): documents joined by fingerprints with a likeness of ``threshold`` or more, named by their smallest doc_id.
 
-    Equal texts form one class at once. Each class' representative is listed under ``bands`` samples of ``width``
-    bits, at its own level and the next coarser one; every list is worked through in pairs of blocks, where the
-    whole fingerprints verify. Rows with a null doc_id stay alone, with a null class_id.
+    A walk that an insertion throws out of step comes back after a time without a bound on its mean, so ``walks``
+    rules are tried, and a pair is alike if it is under one of them. Equal texts form one class at once. Rows with
+    a null doc_id stay alone, with a null class_id.
     """
-    rows = stored(fingerprints(docs), "fingerprints")
-    classes = rows.where("doc_id is not null").groupBy("sha256").agg(F.min("doc_id").cast("long").alias("node"), F.first("fingerprint").alias("print"))
-    classes = stored(classes, "fingerprint-classes")
+    rows = stored(docs.select("doc_id", F.sha2(F.coalesce("text", F.lit("")), 256).alias("sha256")), "text-digests")
+    classes = rows.where("doc_id is not null").groupBy("sha256").agg(F.min("doc_id").cast("long").alias("node"))
+    classes = stored(classes, "text-classes")
+    texts = docs.join(classes.select(F.col("node").alias("doc_id")), "doc_id", "left_semi")
+    links = None
+    for seed in range(walks):
+        own = _links(texts, threshold, bands, width, block, seed)
+        links = own if links is None else links.unionByName(own)
+    named = classes.join(components(links), "node", "left").select("sha256", F.coalesce("label", "node").alias("class_id"))
+    found = rows.where("doc_id is not null").join(named, "sha256").select("doc_id", "class_id")
+    return found.unionByName(rows.where("doc_id is null").select("doc_id", F.lit(None).cast("long").alias("class_id")))
+
+
+def _links(texts: DataFrame, threshold: float, bands: int, width: int, block: int, seed: int) -> DataFrame:
+    """(a, b): verified links under one walk rule. Each text is listed under ``bands`` samples of ``width`` bits, at its own level and the next coarser one."""
+    prints = stored(fingerprints(texts, seed).select(F.col("doc_id").cast("long").alias("node"), F.col("fingerprint").alias("print")), "fingerprints")
     places = np.random.default_rng(7).integers(0, BITS // 4, (bands, width))
 
     def lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -192,30 +207,15 @@ def near_classes(docs: DataFrame, threshold: float = 0.8, bands: int = 24, width
                         node.append(n)
             yield pa.RecordBatch.from_arrays([pa.array(value, pa.int64()), pa.array(node, pa.int64())], names=["value", "node"])
 
-    listed = units(classes.select("node", "print").mapInArrow(lists, "value long, node long").distinct(), block)
-
     def verify(unit: tuple, rows: pa.Table) -> Iterator[pa.RecordBatch]:
         own, node = rows.column("own").to_numpy(), rows.column("node").to_numpy()
-        prints = [bits_of(p) for p in rows.column("print").to_pylist()]
+        fp = [bits_of(p) for p in rows.column("print").to_pylist()]
         left, right = np.flatnonzero(own == unit[1]), np.flatnonzero(own == unit[2])
-        up = list(range(len(node)))
-
-        def root(x: int) -> int:
-            while up[x] != x:
-                up[x] = up[up[x]]
-                x = up[x]
-            return x
-
-        for i in left.tolist():
-            for j in right.tolist():
-                if (i < j or unit[1] != unit[2]) and (x := root(i)) != (y := root(j)) and likeness(prints[i], prints[j]) >= threshold:
-                    up[max(x, y)] = min(x, y)
-        got = [(node[root(x)], node[x]) for x in range(len(node)) if root(x) != x]
-        if got:
-            a, b = (np.array(c, np.int64) for c in zip(*got, strict=True))
-            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
-
-    labels = components(by_unit(listed.join(classes.select("node", "print"), "node"), verify, "a long, b long"))
-    named = classes.select("sha256", "node").join(labels, "node", "left").select("sha256", F.coalesce("label", "node").alias("class_id"))
-    found = rows.where("doc_id is not null").select("doc_id", "sha256").join(named, "sha256").select("doc_id", "class_id")
-    return found.unionByName(rows.where("doc_id is null").select("doc_id", F.lit(None).cast("long").alias("class_id")))
+        pairs = [(i, j) for i in left.tolist() for j in right.tolist() if (i < j or unit[1] != unit[2]) and likeness(fp[i], fp[j]) >= threshold]
+        joined = forest(len(node), *(np.array([p[k] for p in pairs], int) for k in (0, 1)))
+        if joined:
+            x, y = (np.array(c) for c in zip(*joined, strict=True))
+            yield pa.RecordBatch.from_arrays([pa.array(node[x]), pa.array(node[y])], names=["a", "b"])
+
+    listed = units(prints.mapInArrow(lists, "value long, node long").distinct(), block)
+    return by_unit(listed.join(prints, "node"), verify, "a long, b long")

@@ -206,7 +206,7 @@ class Model:
             pairs(r[some], before[some])
         alive = sym != gone
         strange = ((sym < 0) & alive).any(1)
-        flat = self.ids[sym[alive]].astype("<u4").tobytes()
+        flat = self.ids[np.maximum(sym[alive], 0)].astype("<u4").tobytes()
         ends = 4 * np.cumsum(alive.sum(1))
         return [self._ids(sym[k][alive[k]]) if odd else flat[lo:hi] for k, (odd, lo, hi) in enumerate(zip(strange.tolist(), [0, *ends.tolist()], ends.tolist(), strict=False))]
 
@@ -238,8 +238,8 @@ class Model:
         return [place[self.by_text[t][1]] if t in self.by_text else -1 - ord(t) for t in text if t]
 
     def _rows(self, symbols: np.ndarray) -> list[bytes]:
-        """The ids of each row of symbols, all of them pieces."""
-        data, n = self.ids[symbols].astype("<u4").tobytes(), 4 * symbols.shape[1]
+        """The ids of each row of symbols; meaningless for those that are no pieces."""
+        data, n = self.ids[np.maximum(symbols, 0)].astype("<u4").tobytes(), 4 * symbols.shape[1]
         return [data[k : k + n] for k in range(0, len(data), n)]
 
     def _ids(self, symbols: np.ndarray | list[int]) -> bytes:

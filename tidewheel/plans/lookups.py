@@ -530,3 +530,11 @@ def _(spark: SparkSession, d: str) -> DataFrame:
     from tidewheel.operators.nearby import nearest_on_sky
 
     return nearest_on_sky(regions(spark, d), fields(spark, d), "region", "field", 15.0)
+
+
+@Q("jn17_match_or_null", "with m as (INNER) select r.region, m.field, m.sep from regions r left join m using (region)".replace("INNER", book.plain["jn16_nearest_field"].replace("<= 15", "<= 6")))
+def _(spark: SparkSession, d: str) -> DataFrame:
+    from tidewheel.operators.nearby import nearest_on_sky
+
+    near = nearest_on_sky(regions(spark, d), fields(spark, d), "region", "field", 6.0)
+    return regions(spark, d).select("region").join(near, "region", "left")

@@ -144,7 +144,7 @@ def _(spark: SparkSession, d: str) -> DataFrame:
     return samples(spark, d).select("sample", F.round(K.knee(F.lit(2.0), F.col("w"), F.lit(-1.5)), 9).alias("knee"))
 
 
-@Q("jn17_field_of_region", "select region, field from regions r join fields f on round(r.l, 6) = round(f.l + 0.25, 6)")
+@Q("jn19_rounded_coordinates", "select region, field from regions r join fields f on round(r.l, 6) = round(f.l + 0.25, 6)")
 def _(spark: SparkSession, d: str) -> DataFrame:
     r = regions(spark, d).select("region", F.round("l", 6).alias("key"))
     return r.join(fields(spark, d).select("field", F.round(F.col("l") + 0.25, 6).alias("key")), "key").select("region", "field")

@@ -111,6 +111,7 @@ class Book:
     def __init__(self) -> None:
         self.queries: dict[str, Query] = {}
         self.oracle: dict[str, str] = {}
+        self.plain: dict[str, str] = {}  # SQL without the tables' definitions
 
     def add(self, name: str, sql: str | None = None) -> Callable[[Query], Query]:
         def put(f: Query) -> Query:
@@ -118,7 +119,7 @@ class Book:
                 raise ValueError(f"two queries are called {name}")
             self.queries[name] = f
             if sql:
-                self.oracle[name] = with_tables(sql)
+                self.oracle[name], self.plain[name] = with_tables(sql), sql
             return f
 
         return put

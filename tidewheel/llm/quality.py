@@ -1,6 +1,7 @@
 """Quality classifier: naive Bayes support vectors.
 
-A document's features are indicators of the hashed character n-grams (orders 1 to 4, case kept) that occur in it.
+A document's features are indicators of the hashed character n-grams (orders 1 to 4, case kept) that occur in it,
+and of how many of its word pairs repeat one word: reserved buckets for a share of at least 1, 1/2, 1/4 and so on.
 Each indicator is scaled by its class log-count ratio; a linear hinge-loss model on these is fitted by dual
 coordinate descent, and its margin is turned into a probability by a two-parameter sigmoid. The fit uses at most
 ``most_docs`` labelled documents of each class.
@@ -14,6 +15,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from operator import eq
 
 import numpy as np
 import pyarrow as pa
@@ -23,6 +25,8 @@ from pyspark.sql import functions as F
 from tidewheel.llm.common import bounded_ids, codes
 
 BUCKETS = 1 << 16
+#: The reserved buckets' number.
+SHARES = 10
 PIECE = 1 << 20
 
 
@@ -38,6 +42,9 @@ def indicators(text: str, seen: np.ndarray) -> np.ndarray:
             nxt = x[order:]
             h = ((h[:-1] ^ (h[:-1] >> np.uint32(15))) + nxt) * np.uint32(mult)
             seen[h >> np.uint32(16)] = True
+    words = text.split()
+    again = sum(map(eq, words, words[1:]))
+    seen[-SHARES:] = again > 0 and (again << np.arange(SHARES)) >= len(words) - 1
     out = np.flatnonzero(seen)
     seen[out] = False
     return out

@@ -1,9 +1,9 @@
 """Toxicity: a weighted lexicon matched by Aho-Corasick over folded text.
 
-Folding lower-cases, drops accents of Latin letters' look-alikes, maps homoglyphs to Latin letters and, inside
-words, digits and signs that stand for letters. The lexicon holds word beginnings with log-odds weights, learned
+Folding lower-cases, takes compatibility forms and accents off, maps Cyrillic and Greek look-alikes to Latin
+letters and, inside words of which a third are letters, digits and signs to the letters they stand for. The lexicon holds word beginnings with log-odds weights, learned
 from labelled documents (or given); exception phrases, learned or given, take back the hits inside them. A
-document's score is a logistic function of its total weight and of its weight for its length.
+document's score is a logistic function of the total weight of its different words and of that weight for its length.
 
 Rows: one for each input row. A null text counts as empty; empty texts have the score of no hit. Null or
 contradicting labels are not learned from; without labelled rows of both classes the lexicon is empty and the
@@ -33,21 +33,24 @@ LEET = dict(zip("013457@$", "oieastas", strict=True))
 _GLYPHS = str.maketrans(HOMOGLYPHS)
 _LEET = str.maketrans(LEET)
 _MIXED = re.compile(r"[0-9@$]*[^\W\d_][\w@$]*[0-9@$]\w*|[0-9@$]+[^\W\d_][\w@$]*")
-_INNER = re.compile(r"(?<=[^\W\d_])[.*\-_'](?=[^\W\d_](?:[.*\-_'][^\W\d_])+)")
+_ACCENT = re.compile("[\u0300-\u036f]+")
 _GAP = re.compile(r"[\W_]+")
 SHORTEST, LONGEST = 4, 12
+#: How far from chance an entry's counts must be: far, as copies make counts larger than independent texts would.
+SURPRISE = 40.0
+LEAST_WEIGHT = 3.0
 
 
 def _leet(m: re.Match) -> str:
     w = m.group()
-    return w.translate(_LEET) if sum(c.isalpha() for c in w) * 2 >= len(w) else w
+    return w.translate(_LEET) if sum(c.isalpha() for c in w) * 3 >= len(w) else w
 
 
 def fold(text: str | None) -> str:
     """Words of ``text``, folded, each after one space, and a space at the end."""
-    t = unicodedata.normalize("NFKC", text or "").lower()
+    t = (text or "").lower()
     if not t.isascii():
-        t = t.translate(_GLYPHS)
+        t = _ACCENT.sub("", unicodedata.normalize("NFKD", t)).translate(_GLYPHS)
     if _MIXED.search(t):
         t = _MIXED.sub(_leet, t)
     return f" {_GAP.sub(' ', t).strip()} "
@@ -75,10 +78,11 @@ class Model:
             return 0.0
         found = [(end - n + 1, end, weight, free) for end, (n, weight, free) in a.iter(folded)]
         spared = [(s, e) for s, e, _, free in found if free]
-        best: dict[int, float] = {}  # the heaviest entry at each word's beginning
+        best: dict[str, float] = {}  # each different word's heaviest entry: saying it often adds nothing
         for s, e, weight, free in found:
             if not free and not any(lo <= s and e <= hi for lo, hi in spared):
-                best[s] = max(best.get(s, weight), weight)
+                word = folded[s + 1 : folded.index(" ", s + 1)]
+                best[word] = max(best.get(word, weight), weight)
         return sum(best.values())
 
     def features(self, texts: list[str | None], a: ahocorasick.Automaton | None = None) -> np.ndarray:
@@ -117,11 +121,29 @@ def choose(counts: list[tuple[str, int, int]], n1: int, n0: int, most_entries: i
     """
     weight = {w: float(np.log((a + 0.5) / (n1 + 1)) - np.log((b + 0.5) / (n0 + 1))) for w, a, b in counts}
     support = {w: a for w, a, _ in counts}
+
+    def surprise(a: int, b: int) -> float:
+        """Twice the log-likelihood ratio of a and b against shares that the classes have in common."""
+        e1, e0 = (a + b) * n1 / (n1 + n0), (a + b) * n0 / (n1 + n0)
+        return 2 * (a * np.log(a / e1) + (b * np.log(b / e0) if b else 0.0))
+
+    sure = {w for w, a, b in counts if surprise(a, b) >= SURPRISE}
     kept: dict[str, float] = {}
     for w in sorted(weight, key=lambda w: (len(w), w)):
         above = [kept[w[:n]] for n in range(SHORTEST, len(w)) if w[:n] in kept]
-        if weight[w] > 2.5 and (not above or weight[w] > max(above) + 1.0):
+        if w in sure and weight[w] > LEAST_WEIGHT and (not above or weight[w] > max(above) + 1.0):
             kept[w] = weight[w]
+    held = {w: (a, b) for w, a, b in counts}
+    for w in sorted(kept, key=lambda w: (-len(w), w)):  # a beginning that its kept extensions explain says nothing more
+        longer = [x for x in kept if len(x) > len(w) and x.startswith(w)]
+        longer = [x for x in longer if not any(y != x and x.startswith(y) for y in longer)]
+        if longer:
+            a, b = (max(0, held[w][k] - sum(held[x][k] for x in longer)) for k in (0, 1))
+            own = float(np.log((a + 0.5) / (n1 + 1)) - np.log((b + 0.5) / (n0 + 1)))
+            if not a or own <= LEAST_WEIGHT or surprise(a, b) < SURPRISE:
+                del kept[w]
+            else:
+                kept[w] = own
     top = sorted(kept, key=lambda w: (-kept[w] * support[w] ** 0.5, w))[:most_entries]
     return {w: kept[w] for w in sorted(top)}
 

@@ -41,13 +41,14 @@ def write(docs: DataFrame, path: str, tokenizer: str, end_id: int, dtype: str =
         enc, part = encoder(tokenizer, dtype, True), TaskContext.get().partitionId()
         held, block, named = bytearray(), 0, 0
         for batch in batches:
-            for text in batch.column(1).to_pylist():
-                held += enc.encode(text)
-                held += end
-                while len(held) >= BLOCK * width:
-                    yield pa.RecordBatch.from_pylist([{"part": part, "block": block, "data": bytes(held[: BLOCK * width])}], _ARROW)
-                    del held[: BLOCK * width]
-                    block += 1
+            for lo in range(0, batch.num_rows, 256):
+                for ids in enc.encode(batch.column(1)[lo : lo + 256].to_pylist()):
+                    held += ids
+                    held += end
+                    while len(held) >= BLOCK * width:
+                        yield pa.RecordBatch.from_pylist([{"part": part, "block": block, "data": bytes(held[: BLOCK * width])}], _ARROW)
+                        del held[: BLOCK * width]
+                        block += 1
             named -= 1
             yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([named], pa.int32()), pa.array([None], pa.binary()), pa.ListArray.from_arrays(pa.array([0, batch.num_rows], pa.int32()), batch.column(0).cast(pa.int64()))], schema=_ARROW)
         if held:

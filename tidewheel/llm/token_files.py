@@ -142,20 +142,25 @@ def write(docs: DataFrame, path: str, tokenizer: str, end_id: int = 1) -> None:
             parts.clear()
             return pa.RecordBatch.from_pylist([row], _ARROW)
 
-        for batch in batches:
-            for doc_id, text, p in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if p != part:  # a task may hold several parts
-                    if keys:
-                        yield close()
-                    part, block, base, last, turn = p, 0, 0, None, 0
-                ids = enc.encode(text) + end
-                if keys and size + len(ids) // 4 > BLOCK:
+        def rows() -> Iterator[tuple[int | None, bytes, int]]:
+            for batch in batches:
+                for lo in range(0, batch.num_rows, 256):
+                    names, texts, places = (c[lo : lo + 256].to_pylist() for c in batch.columns)
+                    yield from zip(names, enc.encode(texts), places, strict=True)
+
+        for doc_id, ids, p in rows():
+            if p != part:  # a task may hold several parts
+                if keys:
                     yield close()
-                turn = turn + 1 if last == (doc_id,) else 0
-                last = (doc_id,)
-                keys.append((0 if doc_id is None else doc_id, turn, doc_id is None))
-                parts.append(ids)
-                size += len(ids) // 4
+                part, block, base, last, turn = p, 0, 0, None, 0
+            ids += end
+            if keys and size + len(ids) // 4 > BLOCK:
+                yield close()
+            turn = turn + 1 if last == (doc_id,) else 0
+            last = (doc_id,)
+            keys.append((0 if doc_id is None else doc_id, turn, doc_id is None))
+            parts.append(ids)
+            size += len(ids) // 4
         if keys:
             yield close()
 

@@ -3,13 +3,27 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 
-def kept(df: DataFrame) -> DataFrame:
-    """A reliable checkpoint; a local folder is made only where the session names none."""
-    spark = df.sparkSession
+def shared(spark: SparkSession) -> str:
+    """The folder of ``spark.checkpoint.dir``; a local one is made only where the session names none."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not base:
+        base = "file://" + tempfile.mkdtemp(prefix="tidewheel-")
     if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="tidewheel-"))
+        spark.sparkContext.setCheckpointDir(base)
+    return base
+
+
+def folder(spark: SparkSession, tag: str) -> str:
+    """A new place for a table."""
+    return f"{shared(spark).rstrip('/')}/tidewheel-{spark.sparkContext.applicationId}/{tag}-{uuid.uuid4().hex[:12]}"
+
+
+def kept(df: DataFrame) -> DataFrame:
+    """A reliable checkpoint."""
+    shared(df.sparkSession)
     return df.checkpoint()

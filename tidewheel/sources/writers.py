@@ -20,7 +20,7 @@ def replaced(rows: DataFrame, path: str, keys: list[str]) -> None:
 
 
 def report(rows: DataFrame, path: str, separator: str = ",") -> None:
-    rows.write.mode("overwrite").csv(path, header=True, sep=separator)
+    rows.write.mode("overwrite").csv(path, header=True, sep=separator, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
 
 
 def path_list(obs: DataFrame, path: str) -> None:

@@ -24,13 +24,7 @@ def _ticks(spark: SparkSession, d: str) -> DataFrame:
     return samples(spark, d).select("sample", "feed", (F.col("sample") * 10).alias("at"))
 
 
-@Q("wn1_contiguous_blocks", "select status, min(sample) as first, max(sample) as last, count(*) as n from (select *, n - row_number() over (partition by status order by sample) as isle from (select sample, status, row_number() over (order by sample) as n from samples) where status = 'view') group by status, isle")
-def _(spark: SparkSession, d: str) -> DataFrame:
-    rows = samples(spark, d).select("sample", "status", F.lit("view").alias("_k"))
-    return O.runs(rows, ["_k"], "sample", F.col("status") == "view").select(F.col("_k").alias("status"), "first", "last", "n")
-
-
-@Q("wn1_blocks_by_feed", "select feed, min(sample) as first, max(sample) as last, count(*) as n from (select *, n - row_number() over (partition by feed order by sample) as isle from (select sample, feed, k, row_number() over (partition by feed order by sample) as n from samples) where k % 3 = 0) group by feed, isle")
+@Q("wn1_contiguous_blocks", "select feed, min(sample) as first, max(sample) as last, count(*) as n from (select *, n - row_number() over (partition by feed order by sample) as isle from (select sample, feed, k, row_number() over (partition by feed order by sample) as n from samples) where k % 3 = 0) group by feed, isle")
 def _(spark: SparkSession, d: str) -> DataFrame:
     return O.runs(samples(spark, d), ["feed"], "sample", F.col("k") % 3 == 0)
 

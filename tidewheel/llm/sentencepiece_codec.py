@@ -30,7 +30,8 @@ from pyspark.sql import DataFrame
 from tidewheel.llm.common import codes, mix64
 
 SPACE = "▁"
-LONG, TOGETHER, MOST_WORDS = 200, 8192, 400_000
+LONG, TOGETHER, MOST_WORDS = 200, 4096, 400_000
+_GONE = np.iinfo(np.int64).min
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _UNIT = re.compile(f"{SPACE}+[^{SPACE}]*")
 #: Kinds of pieces and of models in the file format.
@@ -164,51 +165,54 @@ class Model:
         w, n = words.shape
         if n > LONG:
             return [self._ids(self._heap("".join(map(chr, row.tolist())))) for row in words]
-        h, size = np.zeros((w, n + 1), np.uint64), np.zeros((w, n + 1), np.int64)
+        # flat tables of w rows and n + 1 places; the last place of a row stands for no symbol
+        m = n + 1
+        h, size = np.zeros((w, m), np.uint64), np.zeros((w, m), np.int64)
         h[:, :n], size[:, :n] = words + np.uint64(1), 1
-        sym = self.probe(h[:, :n], 1)
-        sym = np.where(sym >= 0, sym, -1 - words.astype(np.int64))
-        gone = np.iinfo(np.int64).min
-        # the living symbols' neighbours; the place n stands for none
-        nxt, prv = np.tile(np.arange(1, n + 2), (w, 1)), np.tile(np.arange(-1, n), (w, 1))
-        into = np.full((w, n), -1, np.int64)
-        score = np.full((w, n), -np.inf, np.float32)
-
-        def pairs(r: np.ndarray, c: np.ndarray) -> None:
-            """Scores the symbols at (r, c) with what follows them."""
-            d = nxt[r, c]
-            nb = size[r, d]
-            both = size[r, c] + nb
-            at = self.probe(h[r, c] * self.power[np.minimum(nb, self.longest)] + h[r, d], both)
-            at[(d == n) | (both > self.longest)] = -1
-            into[r, c] = at
-            score[r, c] = np.where(at >= 0, self.scores[at], -np.inf)
+        sym = np.full((w, m), _GONE)
+        sym[:, :n] = self.probe(h[:, :n], 1)
+        first = sym[:, :n]
+        first[first < 0] = -1 - words[first < 0].astype(np.int64)
+        score = np.full((w, m), -np.inf, np.float32)
+        base = np.arange(w) * m
+        nxt, prv = np.tile(np.arange(1, m + 1), (w, 1)) + base[:, None], np.tile(np.arange(-1, n), (w, 1)) + base[:, None]
+        into = np.full(w * m, -1, np.int64)
+        rows, (h, size, sym, nxt, prv, flat) = score, (x.reshape(-1) for x in (h, size, sym, nxt, prv, score))
+
+        def pairs(c: np.ndarray) -> None:
+            """Scores the symbols at the places ``c`` with what follows them."""
+            d = nxt[c]
+            nb = size[d]
+            both = size[c] + nb
+            at = self.probe(h[c] * self.power[np.minimum(nb, self.longest)] + h[d], both)
+            at[(nb == 0) | (both > self.longest)] = -1
+            into[c] = at
+            flat[c] = np.where(at >= 0, self.scores[at], -np.inf)
 
         if n > 1:
-            r, c = np.divmod(np.arange(w * (n - 1)), n - 1)
-            pairs(r, c)
+            pairs((base[:, None] + np.arange(n - 1)).ravel())
         live = np.arange(w)
         while len(live):
-            pick = score[live].argmax(1) if len(live) < w else score.argmax(1)
-            going = score[live, pick] > -np.inf
-            r, c = live[going], pick[going]
-            live = r
-            d = nxt[r, c]
-            sym[r, c] = into[r, c]
-            h[r, c] = h[r, c] * self.power[size[r, d]] + h[r, d]
-            size[r, c] += size[r, d]
-            sym[r, d], score[r, d] = gone, -np.inf
-            after = nxt[r, d]
-            nxt[r, c], prv[r, after] = after, c
-            pairs(r, c)
-            before = prv[r, c]
-            some = before >= 0
-            pairs(r[some], before[some])
-        alive = sym != gone
-        strange = ((sym < 0) & alive).any(1)
-        flat = self.ids[np.maximum(sym[alive], 0)].astype("<u4").tobytes()
+            c = base[live] + (rows[live] if len(live) < w else rows).argmax(1)
+            going = flat[c] > -np.inf
+            live, c = live[going], c[going]
+            d = nxt[c]
+            sym[c] = into[c]
+            h[c] = h[c] * self.power[size[d]] + h[d]
+            size[c] += size[d]
+            sym[d], flat[d] = _GONE, -np.inf
+            after = nxt[d]
+            nxt[c] = after
+            prv[after] = c
+            pairs(c)
+            before = prv[c]
+            pairs(before[before >= base[live]])
+        rows = sym.reshape(w, m)[:, :n]
+        alive = rows != _GONE
+        strange = ((rows < 0) & alive).any(1)
+        data = self.ids[np.maximum(rows[alive], 0)].astype("<u4").tobytes()
         ends = 4 * np.cumsum(alive.sum(1))
-        return [self._ids(sym[k][alive[k]]) if odd else flat[lo:hi] for k, (odd, lo, hi) in enumerate(zip(strange.tolist(), [0, *ends.tolist()], ends.tolist(), strict=False))]
+        return [self._ids(rows[k][alive[k]]) if odd else data[lo:hi] for k, (odd, lo, hi) in enumerate(zip(strange.tolist(), [0, *ends.tolist()], ends.tolist(), strict=False))]
 
     def _heap(self, word: str) -> list[int]:
         text = list(word)
@@ -263,21 +267,28 @@ class Model:
         marked = (" " + text if self.prefix else text).replace(" ", SPACE)
         return [u[1:] for u in _UNIT.findall(marked)]
 
-    def encode(self, text: str | None, rule: str = "") -> bytes:
-        """Ids of ``text`` as little-endian 32-bit integers. ``rule``: viterbi or merges, by default the one of the model's kind."""
-        rule = rule or self.rule
-        units, known = self.words(text or ""), self.known[rule]
-        new = {u for u in units if u not in known}
+    def encode_all(self, texts: list[str | None], rule: str = "") -> list[bytes]:
+        """Ids of each text as little-endian 32-bit integers. ``rule``: viterbi or merges, by default the one of the model's kind."""
+        known = self.known[rule or self.rule]
+        cut = [self.words(t or "") for t in texts]
+        used: set[str] = set().union(*cut)
+        own = dict(zip(used, map(known.get, used), strict=True))  # small, so the texts' lookups stay in the CPU's caches
+        new = [u for u, ids in own.items() if ids is None]
         if new:
+            found = self.learn(new, rule or self.rule)
+            own.update(found)
             if len(known) + len(new) > MOST_WORDS:
                 known.clear()
-                new = set(units)
-            self.learn(new, rule)
-        return b"".join(map(known.__getitem__, units))
+            known.update(found)
+        get = own.__getitem__
+        return [b"".join(map(get, units)) for units in cut]
+
+    def encode(self, text: str | None, rule: str = "") -> bytes:
+        return self.encode_all([text], rule)[0]
 
-    def learn(self, words: set[str], rule: str) -> None:
-        """Encodes words that are not known yet, those of one length together."""
-        known, by = self.known[rule], {}
+    def learn(self, words: list[str], rule: str) -> dict[str, bytes]:
+        """The ids of words, those of one length together."""
+        found, by = {}, {}
         for u in words:
             by.setdefault(len(u), []).append(u)
         f = self.viterbi if rule == "viterbi" else self.merges
@@ -286,17 +297,8 @@ class Model:
             for lo in range(0, len(same), step):
                 part = same[lo : lo + step]
                 flat = codes(SPACE + SPACE.join(part)).astype(np.uint64).reshape(len(part), n + 1)
-                known.update(zip(part, f(flat), strict=True))
-
-    def warm(self, texts: list[str | None], rule: str = "") -> None:
-        """Learns the new words of many texts at once, so that words of a length fill a batch."""
-        rule = rule or self.rule
-        known = self.known[rule]
-        new = {u for t in texts for u in self.words(t or "") if u not in known}
-        if len(known) + len(new) > MOST_WORDS:
-            known.clear()
-        if len(new) <= MOST_WORDS:
-            self.learn({u for u in new if u not in known}, rule)
+                found.update(zip(part, f(flat), strict=True))
+        return found
 
     def decode(self, ids: bytes) -> str:
         out = b"".join(map(self.raw.__getitem__, np.frombuffer(ids, "<u4").tolist())).decode("utf-8", "replace")
@@ -318,8 +320,7 @@ def encode(docs: DataFrame, path: str, rule: str = "", column: str = "ids") -> D
             texts = batch.column(1).to_pylist()
             for lo in range(0, len(texts), 1000):
                 part = texts[lo : lo + 1000]
-                m.warm(part, rule)
-                ids = [np.frombuffer(m.encode(t, rule), "<u4").astype(np.int32) for t in part]
+                ids = [np.frombuffer(x, "<u4").astype(np.int32) for x in m.encode_all(part, rule)]
                 yield pa.RecordBatch.from_arrays([batch.column(0)[lo : lo + 1000], pa.array([len(x) for x in ids], pa.int64()), pa.array(ids, pa.list_(pa.int32()))], names=["doc_id", "n_tokens", column])
 
     schema = ", ".join([f"doc_id {docs.schema['doc_id'].dataType.simpleString()}", "n_tokens long", f"{column} array<int>"])
@@ -346,9 +347,7 @@ def digests(docs: DataFrame, path: str, rule: str = "") -> DataFrame:
         for batch in batches:
             for lo in range(0, batch.num_rows, 1000):
                 part, rows = batch.column(1)[lo : lo + 1000].to_pylist(), []
-                m.warm(part, rule)
-                for t in part:
-                    ids = m.encode(t, rule)
+                for t, ids in zip(part, m.encode_all(part, rule), strict=True):
                     back = m.decode(ids)
                     rows.append((len(ids) // 4, zlib.crc32(ids), len(back), hashlib.sha256(back.encode()).hexdigest(), back == (t or "").replace(SPACE, " ")))
                 cols = list(zip(*rows, strict=True))

@@ -76,11 +76,11 @@ def _(spark: SparkSession, d: str) -> DataFrame:
     return rows.join(F.broadcast(prior), "feed").select("sample", F.round(K.power_law(F.lit(1.0), F.col("p"), F.lit(-1.5), F.col("k") + 1.0), 6).alias("prior"))
 
 
-@Q("jn26_model_residual", "with m as (select feed, band, channel, avg(expected) as e from flux group by all) select obsid, feed, band, channel, round(measured - e, 4) as res from flux join m using (feed, band, channel) where obsid < 500")
+@Q("jn26_model_residual", "with m as (select feed, band, channel, avg(expected) as e from flux group by all) select obsid, feed, band, channel, round(measured - e, 7) as res from flux join m using (feed, band, channel) where obsid < 500")
 def _(spark: SparkSession, d: str) -> DataFrame:
     rows = flux(spark, d)
     m = rows.groupBy("feed", "band", "channel").agg(F.avg("expected").alias("e"))
-    return rows.where("obsid < 500").join(m, ["feed", "band", "channel"]).select("obsid", "feed", "band", "channel", F.round(F.col("measured") - F.col("e"), 4).alias("res"))
+    return rows.where("obsid < 500").join(m, ["feed", "band", "channel"]).select("obsid", "feed", "band", "channel", F.round(F.col("measured") - F.col("e"), 7).alias("res"))
 
 
 @Q("jn27_best_observation", "select band, obsid, level2_path from (select band, obsid, row_number() over (partition by band order by auto_rms, obsid, pixel) as n from flags where is_good) join observations using (obsid) where n = 1")
@@ -112,10 +112,10 @@ def _(spark: SparkSession, d: str) -> DataFrame:
     return near.groupBy("field").agg(F.count(F.lit(1)).alias("n"), p.alias("p")).select("field", "n", *[F.round(F.col("p")[i], 6).alias(n) for i, n in enumerate(("mid", "p16", "p84"))])
 
 
-@Q("ag29_noise_table", "select pixel, band, round(median(auto_rms), 6) as tsys, round(avg(nullif(red_noise, 0)), 6) as red, round(avg(nullif(noise_index, 0)), 6) as idx from flags group by 1, 2")
+@Q("ag29_noise_table", "select pixel, band, round(median(auto_rms), 6) as tsys, round(avg(nullif(red_noise, 0)), 9) as red, round(avg(nullif(noise_index, 0)), 9) as idx from flags group by 1, 2")
 def _(spark: SparkSession, d: str) -> DataFrame:
     zero = lambda c: F.nullif(F.col(c), F.lit(0.0))
-    return flags(spark, d).groupBy("pixel", "band").agg(F.round(F.percentile("auto_rms", F.lit(0.5)), 6).alias("tsys"), F.round(F.avg(zero("red_noise")), 6).alias("red"), F.round(F.avg(zero("noise_index")), 6).alias("idx"))
+    return flags(spark, d).groupBy("pixel", "band").agg(F.round(F.percentile("auto_rms", F.lit(0.5)), 6).alias("tsys"), F.round(F.avg(zero("red_noise")), 9).alias("red"), F.round(F.avg(zero("noise_index")), 9).alias("idx"))
 
 
 @Q("ag33_log_bins", "select floor(log10(k + 1) * 10)::bigint as bin, count(*) as n, round(avg(tod), 6) as p from samples group by 1")

@@ -11,7 +11,7 @@ from tidewheel.streaming import incremental as I
 
 
 def test_discovery(spark, tmp_path):
-    for name in ("a/Level2_comap-0006329-2019.hd5", "b/Level2_comap-0006329-2019.hd5", "b/comap-0029828-2022-07-21-092019.hd5", "b/other.txt", "c/junk.hd5"):
+    for name in ("a/Level2_scope-0006329-2019.hd5", "b/Level2_scope-0006329-2019.hd5", "b/scope-0029828-2022-07-21-092019.hd5", "b/other.txt", "c/junk.hd5"):
         p = tmp_path / name
         p.parent.mkdir(exist_ok=True)
         p.write_bytes(b"x")

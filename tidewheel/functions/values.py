@@ -62,7 +62,7 @@ def obsid_of_path(path: Column) -> Column:
 
 def obsid_by_digits(path: Column) -> Column:
     """The seven digits of a processed file's name, or null."""
-    return F.nullif(F.regexp_extract(path, r"Level2_comap-(\d{7})-", 1), F.lit("")).cast("bigint")
+    return F.nullif(F.regexp_extract(path, r"Level2_[A-Za-z]+-(\d{7})-", 1), F.lit("")).cast("bigint")
 
 
 def feature_bit(word: Column) -> Column:

@@ -101,9 +101,9 @@ def _(spark: SparkSession, d: str) -> DataFrame:
     return observations(spark, d).where(V.blank(F.col("level2_path")) & (F.coalesce("source_group", F.lit("")) != "SkyDip")).select("obsid", "source")
 
 
-@Q("pr15_path_search", "select obsid, level2_path from observations where level2_path ilike '%comap-00001%' or source ilike '%jup%'")
+@Q("pr15_path_search", "select obsid, level2_path from observations where level2_path ilike '%scope-00001%' or source ilike '%jup%'")
 def _(spark: SparkSession, d: str) -> DataFrame:
-    return observations(spark, d).where(F.col("level2_path").ilike("%comap-00001%") | F.col("source").ilike("%jup%")).select("obsid", "level2_path")
+    return observations(spark, d).where(F.col("level2_path").ilike("%scope-00001%") | F.col("source").ilike("%jup%")).select("obsid", "level2_path")
 
 
 @Q("pr16_flags_in_window", "select f.obsid, pixel, band from flags f join observations o using (obsid) where source_group in ('Galactic', 'CO') and epoch_us(started) / 86400e6 + 40587.0 between 50000 and 50400")
@@ -230,11 +230,11 @@ def _(spark: SparkSession, d: str) -> DataFrame:
 
 def _files(spark: SparkSession, d: str) -> DataFrame:
     c = raw(spark, d, "customer").where("c_custkey % 4 <> 1")
-    path = F.concat(F.when(F.col("c_custkey") % 10 == 0, "/old/").otherwise("/data/"), F.lit("Level2_comap-"), F.lpad((F.col("c_custkey") * 2).cast("string"), 7, "0"), F.lit("-2020.hd5"))
+    path = F.concat(F.when(F.col("c_custkey") % 10 == 0, "/old/").otherwise("/data/"), F.lit("Level2_scope-"), F.lpad((F.col("c_custkey") * 2).cast("string"), 7, "0"), F.lit("-2020.hd5"))
     return c.select((F.col("c_custkey") * 2).alias("obsid"), path.alias("path"))
 
 
-FILES = "files as (select c_custkey * 2 as obsid, case when c_custkey % 10 = 0 then '/old/' else '/data/' end || 'Level2_comap-' || lpad((c_custkey * 2)::varchar, 7, '0') || '-2020.hd5' as path from customer where c_custkey % 4 <> 1)"
+FILES = "files as (select c_custkey * 2 as obsid, case when c_custkey % 10 = 0 then '/old/' else '/data/' end || 'Level2_scope-' || lpad((c_custkey * 2)::varchar, 7, '0') || '-2020.hd5' as path from customer where c_custkey % 4 <> 1)"
 
 
 @Q("jn6_reconcile", f"with {FILES} select coalesce(o.obsid, f.obsid) as obsid, level2_path, path as found, case when o.obsid is null then 'orphan' when {BLANK} and f.obsid is null then 'absent' when f.obsid is null then 'missing' when {BLANK} then 'backfill' when level2_path = path then 'matched' else 'remapped' end as state from observations o full join files f on o.obsid = f.obsid")
@@ -493,7 +493,7 @@ def _(spark: SparkSession, d: str) -> DataFrame:
     return observations(spark, d).select("obsid", V.source_name(F.col("source")).alias("name"), V.source_group(F.col("source"), F.col("comment")).alias("grp"))
 
 
-@Q("sf2_obsid_from_path", "select obsid, try_cast(split_part(regexp_replace(regexp_replace(level2_path, '^.*/', ''), '^.*_', ''), '-', 2) as bigint) as parsed, nullif(regexp_extract(level2_path, 'Level2_comap-([0-9]{7})-', 1), '')::bigint as digits from observations where level2_path <> ''")
+@Q("sf2_obsid_from_path", "select obsid, try_cast(split_part(regexp_replace(regexp_replace(level2_path, '^.*/', ''), '^.*_', ''), '-', 2) as bigint) as parsed, nullif(regexp_extract(level2_path, 'Level2_scope-([0-9]{7})-', 1), '')::bigint as digits from observations where level2_path <> ''")
 def _(spark: SparkSession, d: str) -> DataFrame:
     rows = observations(spark, d).where("level2_path <> ''")
     return rows.select("obsid", V.obsid_of_path(F.col("level2_path")).alias("parsed"), V.obsid_by_digits(F.col("level2_path")).alias("digits"))

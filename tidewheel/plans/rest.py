@@ -23,7 +23,7 @@ Q = book.add
 BLANK = "(level2_path is null or level2_path = '')"
 
 
-@Q("sc2_discovered_files", f"select nullif(regexp_extract(level2_path, 'Level2_comap-([0-9]{{7}})-', 1), '')::bigint as obsid, min(level2_path) as path, count(*) as n from observations where not {BLANK} group by 1")
+@Q("sc2_discovered_files", f"select nullif(regexp_extract(level2_path, 'Level2_scope-([0-9]{{7}})-', 1), '')::bigint as obsid, min(level2_path) as path, count(*) as n from observations where not {BLANK} group by 1")
 def _(spark: SparkSession, d: str) -> DataFrame:
     return R.level2_files(observations(spark, d).where("level2_path <> ''").select(F.col("level2_path").alias("path")))
 

@@ -34,7 +34,7 @@ def samples(spark: SparkSession, sf_dir: str) -> DataFrame:
 def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = raw(spark, sf_dir, "orders")
     n = F.col("o_orderkey")
-    path = F.when(n % 3 == 0, F.lit(None)).when(n % 7 == 0, "").otherwise(F.concat(F.lit("/data/Level2_comap-"), F.lpad(n.cast("string"), 7, "0"), F.lit("-2020.hd5")))
+    path = F.when(n % 3 == 0, F.lit(None)).when(n % 7 == 0, "").otherwise(F.concat(F.lit("/data/Level2_scope-"), F.lpad(n.cast("string"), 7, "0"), F.lit("-2020.hd5")))
     return o.select(
         n.alias("obsid"), F.element_at(F.array(*map(F.lit, SOURCES)), (F.col("o_custkey") % len(SOURCES) + 1).cast("int")).alias("source"),
         F.when(n % 11 == 0, F.lit(None)).otherwise(F.element_at(F.array(*map(F.lit, ["Galactic", "Foreground", "Calibrator", "SkyDip", "CO"])), (F.col("o_custkey") % 5 + 1).cast("int"))).alias("source_group"),
@@ -86,7 +86,7 @@ def spectra(spark: SparkSession, sf_dir: str) -> DataFrame:
 #: The same tables for DuckDB.
 SQL = {
     "samples": "select event_id as sample, user_id % 19 + 1 as feed, event_id % 4 as band, event_id // 250 as scan, event_type as status, value as tod, regexp_extract(props, '[0-9]+')::bigint as k, (regexp_extract(props, '[0-9]+')::bigint % 4 + 1)::double as w, (user_id * 37 + event_id * 11) % 211 as pix, epoch_us(ts) / 86400e6 + 40587.0 as mjd, ts, 40.0::double + (event_id % 200) / 10.0::double as el, 100.0::double + (event_id % 37) / 2.0::double as az from events",
-    "observations": "select o_orderkey as obsid, list_extract(['TauA,', 'GField10,CasA', 'GField11, ', 'fg10, ,', 'co2', 'Jupiter', 'CygA', 'Field of view', 'fg3', ''], o_custkey % 10 + 1) as source, case when o_orderkey % 11 = 0 then null else list_extract(['Galactic', 'Foreground', 'Calibrator', 'SkyDip', 'CO'], o_custkey % 5 + 1) end as source_group, case when o_orderkey % 13 = 0 then 'Sky Nod run' else 'science' end as comment, case when o_orderkey % 3 = 0 then null when o_orderkey % 7 = 0 then '' else '/data/Level2_comap-' || lpad(o_orderkey::varchar, 7, '0') || '-2020.hd5' end as level2_path, strftime(o_orderdate, '%Y-%m-%d-%H:%M:%S') as utc_start, o_orderdate as started from orders",
+    "observations": "select o_orderkey as obsid, list_extract(['TauA,', 'GField10,CasA', 'GField11, ', 'fg10, ,', 'co2', 'Jupiter', 'CygA', 'Field of view', 'fg3', ''], o_custkey % 10 + 1) as source, case when o_orderkey % 11 = 0 then null else list_extract(['Galactic', 'Foreground', 'Calibrator', 'SkyDip', 'CO'], o_custkey % 5 + 1) end as source_group, case when o_orderkey % 13 = 0 then 'Sky Nod run' else 'science' end as comment, case when o_orderkey % 3 = 0 then null when o_orderkey % 7 = 0 then '' else '/data/Level2_scope-' || lpad(o_orderkey::varchar, 7, '0') || '-2020.hd5' end as level2_path, strftime(o_orderdate, '%Y-%m-%d-%H:%M:%S') as utc_start, o_orderdate as started from orders",
     "summaries": "select o_orderkey as obsid, case o_orderstatus when 'F' then 'complete' when 'P' then 'pending' else 'failed' end as processing_status, case when o_orderkey % 9 <> 0 then round(o_totalprice / 1000, 3) end as median_tsys, case when o_orderkey % 4 <> 0 then (o_orderkey % 100) / 100.0::double end as mean_tau, case when o_orderkey % 2 = 0 then o_totalprice end as calibrator_flux, o_orderkey % 17 as n_scans from orders where o_orderkey % 5 <> 0",
     "flags": "select l_orderkey as obsid, l_suppkey % 19 + 1 as pixel, (l_linenumber % 8)::bigint as band, bool_and(l_returnflag <> 'R') as is_good, max(l_quantity) as auto_rms, nullif(max(l_discount), 0) as red_noise, nullif(min(l_tax), 0) as white_noise, -min(l_discount) * 30 as noise_index, count(*) as n_spikes from lineitem group by all",
     "flux": "select l_orderkey as obsid, l_suppkey % 19 + 1 as feed, (l_linenumber % 4)::bigint as band, l_partkey % 2 as channel, list_extract(['TauA', 'CasA', 'CygA'], l_partkey % 3 + 1) as source, epoch_us(l_shipdate) / 86400e6 + 40587.0 as mjd, l_extendedprice as measured, p_retailprice * l_quantity as expected, l_quantity as chi2 from lineitem join part on l_partkey = p_partkey",

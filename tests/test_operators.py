@@ -205,3 +205,17 @@ def test_nearest_on_sky_matches_all_pairs(spark):
     got = nearest_on_sky(spark.createDataFrame(a, "x string, l double, b double"), spark.createDataFrame(b, "y string, l double, b double"), "x", "y", 12.0).collect()
     assert {r["x"]: r["y"] for r in got} == want
 
+
+
+def test_direction_of_the_galactic_pole(spark):
+    """A step towards the pole raises the latitude and keeps the longitude."""
+    row = spark.range(1).select(K.galactic_position_angle(F.lit(40.0), F.lit(10.0)).alias("pa"), *(c.alias(n) for c, n in zip(K.to_equatorial(F.lit(40.0), F.lit(10.0)), ("ra", "dec"), strict=True))).first()
+    a, step = math.radians(row["pa"]), 0.01
+    near = K.to_galactic(F.lit(row["ra"] + step * math.sin(a) / math.cos(math.radians(row["dec"]))), F.lit(row["dec"] + step * math.cos(a)))
+    lon, lat = spark.range(1).select(*near).first()
+    assert lon == pytest.approx(40.0, abs=1e-4) and lat == pytest.approx(10.01, abs=1e-4)
+
+
+def test_flux_models(spark):
+    row = spark.range(1).select(K.model_flux(F.lit("TauA"), F.lit(40.0), F.lit(53371.0)), K.model_flux(F.lit("CasA"), F.lit(33.0), F.lit(51544.0), "hafez", "hafez"), K.model_flux(F.lit("other"), F.lit(40.0), F.lit(0.0))).first()
+    assert row[0] == pytest.approx(10**2.506) and row[1] == pytest.approx(182.0) and row[2] is None

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from datetime import date
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -13,12 +14,31 @@ GALACTIC = [
     [0.4941094278755837, -0.4448296299600112, 0.7469822444972189],
     [-0.8676661490190047, -0.1980763734312015, 0.4559837761750669],
 ]
-#: Flux models log10 S = a + b log10(nu / ref) + c log10(nu / ref)^2 in Jy and GHz, with a yearly fading from a year on.
+#: Published flux models log10 S[Jy] = a + b x + c x^2, x = log10(GHz / ref), for the first of January of a year.
 FLUX = {
-    "TauA": {"ref": 1.0, "a": 2.9764, "b": -0.1984, "c": -0.0364, "fade": 0.00167, "year": 2005.0},
-    "CasA": {"ref": 1.0, "a": 3.3584, "b": -0.7518, "c": -0.0347, "fade": 0.0053, "year": 2005.0},
-    "CygA": {"ref": 1.0, "a": 3.3498, "b": -1.0022, "c": -0.2250, "fade": 0.0, "year": 2005.0},
+    "TauA": {
+        "weiland_combined": {"ref": 40.0, "a": 2.506, "b": -0.302, "c": 0.0, "year": 2005},
+        "weiland_wmaponly": {"ref": 40.0, "a": 2.502, "b": -0.350, "c": 0.0, "year": 2005},
+        "hafez": {"ref": 33.0, "a": math.log10(332.8), "b": -0.32, "c": 0.0, "year": 2001},
+        "baars": {"ref": 0.001, "a": 3.915, "b": -0.299, "c": 0.0, "year": 1970},
+    },
+    "CasA": {
+        "weiland_combined": {"ref": 40.0, "a": 2.204, "b": -0.682, "c": 0.038, "year": 2000},
+        "weiland_wmaponly": {"ref": 40.0, "a": 2.204, "b": -0.712, "c": 0.0, "year": 2000},
+        "hafez": {"ref": 33.0, "a": math.log10(182.0), "b": -0.69, "c": 0.0, "year": 2000},
+        "baars": {"ref": 0.001, "a": 5.880, "b": -0.792, "c": 0.0, "year": 1965},
+    },
+    "CygA": {"weiland_combined": {"ref": 40.0, "a": 1.480, "b": -1.172, "c": 0.0, "year": 2000}},
 }
+#: Fading a year as a share, constant and per log10 GHz.
+FADING = {
+    "TauA": {"weiland": (0.0021, 0.0), "hafez": (0.0022, 0.0), "trotter": (0.001, 0.0)},
+    "CasA": {"weiland": (0.0051, 0.0), "hafez": (0.00394, 0.0), "baars": (0.00394, -0.003)},
+    "CygA": {"weiland": (0.0, 0.0)},
+}
+#: Jupiter's temperatures in K from 34.688 GHz down in steps of 0.5 GHz, and its solid angle in sr at 5.2 au.
+JUPITER_KELVIN = [151.013, 150.385, 149.615, 149.876, 148.534, 147.707, 147.235, 146.635, 145.72, 145.347, 144.794, 143.911, 143.225, 142.369, 141.757]
+JUPITER_AREA = 2.481e-8
 BOLTZMANN, LIGHT = 1.380649e-23, 299792458.0
 
 
@@ -106,22 +126,30 @@ def bearing(lon: Column, lat: Column, lon1: Column, lat1: Column) -> Column:
 
 
 def rotated(x: Column, y: Column, angle: Column) -> tuple[Column, Column]:
+    """Offsets in axes that are turned by an angle."""
     a = F.radians(angle)
-    return x * F.cos(a) - y * F.sin(a), x * F.sin(a) + y * F.cos(a)
+    return x * F.cos(a) + y * F.sin(a), y * F.cos(a) - x * F.sin(a)
 
 
 def rotated_error(ex: Column, ey: Column, angle: Column) -> tuple[Column, Column]:
-    """Errors of a rotated position from independent errors."""
+    """Errors of rotated offsets from independent errors."""
     c, s = F.pow(F.cos(F.radians(angle)), 2), F.pow(F.sin(F.radians(angle)), 2)
     return F.sqrt(ex * ex * c + ey * ey * s), F.sqrt(ex * ex * s + ey * ey * c)
 
 
+def galactic_position_angle(lon: Column, lat: Column) -> Column:
+    """Direction of the galactic pole, from equatorial north over east, in [0, 360)."""
+    ra, dec = to_equatorial(lon, lat)
+    pole_ra, pole_dec = to_equatorial(F.lit(0.0), F.lit(90.0))
+    return F.pmod(bearing(ra, dec, pole_ra, pole_dec), F.lit(360.0))
+
+
 def pointing_offsets(az: Column, el: Column, p: list[float]) -> tuple[Column, Column]:
-    """A seven-term pointing model: index, tilt, non-perpendicularity, collimation and flexure terms; offsets in az and el."""
+    """Offsets to add to az and el, from a model's seven terms in radians: azimuth index, elevation index, non-perpendicularity, tilt west, tilt north, flexure, and an angle that turns the elevation's tilt."""
+    index_az, index_el, square, west, north, flexure, turn = p
     a, e = F.radians(az), F.radians(el)
-    d_az = -p[0] - p[2] * F.sin(a) * F.tan(e) - p[3] * F.cos(a) * F.tan(e) - p[4] * F.tan(e) + p[5] / F.cos(e)
-    d_el = p[1] + p[2] * F.cos(a) - p[3] * F.sin(a) - p[6] * F.cos(e)
-    return d_az, d_el
+    across = index_az + F.tan(e) * (square + west * F.cos(a) + north * F.sin(a))
+    return F.degrees(across / F.cos(e)), F.degrees(index_el + flexure * F.cos(e) + west * F.sin(a + turn) + north * F.cos(a + turn))
 
 
 def pixel(lon: Column, lat: Column, wcs: dict[str, float]) -> Column:
@@ -160,16 +188,36 @@ def healpix_ring(lon: Column, lat: Column, nside: int) -> Column:
     return F.when(za <= 2.0 / 3.0, belt).otherwise(cap).cast("bigint")
 
 
-def model_flux(source: Column, nu_ghz: Column, mjd: Column) -> Column:
-    """Jy of a known calibrator, null for others."""
+def model_flux(source: Column, nu_ghz: Column, mjd: Column, model: str = "weiland_combined", fading: str = "weiland") -> Column:
+    """Jy of a known calibrator at a time, by a published model and fading; null for others."""
     out = F.lit(None).cast("double")
-    for name, p in FLUX.items():
+    for name, models in FLUX.items():
+        p, (fixed, slope) = models.get(model, models["weiland_combined"]), FADING[name].get(fading, FADING[name]["weiland"])
         x = F.log10(nu_ghz / p["ref"])
-        years = 2000.0 + (mjd - 51544.5) / 365.25 - p["year"]
-        out = F.when(source == name, F.pow(F.lit(10.0), p["a"] + p["b"] * x + p["c"] * x * x) * (1.0 - p["fade"] * years)).otherwise(out)
+        years = (mjd - float(date(p["year"], 1, 1).toordinal() - 678576)) / 365.25
+        fade = 1.0 - (fixed + slope * F.log10(nu_ghz)) * years if slope else 1.0 - fixed * years
+        out = F.when(source == name, F.pow(F.lit(10.0), p["a"] + p["b"] * x + p["c"] * x * x) * fade).otherwise(out)
     return out
 
 
+def jupiter_flux(nu_ghz: Column, distance_au: Column) -> Column:
+    """Jy of Jupiter at a distance: a straight line through the logarithms of its temperatures."""
+    x = [math.log10((34.688 - 0.5 * i) / 30.0) for i in range(len(JUPITER_KELVIN))]
+    y = [math.log10(t) for t in JUPITER_KELVIN]
+    mx, my = sum(x) / len(x), sum(y) / len(y)
+    slope = sum((a - mx) * (b - my) for a, b in zip(x, y, strict=True)) / sum((a - mx) ** 2 for a in x)
+    kelvin = F.pow(F.lit(10.0), my + slope * (F.log10(nu_ghz / 30.0) - mx))
+    return kelvin * JUPITER_AREA * F.pow(5.2 / distance_au, 2) * 2.0 * BOLTZMANN * F.pow(nu_ghz * 1e9 / LIGHT, 2) * 1e26
+
+
+def flux_error(flux: Column, *parts: tuple[Column, Column]) -> Column:
+    """Error of a product from (value, error) of its factors, in quadrature."""
+    total = F.lit(0.0)
+    for value, error in parts:
+        total = total + F.pow(F.try_divide(error, value), 2)
+    return F.abs(flux) * F.sqrt(total)
+
+
 def gaussian_flux(amplitude: Column, s1: Column, s2: Column, nu_ghz: Column) -> Column:
     """Jy of a Gaussian source with widths in degrees and amplitude in K."""
     area = 2.0 * math.pi * F.radians(s1) * F.radians(s2)

@@ -38,10 +38,11 @@ def calibrated(samples: DataFrame, models: DataFrame, keys: list[str], value: st
     return rows.withColumn("gain", F.when(gain >= 0.3, gain)).withColumn(value, F.col(value) / F.col("gain")).drop("coeffs")
 
 
-def seasonal_factor(mjd: Column, amplitude: float, phase: float, period: float, slope: float, offset: float) -> Column:
-    """A yearly sine, a slope a year and a constant; null below 0.3."""
-    f = amplitude * F.sin(2 * F.pi() * (mjd - phase) / period) + slope * (mjd - phase) / 365.25 + offset
-    return F.when(f >= 0.3, f)
+def seasonal_factor(mjd: Column, amplitude: Column | float, phase: Column | float, period: Column | float, slope: Column | float, offset: Column | float, least: float = 0.3, origin: float = 59000.0) -> Column:
+    """A sine in days since the origin, a slope a year and a constant; null below ``least``."""
+    t = mjd - origin
+    f = amplitude * F.sin(2 * F.pi() * (t - phase) / period) + slope * t / 365.25 + offset
+    return F.when(f >= least, f)
 
 
 def line_window(channels: DataFrame, line: float, width: int) -> DataFrame:

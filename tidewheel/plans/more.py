@@ -252,9 +252,9 @@ def _(spark: SparkSession, d: str) -> DataFrame:
     return rows.where("jy is not null").groupBy("source").agg(F.count(F.lit(1)).alias("n"))
 
 
-@Q("sf36_seasonal_factor", "with f as (select sample, 0.4 * sin(2 * pi() * (mjd - 59000) / 365.25) + 0.01 * (mjd - 59000) / 365.25 + 0.5 as f from samples) select sample, round(case when f >= 0.3 then f end, 6) as f from f")
+@Q("sf36_seasonal_factor", "with f as (select sample, 0.4 * sin(2 * pi() * (mjd - 59000 - 20) / 365.25) + 0.01 * (mjd - 59000) / 365.25 + 0.5 as f from samples) select sample, round(case when f >= 0.3 then f end, 6) as f from f")
 def _(spark: SparkSession, d: str) -> DataFrame:
-    return samples(spark, d).select("sample", F.round(D.seasonal_factor(F.col("mjd"), 0.4, 59000.0, 365.25, 0.01, 0.5), 6).alias("f"))
+    return samples(spark, d).select("sample", F.round(D.seasonal_factor(F.col("mjd"), 0.4, 20.0, 365.25, 0.01, 0.5), 6).alias("f"))
 
 
 @Q("sf38_legendre", "with u as (select sample, 2 * (el - min(el) over (partition by scan)) / nullif(max(el) over (partition by scan) - min(el) over (partition by scan), 0) - 1 as x from samples) select sample, round(coalesce(x, 0), 6) as p1, round(coalesce((3 * x * x - 1) / 2, -0.5), 6) as p2 from u")

@@ -86,16 +86,16 @@ def _(spark: SparkSession, d: str) -> DataFrame:
     return regions(spark, d).select("region", F.round(K.bearing(F.col("l"), F.col("b"), F.lit(50.0), F.lit(20.0)), 6).alias("pa"))
 
 
-@Q("sf23_rotate", "select region, round(l * cos(radians(30)) - b * sin(radians(30)), 6) as x, round(l * sin(radians(30)) + b * cos(radians(30)), 6) as y, round(sqrt(l * l * 0.75 + b * b * 0.25), 6) as ex from regions")
+@Q("sf23_rotate", "select region, round(l * cos(radians(30)) + b * sin(radians(30)), 6) as x, round(b * cos(radians(30)) - l * sin(radians(30)), 6) as y, round(sqrt(l * l * 0.75 + b * b * 0.25), 6) as ex from regions")
 def _(spark: SparkSession, d: str) -> DataFrame:
     x, y = K.rotated(F.col("l"), F.col("b"), F.lit(30.0))
     ex, _ = K.rotated_error(F.col("l"), F.col("b"), F.lit(30.0))
     return regions(spark, d).select("region", F.round(x, 6).alias("x"), F.round(y, 6).alias("y"), F.round(ex, 6).alias("ex"))
 
 
-@Q("sf27_pointing_model", "select sample, round(-0.1 - 0.02 * sin(radians(az)) * tan(radians(el)) - 0.03 * cos(radians(az)) * tan(radians(el)) - 0.04 * tan(radians(el)) + 0.05 / cos(radians(el)), 8) as daz, round(0.2 + 0.02 * cos(radians(az)) - 0.03 * sin(radians(az)) - 0.06 * cos(radians(el)), 8) as del from samples")
+@Q("sf27_pointing_model", "with r as (select sample, radians(az) as a, radians(el) as e from samples) select sample, round(degrees((0.001 + tan(e) * (0.003 + 0.004 * cos(a) + 0.005 * sin(a))) / cos(e)), 8) as daz, round(degrees(0.002 + 0.006 * cos(e) + 0.004 * sin(a + 0.1) + 0.005 * cos(a + 0.1)), 8) as del from r")
 def _(spark: SparkSession, d: str) -> DataFrame:
-    az, el = K.pointing_offsets(F.col("az"), F.col("el"), [0.1, 0.2, 0.02, 0.03, 0.04, 0.05, 0.06])
+    az, el = K.pointing_offsets(F.col("az"), F.col("el"), [0.001, 0.002, 0.003, 0.004, 0.005, 0.006, 0.1])
     return samples(spark, d).select("sample", F.round(az, 8).alias("daz"), F.round(el, 8).alias("del"))
 
 
@@ -120,7 +120,7 @@ def _(spark: SparkSession, d: str) -> DataFrame:
     return flux(spark, d).select("obsid", "feed", F.round(K.gaussian_flux(F.col("measured"), F.col("chi2") / 60, F.col("chi2") / 50, F.lit(30.0)) / 1e6, 4).alias("jy"))
 
 
-@Q("sf33_model_flux", "with x as (select distinct source, mjd, log10(30 / 1.0) as x, 2000 + (mjd - 51544.5) / 365.25 - 2005 as y from flux) select source, mjd, round(case source when 'TauA' then pow(10, 2.9764 - 0.1984 * x - 0.0364 * x * x) * (1 - 0.00167 * y) when 'CasA' then pow(10, 3.3584 - 0.7518 * x - 0.0347 * x * x) * (1 - 0.0053 * y) when 'CygA' then pow(10, 3.3498 - 1.0022 * x - 0.2250 * x * x) end, 6) as jy from x")
+@Q("sf33_model_flux", "with x as (select distinct source, mjd, log10(30 / 40.0) as x from flux) select source, mjd, round(case source when 'TauA' then pow(10, 2.506 - 0.302 * x) * (1 - 0.0021 * (mjd - 53371) / 365.25) when 'CasA' then pow(10, 2.204 - 0.682 * x + 0.038 * x * x) * (1 - 0.0051 * (mjd - 51544) / 365.25) when 'CygA' then pow(10, 1.480 - 1.172 * x) end, 6) as jy from x")
 def _(spark: SparkSession, d: str) -> DataFrame:
     rows = flux(spark, d).select("source", "mjd").distinct()
     return rows.select("source", "mjd", F.round(K.model_flux(F.col("source"), F.lit(30.0), F.col("mjd")), 6).alias("jy"))
@@ -148,3 +148,15 @@ def _(spark: SparkSession, d: str) -> DataFrame:
 def _(spark: SparkSession, d: str) -> DataFrame:
     r = regions(spark, d).select("region", F.round("l", 6).alias("key"))
     return r.join(fields(spark, d).select("field", F.round(F.col("l") + 0.25, 6).alias("key")), "key").select("region", "field")
+
+
+@Q("sf33_jupiter_flux", "with t as (select 34.688 - 0.5 * i as f, list_extract([151.013, 150.385, 149.615, 149.876, 148.534, 147.707, 147.235, 146.635, 145.72, 145.347, 144.794, 143.911, 143.225, 142.369, 141.757], i + 1) as k from range(15) t(i)), l as (select regr_slope(log10(k), log10(f / 30)) as s, regr_intercept(log10(k), log10(f / 30)) as c from t) select sample, round(pow(10, c + s * log10((26 + band * 2) / 30.0)) * 2.481e-8 * pow(5.2 / (4 + k / 50.0), 2) * 2 * 1.380649e-23 * pow((26 + band * 2) * 1e9 / 299792458, 2) * 1e26, 6) as jy from samples, l")
+def _(spark: SparkSession, d: str) -> DataFrame:
+    return samples(spark, d).select("sample", F.round(K.jupiter_flux(26.0 + F.col("band") * 2, 4 + F.col("k") / 50.0), 6).alias("jy"))
+
+
+@Q("sf32_flux_error", "select obsid, feed, round(abs(measured) * sqrt((0.5 / measured) ** 2 + (0.1 / chi2) ** 2 + (0.2 / chi2) ** 2), 6) as err from flux where measured > 0 and chi2 > 0")
+def _(spark: SparkSession, d: str) -> DataFrame:
+    m, c = F.col("measured"), F.col("chi2")
+    rows = flux(spark, d).where("measured > 0 and chi2 > 0")
+    return rows.select("obsid", "feed", F.round(K.flux_error(m, (m, F.lit(0.5)), (c, F.lit(0.1)), (c, F.lit(0.2))), 6).alias("err"))

@@ -26,6 +26,14 @@ def shared_folder(spark: SparkSession) -> str:
     return f"{base.rstrip('/')}/tidewheel-{spark.sparkContext.applicationId}"
 
 
+def light(spark: SparkSession) -> None:
+    """Lowers the session's rows in an Arrow batch to 1,000, where more are set: texts are long, and a batch stands in the executor and in its Python worker at once."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    now = int(spark.conf.get(name))
+    if now <= 0 or now > 1000:
+        spark.conf.set(name, "1000")
+
+
 _cleaned: set[str] = set()
 
 
@@ -48,6 +56,7 @@ def scratch_path(spark: SparkSession, tag: str) -> str:
 
 def stored(df: DataFrame, tag: str, compression: str = "zstd") -> DataFrame:
     """Writes ``df`` as Parquet to the shared folder and reads it back: it cuts lineage and survives lost executors."""
+    light(df.sparkSession)
     path = scratch_path(df.sparkSession, tag)
     df.write.option("compression", compression).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
@@ -63,6 +72,7 @@ def remainder(column: str, divisor: int) -> Column:
 
 
 def documents(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
+    light(spark)
     df = spark.read.parquet(f"{sf_dir}/documents.parquet")
     return df.select(*columns) if columns else df
 
@@ -137,6 +147,7 @@ def bounded_ids(ids: DataFrame, strata: str, most: int, seed: int = 0) -> DataFr
 
     The cut for each stratum is its share of the hash range, so that no row is sorted or gathered.
     """
+    light(ids.sparkSession)
     seen = ids.groupBy(strata).count().limit(10_000).collect()
     share = F.lit(0.0)
     for r in seen:

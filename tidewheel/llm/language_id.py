@@ -25,7 +25,7 @@ from tidewheel.llm.common import bounded_ids, chunks, codes
 BUCKETS = 1 << 16
 #: N-grams of evidence beyond which a score no longer hardens.
 EVIDENCE = 200
-PIECE = 1 << 20
+PIECE = 1 << 18
 
 
 def grams(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:

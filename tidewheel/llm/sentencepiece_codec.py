@@ -27,7 +27,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from tidewheel.llm.common import codes, mix64
+from tidewheel.llm.common import codes, light, mix64
 
 SPACE = "▁"
 LONG, TOGETHER, MOST_WORDS = 200, 4096, 400_000
@@ -314,6 +314,8 @@ def model(path: str) -> Model:
 def encode(docs: DataFrame, path: str, rule: str = "", column: str = "ids") -> DataFrame:
     """(doc_id, n_tokens, ids) of (doc_id, text) rows; ids as an array of integers."""
 
+    light(docs.sparkSession)
+
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = model(path)
         for batch in batches:

@@ -51,26 +51,27 @@ def indicators(text: str, seen: np.ndarray) -> np.ndarray:
 
 
 def descend(rows: list[np.ndarray], values: np.ndarray, y: np.ndarray, cost: float, epochs: int, seed: int) -> tuple[np.ndarray, float]:
-    """Weights and bias of the L2-regularised hinge loss, by dual coordinate descent over shuffled rows."""
-    w, bias = np.zeros(len(values)), 0.0
-    own = [values[r] for r in rows]
-    norm = np.array([v @ v + 1.0 for v in own])
+    """Weights times ``values``, and bias, of the L2-regularised hinge loss over rows of indicators scaled by ``values``: dual coordinate descent in shuffled order."""
+    square = values * values
+    scaled, bias = np.zeros(len(values)), 0.0
+    norm = np.array([square[r].sum() + 1.0 for r in rows])
     dual = np.zeros(len(rows))
     rng = np.random.default_rng(seed)
     for _ in range(epochs):
         moved = 0.0
         for i in rng.permutation(len(rows)):
-            slope = y[i] * (w[rows[i]] @ own[i] + bias) - 1.0
+            r = rows[i]
+            slope = y[i] * (scaled[r].sum() + bias) - 1.0
             new = min(max(dual[i] - slope / norm[i], 0.0), cost)
             step = (new - dual[i]) * y[i]
             if step:
-                w[rows[i]] += step * own[i]
+                scaled[r] += step * square[r]
                 bias += step
                 moved = max(moved, abs(step))
                 dual[i] = new
         if moved < 1e-4 * cost:
             break
-    return w, bias
+    return scaled, bias
 
 
 def sigmoid_fit(margin: np.ndarray, y: np.ndarray) -> tuple[float, float]:
@@ -110,10 +111,11 @@ def train(rows: list[np.ndarray], y: np.ndarray, cost: float = 0.01, epochs: int
 
     def one(idx: np.ndarray) -> tuple[np.ndarray, float]:
         own, sign = [rows[i] for i in idx], np.where(y[idx] > 0, 1.0, -1.0)
-        n1, n0 = (np.bincount(np.concatenate([r for r, s in zip(own, sign, strict=True) if s == k] or [np.empty(0, int)]), minlength=BUCKETS) + alpha for k in (1, -1))
-        ratio = np.log(n1 / n1.sum()) - np.log(n0 / n0.sum())
-        w, bias = descend(own, ratio, sign, cost, epochs, seed)
-        return w * ratio, bias
+        held = np.full((2, BUCKETS), alpha)
+        for r, s in zip(own, sign, strict=True):
+            held[int(s > 0), r] += 1
+        n0, n1 = held
+        return descend(own, np.log(n1 / n1.sum()) - np.log(n0 / n0.sum()), sign, cost, epochs, seed)
 
     fold = np.random.default_rng(seed).permutation(len(y)) % 2
     margin, held = np.zeros(len(y)), np.zeros(len(y), bool)
@@ -147,7 +149,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", most_docs: i
 
     got = labelled_sample(docs, labels, label, most_docs).mapInArrow(features, "f binary, y int").collect()
     got = sorted((bytes(r["f"]), r["y"]) for r in got)  # whatever order the tasks ended in
-    rows = [np.frombuffer(f, np.uint16).astype(np.int64) for f, _ in got]
+    rows = [np.frombuffer(f, np.uint16) for f, _ in got]
     return train(rows, np.array([y for _, y in got], int), seed=seed)
 
 

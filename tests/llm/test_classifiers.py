@@ -107,6 +107,7 @@ def test_quality_indicators_and_edges(spark):
 
 def test_folding():
     assert T.fold("Idiót 1d10t ІDІОТ ｉｄｉｏｔ id!ot") == " idiot idiot idiot idiot id ot "
+    assert T.fold("you i d i o t, he i.d.i.o.t! a b") == " you idiot he idiotab "
     assert T.fold("year 2024, 10 x") == " year 2024 10 x "
     assert T.fold(None) == "  "
 

@@ -1,7 +1,8 @@
 """Toxicity: a weighted lexicon matched by Aho-Corasick over folded text.
 
 Folding lower-cases, takes compatibility forms and accents off, maps Cyrillic and Greek look-alikes to Latin
-letters and, inside words of which a third are letters, digits and signs to the letters they stand for. The lexicon holds word beginnings with log-odds weights, learned
+letters and, inside words of which a third are letters, digits and signs to the letters they stand for, and joins
+words that are spelled letter by letter. The lexicon holds word beginnings with log-odds weights, learned
 from labelled documents (or given); exception phrases, learned or given, take back the hits inside them. A
 document's score is a logistic function of the total weight of its different words and of that weight for its length.
 
@@ -35,6 +36,7 @@ _LEET = str.maketrans(LEET)
 _MIXED = re.compile(r"[0-9@$]*[^\W\d_][\w@$]*[0-9@$]\w*|[0-9@$]+[^\W\d_][\w@$]*")
 _ACCENT = re.compile("[\u0300-\u036f]+")
 _GAP = re.compile(r"[\W_]+")
+_SPELLED = re.compile(r"(?<= )(?:\w ){3,}\w(?= )")
 SHORTEST, LONGEST = 4, 12
 #: How far from chance an entry's counts must be: far, as copies make counts larger than independent texts would.
 SURPRISE = 40.0
@@ -53,7 +55,7 @@ def fold(text: str | None) -> str:
         t = _ACCENT.sub("", unicodedata.normalize("NFKD", t)).translate(_GLYPHS)
     if _MIXED.search(t):
         t = _MIXED.sub(_leet, t)
-    return f" {_GAP.sub(' ', t).strip()} "
+    return _SPELLED.sub(lambda m: m[0].replace(" ", ""), f" {_GAP.sub(' ', t).strip()} ")
 
 
 @dataclass

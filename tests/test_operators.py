@@ -128,7 +128,7 @@ def test_noise_fit_recovers_levels():
     k = np.fft.rfftfreq(n, 1 / 50)
     shape = np.sqrt(1 + 0.5**2 * np.where(k > 0, k, k[1]) ** -2.0)
     x = np.fft.irfft(np.fft.rfft(rng.normal(size=n)) * shape, n)
-    white, red, alpha = S.fit_noise(x)
+    white, red, alpha = S.fit_noise(x, k_ref=1.0)
     assert abs(white - 1) < 0.1 and abs(red - 0.5) < 0.15 and abs(alpha + 2) < 0.4
     assert S.fit_noise(np.full(100, np.nan)) is None and S.fit_noise(np.ones(2)) is None
 
@@ -187,6 +187,9 @@ def test_mask_bits(spark):
     rows = [(p, float(100 if p == 0 else p % 5), 1.0, 20 - p % 20) for p in range(49)]
     got = {r["pix"]: r["mask"] for r in M.masked(spark.createDataFrame(rows, "pix int, total double, weight double, hits int"), 7, 7, 2).collect()}
     assert got[0] & 4 and not got[24] & 4 and {p for p, m in got.items() if m & 2} <= {p for p in range(49) if 20 - p % 20 < 3}
+    rows = [(0, 4.0, 2.0, 3), (1, 0.0, 0.0, 0), (2, 5.0, 1.0, 9)]
+    got = {r["pix"]: (r["naive"], r["hits"], r["mask"]) for r in M.masked(spark.createDataFrame(rows, "pix int, total double, weight double, hits int"), 3, 1, 0).collect()}
+    assert got == {0: (None, None, 2), 1: (None, None, 3), 2: (5.0, 9, 0)}
 
 
 def test_nearest_on_sky_matches_all_pairs(spark):

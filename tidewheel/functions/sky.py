@@ -153,10 +153,9 @@ def pointing_offsets(az: Column, el: Column, p: list[float]) -> tuple[Column, Co
 
 
 def pixel(lon: Column, lat: Column, wcs: dict[str, float]) -> Column:
-    """The plate-carree pixel number y * nx + x, null outside the grid."""
+    """The plate-carree pixel number y * nx + x, null outside the grid; fractions of a pixel are cut off."""
     x = F.lit(wcs["crpix1"] - 1.0) + (lon - wcs["crval1"]) / wcs["cdelt1"]
     y = F.lit(wcs["crpix2"] - 1.0) + (lat - wcs["crval2"]) / wcs["cdelt2"]
-    x, y = x + 0.5, y + 0.5
     inside = (x >= 0) & (y >= 0) & (x < wcs["nx"]) & (y < wcs["ny"])
     return F.when(inside, F.floor(y) * int(wcs["nx"]) + F.floor(x)).cast("bigint")
 

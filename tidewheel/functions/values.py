@@ -86,5 +86,5 @@ def parse_utc(text: Column) -> Column:
 
 
 def map_mask(hits: Column, low: Column, edge: Column) -> Column:
-    """Bits: 1 never hit, 2 few hits, 4 clipped border."""
-    return (F.when(hits <= 0, 1).otherwise(0).bitwiseOR(F.when((hits > 0) & low, 2).otherwise(0))).bitwiseOR(F.when(edge, 4).otherwise(0))
+    """Bits: 1 never hit, 2 few hits (or none), 4 clipped border."""
+    return F.when(hits <= 0, 1).otherwise(0).bitwiseOR(F.when(low, 2).otherwise(0)).bitwiseOR(F.when(edge, 4).otherwise(0))

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidewheel.functions.values import map_mask
+
 
 def binned(df: DataFrame, keys: list[str], value: Column, weight: Column) -> DataFrame:
     """(keys, total, weight, hits): weighted sum, weight sum and count; rows with a null pixel go."""
@@ -82,16 +84,24 @@ def offset_map(cells: DataFrame, offsets: DataFrame) -> DataFrame:
     return sky(rows, "_wv").withColumnRenamed("sky", "offset_map")
 
 
-def masked(maps: DataFrame, nx: int, ny: int, border: int = 2) -> DataFrame:
-    """Naive map, rms and mask bits of (pix, total, weight, hits): few hits below the 5th percentile, border outliers outside the interior's 0.5 and 99.5 percentiles."""
+def masked(maps: DataFrame, nx: int, ny: int, border: int = 2, value: str = "naive") -> DataFrame:
+    """Map, rms, hits and mask bits of (pix, total, weight, hits); what is masked is null.
+
+    Bits: 1 never hit, 2 fewer hits than the 5th percentile of hit pixels (1 at least), 4 border pixels outside the
+    interior's 0.5 and 99.5 percentiles of ``value`` (the naive map, or a column of ``maps`` such as a destriped one).
+    """
     rows = maps.withColumn("naive", F.try_divide("total", "weight")).withColumn("rms", F.sqrt(F.try_divide(F.lit(1.0), F.col("weight"))))
     x, y = F.col("pix") % nx, F.floor(F.col("pix") / nx)
+    hit = F.col("hits") > 0
     rows = rows.withColumn("_edge", (x < border) | (y < border) | (x >= nx - border) | (y >= ny - border))
+    inner = F.when(~F.col("_edge") & hit, F.col(value))
     cuts = rows.agg(
-        F.greatest(F.percentile(F.when(F.col("hits") > 0, F.col("hits")), F.lit(0.05)), F.lit(1.0)).alias("_low"),
-        F.percentile(F.when(~F.col("_edge"), F.col("naive")), F.lit(0.005)).alias("_from"), F.percentile(F.when(~F.col("_edge"), F.col("naive")), F.lit(0.995)).alias("_to"),
+        F.greatest(F.percentile(F.when(hit, F.col("hits")), F.lit(0.05)), F.lit(1.0)).alias("_low"),
+        F.percentile(inner, F.lit(0.005)).alias("_from"), F.percentile(inner, F.lit(0.995)).alias("_to"),
     )
     rows = rows.crossJoin(F.broadcast(cuts))  # one row of cuts
-    few, out = F.col("hits") < F.col("_low"), F.col("_edge") & ~F.col("naive").between(F.col("_from"), F.col("_to"))
-    mask = F.when(F.col("hits") <= 0, 1).otherwise(0).bitwiseOR(F.when((F.col("hits") > 0) & few, 2).otherwise(0)).bitwiseOR(F.when(F.coalesce(out, F.lit(False)), 4).otherwise(0))
-    return rows.select("pix", "naive", "rms", "hits", mask.cast("bigint").alias("mask"))
+    out = F.coalesce(F.col("_edge") & hit & ~F.col(value).between(F.col("_from"), F.col("_to")), F.lit(False))
+    mask = map_mask(F.col("hits"), F.col("hits") < F.col("_low"), out).cast("bigint")
+    own = dict.fromkeys(["naive", value, "rms", "hits"])
+    rows = rows.withColumn("mask", mask)
+    return rows.select("pix", *[F.when(F.col("mask") == 0, F.col(c)).alias(c) for c in own], "mask")

@@ -27,13 +27,13 @@ def less_atmosphere(df: DataFrame, fit: DataFrame, keys: list[str], value: str,
 
 
 def frequency_bins(df: DataFrame, keys: list[str], channel: str, size: int, value: str, weight: str, freq: str) -> DataFrame:
-    """(keys, bin, value, freq, width): weighted mean of blocks of ``size`` channels, weighted centre and rms width; masked (null) where the weight is zero or more than half the channels weigh nothing."""
+    """(keys, bin, value, freq, width, masked): weighted mean of blocks of ``size`` channels, null without weight, weighted centre and rms width; masked without weight or where more than half the channels weigh nothing."""
     w, v, f = F.col(weight), F.col(value), F.col(freq)
     sums = df.groupBy(*keys, F.floor(F.col(channel) / size).alias("bin")).agg(
         F.sum(w).alias("_w"), F.sum(w * v).alias("_wv"), F.sum(w * f).alias("_wf"), F.sum(w * f * f).alias("_wff"), F.count_if(w == 0).alias("_none"), F.count(F.lit(1)).alias("_n"))
-    open_ = (F.col("_w") > 0) & (2 * F.col("_none") <= F.col("_n"))
-    centre = F.col("_wf") / F.col("_w")
-    return sums.where("_w > 0").select(*keys, "bin", F.when(open_, F.col("_wv") / F.col("_w")).alias("value"), centre.alias("freq"), F.sqrt(F.greatest(F.lit(0.0), F.col("_wff") / F.col("_w") - centre * centre)).alias("width"))
+    centre = F.try_divide(F.col("_wf"), F.col("_w"))
+    spread = F.sqrt(F.greatest(F.lit(0.0), F.try_divide(F.col("_wff"), F.col("_w")) - centre * centre))
+    return sums.select(*keys, "bin", F.try_divide("_wv", "_w").alias("value"), centre.alias("freq"), spread.alias("width"), ((F.col("_w") == 0) | (2 * F.col("_none") > F.col("_n"))).alias("masked"))
 
 
 def gain(df: DataFrame, keys: list[str], time: str, channel: str, value: str, templates: tuple[str, str]) -> DataFrame:
@@ -92,7 +92,7 @@ def polynomial_fit(df: DataFrame, keys: list[str], x: str, y: str, origin: float
 
 
 def _spectrum(x: np.ndarray, rate: float, bins: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Log-spaced frequencies, mean power and counts of a series; bins without a frequency are left out."""
+    """Centres of log-spaced bins, mean power and counts of a series; bins without a frequency are left out."""
     n = len(x)
     power = np.abs(np.fft.rfft(x - x.mean())[1 : n // 2]) ** 2 / n
     freq = np.fft.rfftfreq(n, 1 / rate)[1 : n // 2]
@@ -100,10 +100,10 @@ def _spectrum(x: np.ndarray, rate: float, bins: int) -> tuple[np.ndarray, np.nda
     at = np.clip(np.searchsorted(edges, freq, side="right") - 1, 0, bins - 1)
     count = np.bincount(at, minlength=bins)
     some = count > 0
-    return np.bincount(at, freq, bins)[some] / count[some], np.bincount(at, power, bins)[some] / count[some], count[some]
+    return (edges[1:] + edges[:-1])[some] / 2, np.bincount(at, power, bins)[some] / count[some], count[some]
 
 
-def fit_noise(x: np.ndarray, rate: float = 50.0, bins: int = 100, k_ref: float = 1.0) -> tuple[float, float, float] | None:
+def fit_noise(x: np.ndarray, rate: float = 50.0, bins: int = 100, k_ref: float = 0.1) -> tuple[float, float, float] | None:
     """White level, red level at ``k_ref`` and slope of a series' spectrum: log residuals weighted by the square root of the counts, by damped Gauss-Newton steps kept within the bounds."""
     x = x[np.isfinite(x)]
     if len(x) < 16 or not np.ptp(x):

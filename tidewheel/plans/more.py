@@ -276,7 +276,7 @@ def _(spark: SparkSession, d: str) -> DataFrame:
     return observations(spark, d).where(V.wildcard(s, "g?ield1*") | V.wildcard(s, "gfield1?, *")).select("obsid", "source")
 
 
-@Q("sf45_mask_bits", "select pix, (case when h = 0 then 1 else 0 end | case when h > 0 and h < 40 then 2 else 0 end | case when pix < 15 then 4 else 0 end)::bigint as bits from (select pix, count(*) as h from samples group by 1)")
+@Q("sf45_mask_bits", "select pix, (case when h = 0 then 1 else 0 end | case when h < 40 then 2 else 0 end | case when pix < 15 then 4 else 0 end)::bigint as bits from (select pix, count(*) as h from samples group by 1)")
 def _(spark: SparkSession, d: str) -> DataFrame:
     h = samples(spark, d).groupBy("pix").agg(F.count(F.lit(1)).alias("h"))
     return h.select("pix", V.map_mask(F.col("h"), F.col("h") < 40, F.col("pix") < 15).cast("bigint").alias("bits"))

@@ -137,7 +137,7 @@ def _(spark: SparkSession, d: str) -> DataFrame:
     return out.select("obsid", F.size(F.coalesce("flags", F.array())).cast("bigint").alias("n"), nan.cast("bigint").alias("nan"))
 
 
-@Q("sk4_map_product", "with m as (select sum(w * tod) / sum(w) as naive from samples group by pix) select round(min(naive), 6) as datamin, round(max(naive), 6) as datamax from m")
+@Q("sk4_map_product", "with m as (select pix, sum(w * tod) / sum(w) as naive, count(*) as hits from samples group by pix), e as (select *, pix % 15 < 2 or pix // 15 < 2 or pix % 15 >= 13 or pix // 15 >= 13 as edge from m), c as (select greatest(quantile_cont(hits, 0.05), 1) as low, quantile_cont(naive, 0.005) filter (not edge) as lo, quantile_cont(naive, 0.995) filter (not edge) as hi from e) select round(min(naive), 6) as datamin, round(max(naive), 6) as datamax from e, c where hits >= low and not (edge and not naive between lo and hi)")
 def _(spark: SparkSession, d: str) -> DataFrame:
     path = folder(spark, "product")
     m = M.masked(M.binned(samples(spark, d), ["pix"], F.col("tod"), F.col("w")), 15, 15)

@@ -199,10 +199,10 @@ def _(spark: SparkSession, d: str) -> DataFrame:
     return per.groupBy("feed", "band").agg(F.round(F.avg("m"), 8).alias("mean"), F.round(F.percentile("m", F.lit(0.5)), 8).alias("mid"))
 
 
-@Q("ag14_frequency_bins", "with r as (select sample, channel, value, (channel % 4)::double as w, 26 + channel * 0.125 as f from spectra) select sample, channel // 16 as bin, round(case when 2 * count(*) filter (w = 0) <= count(*) then sum(w * value) / sum(w) end, 9) as value, round(sum(w * f) / sum(w), 9) as freq from r group by 1, 2 having sum(w) > 0")
+@Q("ag14_frequency_bins", "with r as (select sample, channel, value, (channel % 4)::double as w, 26 + channel * 0.125 as f from spectra) select sample, channel // 16 as bin, round(sum(w * value) / sum(w), 9) as value, round(sum(w * f) / sum(w), 9) as freq, sum(w) = 0 or 2 * count(*) filter (w = 0) > count(*) as masked from r group by 1, 2")
 def _(spark: SparkSession, d: str) -> DataFrame:
     rows = spectra(spark, d).withColumn("w", (F.col("channel") % 4).cast("double")).withColumn("f", 26 + F.col("channel") * 0.125)
-    return S.frequency_bins(rows, ["sample"], "channel", 16, "value", "w", "f").select("sample", "bin", F.round("value", 9).alias("value"), F.round("freq", 9).alias("freq"))
+    return S.frequency_bins(rows, ["sample"], "channel", 16, "value", "w", "f").select("sample", "bin", F.round("value", 9).alias("value"), F.round("freq", 9).alias("freq"), "masked")
 
 
 @Q("ag15_bin_tod_to_map", "select pix, round(sum(w * tod), 4) as total, sum(w) as weight, count(*) as hits from samples group by 1")
@@ -380,7 +380,7 @@ def _(spark: SparkSession, d: str) -> DataFrame:
     return M.destriped(_cells(spark, d), most_rounds=30)[0]
 
 
-@Q("kn28_map_masks", "with m as (select pix, sum(w * tod) / sum(w) as naive, sqrt(1 / sum(w)) as rms, count(*) as hits from samples group by 1), e as (select *, pix % 15 < 2 or pix // 15 < 2 or pix % 15 >= 13 or pix // 15 >= 13 as edge from m), c as (select greatest(quantile_cont(hits, 0.05), 1) as low, quantile_cont(naive, 0.005) filter (not edge) as lo, quantile_cont(naive, 0.995) filter (not edge) as hi from e) select pix, round(naive, 6) as naive, round(rms, 6) as rms, hits, ((case when hits < low then 2 else 0 end) + (case when edge and not naive between lo and hi then 4 else 0 end))::bigint as mask from e, c")
+@Q("kn28_map_masks", "with m as (select pix, sum(w * tod) / sum(w) as naive, sqrt(1 / sum(w)) as rms, count(*) as hits from samples group by 1), e as (select *, pix % 15 < 2 or pix // 15 < 2 or pix % 15 >= 13 or pix // 15 >= 13 as edge from m), c as (select greatest(quantile_cont(hits, 0.05), 1) as low, quantile_cont(naive, 0.005) filter (not edge) as lo, quantile_cont(naive, 0.995) filter (not edge) as hi from e) select pix, case when mask = 0 then round(naive, 6) end as naive, case when mask = 0 then round(rms, 6) end as rms, case when mask = 0 then hits end as hits, mask from (select *, ((case when hits < low then 2 else 0 end) + (case when edge and not naive between lo and hi then 4 else 0 end))::bigint as mask from e, c)")
 def _(spark: SparkSession, d: str) -> DataFrame:
     m = M.binned(samples(spark, d), ["pix"], F.col("tod"), F.col("w"))
     return M.masked(m, 15, 15).select("pix", F.round("naive", 6).alias("naive"), F.round("rms", 6).alias("rms"), "hits", "mask")

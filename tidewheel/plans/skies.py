@@ -99,7 +99,7 @@ def _(spark: SparkSession, d: str) -> DataFrame:
     return samples(spark, d).select("sample", F.round(az, 8).alias("daz"), F.round(el, 8).alias("del"))
 
 
-@Q("sf28_world_to_pixel", "with p as (select region, 90.0 + (l - 180) / -2.0 + 0.5 as x, 45.0 + b / 2.0 + 0.5 as y from regions) select region, case when x >= 0 and y >= 0 and x < 181 and y < 91 then (floor(y) * 181 + floor(x))::bigint end as pix from p")
+@Q("sf28_world_to_pixel", "with p as (select region, 90.0 + (l - 180) / -2.0 as x, 45.0 + b / 2.0 as y from regions) select region, case when x >= 0 and y >= 0 and x < 181 and y < 91 then (floor(y) * 181 + floor(x))::bigint end as pix from p")
 def _(spark: SparkSession, d: str) -> DataFrame:
     return regions(spark, d).select("region", K.pixel(F.col("l"), F.col("b"), WCS).alias("pix"))
 

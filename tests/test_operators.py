@@ -134,13 +134,17 @@ def test_noise_fit_recovers_levels():
 
 
 def test_gaussian_fit_recovers_a_source(spark):
-    g = np.linspace(-0.2, 0.2, 25)
+    g = np.linspace(-0.2, 0.2, 41)
     x, y = (v.ravel() for v in np.meshgrid(g, g))
-    v = 2.5 * np.exp(-0.5 * (((x - 0.0167) / 0.032) ** 2 + ((y + 0.01) / 0.03) ** 2)) + 0.3
-    df = spark.createDataFrame([(1, float(a), float(b), float(c)) for a, b, c in zip(x, y, v, strict=True)] + [(2, 0.0, 0.0, 1.0)], "k int, x double, y double, v double")
-    got = {r["k"]: r for r in S.source_fits(df, ["k"], "x", "y", "v", 0.035, 0.3).collect()}
-    assert [got[1][c] for c in ("amplitude", "x0", "y0", "s1", "s2", "base")] == pytest.approx([2.5, 0.0167, -0.01, 0.032, 0.03, 0.3], abs=1e-6)
-    assert got[1]["usable"] and got[2]["amplitude"] is None
+    rng = np.random.default_rng(2)
+    clean = 2.5 * np.exp(-0.5 * (((x - 0.0167) / 0.032) ** 2 + ((y + 0.01) / 0.03) ** 2))
+    rows = [(k, i, float(a), float(b), float(c)) for k, v in ((1, clean), (3, clean + rng.normal(0, 0.01, len(x))), (4, -clean)) for i, (a, b, c) in enumerate(zip(x, y, v, strict=True))]
+    df = spark.createDataFrame([*rows, (2, 0, 0.0, 0.0, 1.0)], "k int, i int, x double, y double, v double").repartition(4)
+    got = {r["k"]: r for r in S.source_fits(df, ["k"], "i", "x", "y", "v", 0.032, 0.15).collect()}
+    assert [got[1][c] for c in ("amplitude", "x0", "y0", "s1", "s2")] == pytest.approx([2.5, 0.0167, -0.01, 0.032, 0.03], abs=1e-6)
+    assert got[3]["x0"] == pytest.approx(0.0167, abs=5 * got[3]["x0_error"]) and got[3]["chi2"] is not None
+    assert got[2]["amplitude"] is None and got[4]["amplitude"] is None
+    assert S.background_noise(np.zeros(4), np.zeros(4), np.array([1.0, 2.0, 1.0, 4.0]), 1.0) == pytest.approx(1 / math.sqrt(2))
 
 
 def test_robust_trend_ignores_spikes():

@@ -215,7 +215,7 @@ def prior_gain(df: DataFrame, keys: list[str], order: str, value: str, white: fl
 
 
 def gaussian_fit(x: np.ndarray, y: np.ndarray, v: np.ndarray, width: float, rounds: int = 60) -> tuple[np.ndarray, np.ndarray, float] | None:
-    """Amplitude, centre, two widths and a constant of a 2-D Gaussian by Levenberg-Marquardt steps; their errors and the reduced chi square (per unit variance)."""
+    """Amplitude, centre, two widths and a constant of a 2-D Gaussian by Levenberg-Marquardt steps; their errors for data of unit noise, and the mean square residual."""
     good = np.isfinite(x) & np.isfinite(y) & np.isfinite(v)
     x, y, v = x[good], y[good], v[good]
     if len(v) < 10:
@@ -249,28 +249,49 @@ def gaussian_fit(x: np.ndarray, y: np.ndarray, v: np.ndarray, width: float, roun
             damp *= 5
             if damp > 1e12:
                 break
-    chi2 = cost / max(1, len(v) - 6)
-    error = np.sqrt(np.abs(np.diag(np.linalg.pinv(j.T @ j))) * chi2)
-    return p, error, float(chi2)
+    return p, np.sqrt(np.abs(np.diag(np.linalg.pinv(j.T @ j)))), float(cost / max(1, len(v) - 6))
 
 
-def source_fits(df: DataFrame, keys: list[str], x: str, y: str, value: str, width: float, radius: float) -> DataFrame:
-    """(keys, amplitude, x0, y0, s1, s2, base, error, chi2, usable): a Gaussian fit of each group's samples within ``radius``; unfit rows are null."""
+def background_noise(x: np.ndarray, y: np.ndarray, v: np.ndarray, sigma: float) -> float:
+    """Standard deviation in the ring between 1.5 and 3 beam sigmas where it has more than 20 samples, else of disjoint neighbours."""
+    r2 = x * x + y * y
+    ring = (r2 > (1.5 * sigma) ** 2) & (r2 < (3.0 * sigma) ** 2)
+    if np.count_nonzero(ring) > 20:
+        return float(np.nanstd(v[ring]))
+    even = len(v) // 2 * 2
+    return float(np.nanstd(v[1:even:2] - v[:even:2]) / np.sqrt(2)) if even else 0.0
+
+
+def source_fits(df: DataFrame, keys: list[str], order: str, x: str, y: str, value: str, sigma: float, radius: float) -> DataFrame:
+    """A Gaussian fit of each group's samples within ``radius`` of the source, in offsets from it.
+
+    (keys, amplitude, x0, y0, s1, s2, base, their errors, noise, chi2): chi2 is reduced, over samples within one beam
+    sigma, against the background's noise. Null where the noise is zero or unknown, where fewer than 10 samples are
+    near, and where the fit has a negative amplitude, a width above 3 beam sigmas or a centre outside the radius.
+    """
     names = ["amplitude", "x0", "y0", "s1", "s2", "base"]
-    schema = ", ".join([*(f"{k} {df.schema[k].dataType.simpleString()}" for k in keys), *(f"{n} double" for n in names), "error double, chi2 double, usable boolean"])
+    columns = [*names, *(f"{n}_error" for n in names), "noise", "chi2"]
+    schema = ", ".join([*(f"{k} {df.schema[k].dataType.simpleString()}" for k in keys), *(f"{n} double" for n in columns)])
 
     def one(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        got = gaussian_fit(*(rows[c].to_numpy(float) for c in (x, y, value)), width)
-        if got is None:
-            out = [None] * 8 + [False]
-        else:
-            p, e, chi2 = got
-            ok = p[0] > 0 and max(p[3], p[4]) < 3 * width and np.hypot(p[1], p[2]) < radius
-            out = [*p, e[0], chi2, bool(ok)]
-        return pd.DataFrame([[*key, *out]], columns=[*keys, *names, "error", "chi2", "usable"])
-
-    near = df.where(F.col(x) * F.col(x) + F.col(y) * F.col(y) < radius * radius)
-    return near.select(*keys, x, y, value).groupBy(*keys).applyInPandas(one, schema)
+        rows = rows.sort_values(order)
+        px, py, v = (rows[c].to_numpy(float) for c in (x, y, value))
+        noise, out = background_noise(px, py, v, sigma), [None] * len(columns)
+        near = (px * px + py * py < radius * radius) & np.isfinite(v)
+        if noise and np.isfinite(noise) and near.sum() >= 10:
+            px, py, v = px[near], py[near], v[near]
+            v = v - np.median(v)
+            got = gaussian_fit(px, py, v, sigma)
+            if got and got[0][0] >= 0 and max(got[0][3], got[0][4]) <= 3 * sigma and np.hypot(got[0][1], got[0][2]) <= radius:
+                p, unit, _ = got
+                model = p[0] * np.exp(-0.5 * (((px - p[1]) / p[3]) ** 2 + ((py - p[2]) / p[4]) ** 2)) + p[5]
+                close = px * px + py * py < sigma * sigma
+                free = close.sum() - len(names)
+                chi2 = float((((v - model)[close] / noise) ** 2).sum() / free) if free > 0 else None
+                out = [*p, *(unit * noise), noise, chi2]
+        return pd.DataFrame([[*key, *out]], columns=[*keys, *columns])
+
+    return df.select(*dict.fromkeys([*keys, order, x, y, value])).groupBy(*keys).applyInPandas(one, schema)
 
 
 def long_median(df: DataFrame, keys: list[str], order: str, value: str, size: int, out: str) -> DataFrame:

@@ -368,8 +368,8 @@ def _(spark: SparkSession, d: str) -> DataFrame:
 
 @Q("kn34_source_fit")
 def _(spark: SparkSession, d: str) -> DataFrame:
-    rows = samples(spark, d).select("feed", ((F.col("az") - 109) / 10).alias("x"), ((F.col("el") - 50) / 10).alias("y"), "tod")
-    return S.source_fits(rows, ["feed"], "x", "y", "tod", 0.3, 0.8)
+    rows = samples(spark, d).select("feed", "sample", ((F.col("az") - 109) / 10).alias("x"), ((F.col("el") - 50) / 10).alias("y"), "tod")
+    return S.source_fits(rows, ["feed"], "sample", "x", "y", "tod", 0.3, 0.8)
 
 
 @Q("ct7_resolve_files", "select obsid, level2_path from observations o where source_group in ('Galactic', 'Foreground') and level2_path <> '' and exists (select 1 from flags f where f.obsid = o.obsid and is_good)")

@@ -341,8 +341,8 @@ def _(spark: SparkSession, d: str) -> DataFrame:
 @Q("kn37_fit_in_map")
 def _(spark: SparkSession, d: str) -> DataFrame:
     m = M.binned(samples(spark, d), ["pix"], F.col("tod"), F.col("w"))
-    rows = m.select(F.lit(1).alias("source"), ((F.col("pix") % 15 - 7) / 7.0).alias("x"), ((F.floor(F.col("pix") / 15) - 7) / 7.0).alias("y"), (F.col("total") / F.col("weight")).alias("v"))
-    return S.source_fits(rows, ["source"], "x", "y", "v", 0.3, 1.0)
+    rows = m.select(F.lit(1).alias("source"), "pix", ((F.col("pix") % 15 - 7) / 7.0).alias("x"), ((F.floor(F.col("pix") / 15) - 7) / 7.0).alias("y"), (F.col("total") / F.col("weight")).alias("v"))
+    return S.source_fits(rows, ["source"], "pix", "x", "y", "v", 0.3, 1.0)
 
 
 @Q("kn46_first_plane", "select sample, value from spectra where channel = 0")

@@ -119,6 +119,15 @@ def test_common_counts():
     assert L.common(sets, np.arange(4), np.arange(4), columns=1).tolist() == [[2 if {i, j} <= {0, 1} else 0 for j in range(4)] for i in range(4)]
 
 
+@pytest.mark.parametrize("size", [10**6, 500, 37])
+def test_common_counts_in_slices(monkeypatch, size):
+    monkeypatch.setattr(L, "SLICE", size)
+    rng = np.random.default_rng(0)
+    sets = [np.unique(rng.integers(0, 2000, rng.integers(0, 300)).astype(np.uint64) * np.uint64(4611686018427387)) for _ in range(30)]
+    got = L.common(sets, np.arange(30), np.arange(30), 7)
+    assert all(got[i, j] == len(np.intersect1d(sets[i], sets[j])) for i in range(30) for j in range(30) if i != j)
+
+
 def test_components(spark):
     edges = [(k + 1, k) for k in range(40)] + [(100, 101), (102, 101), (50, 50)] + [(200, k) for k in range(201, 260)]
     got = {r["node"]: r["label"] for r in L.components(spark.createDataFrame(edges, "a long, b long")).collect()}

@@ -54,28 +54,47 @@ def by_unit(rows: DataFrame, f: Callable[[dict, list], Iterator[pa.RecordBatch]
     return rows.select(*UNIT, *names).repartition(*UNIT).sortWithinPartitions(*UNIT, "node").mapInArrow(apply, schema)
 
 
+#: Values that are compared at once.
+SLICE = 1_000_000
+
+
 def common(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray, columns: int = 2048) -> np.ndarray:
-    """Sizes of the intersections of the sets ``left`` with the sets ``right`` (row numbers), by products of incidence matrices over the values that two sets or more hold."""
+    """Sizes of the intersections of the sets ``left`` with the sets ``right`` (row numbers of sorted sets).
+
+    The range of values is cut into slices of about SLICE values; each adds the products of incidence matrices over
+    the values that two sets or more hold, ``columns`` at a time, so memory grows with neither.
+    """
+    out = np.zeros((len(left), len(right)), np.float32)
+    slices = -(-sum(map(len, sets)) // SLICE)
+    if slices <= 1:
+        _add_common(out, sets, left, right, columns)
+    else:
+        top = max(int(s[-1]) for s in sets if len(s)) + 1
+        bounds = np.array([top * k // slices for k in range(slices + 1)], np.uint64)
+        cuts = [np.searchsorted(s, bounds) for s in sets]
+        for k in range(slices):
+            _add_common(out, [s[c[k] : c[k + 1]] for s, c in zip(sets, cuts, strict=True)], left, right, columns)
+    return out.astype(np.int64)
+
+
+def _add_common(out: np.ndarray, sets: list[np.ndarray], left: np.ndarray, right: np.ndarray, columns: int) -> None:
     flat = np.concatenate(sets) if sets else np.zeros(0, np.uint64)
     if not len(flat):
-        return np.zeros((len(left), len(right)), np.int64)
-    owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+        return
+    owner = np.repeat(np.arange(len(sets), dtype=np.int32), [len(s) for s in sets])
     order = np.argsort(flat, kind="stable")
     flat, owner = flat[order], owner[order]
-    new = np.concatenate([[True], flat[1:] != flat[:-1]])
-    group = np.cumsum(new) - 1
+    group = np.cumsum(np.concatenate([[True], flat[1:] != flat[:-1]])) - 1
     shared = np.bincount(group)[group] > 1
     owner, group = owner[shared], group[shared]
     if not len(owner):
-        return np.zeros((len(left), len(right)), np.int64)
+        return
     group = np.cumsum(np.concatenate([[0], (np.diff(group) != 0).astype(np.int64)]))
-    out = np.zeros((len(left), len(right)), np.float32)
     for lo in range(0, int(group[-1]) + 1, columns):
         a, b = np.searchsorted(group, [lo, lo + columns])
         m = np.zeros((len(sets), min(columns, int(group[-1]) + 1 - lo)), np.float32)
         m[owner[a:b], group[a:b] - lo] = 1
         out += m[left] @ m[right].T
-    return out.astype(np.int64)
 
 
 def forest(n: int, a: np.ndarray, b: np.ndarray) -> list[tuple[int, int]]:

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from tidewheel.llm.common import codes, light, mix64
 
 SPACE = "▁"
-LONG, TOGETHER, MOST_WORDS = 200, 4096, 400_000
+LONG, TOGETHER, MOST_WORDS = 200, 4096, 100_000
 _GONE = np.iinfo(np.int64).min
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _UNIT = re.compile(f"{SPACE}+[^{SPACE}]*")
@@ -320,10 +320,10 @@ def encode(docs: DataFrame, path: str, rule: str = "", column: str = "ids") -> D
         m = model(path)
         for batch in batches:
             texts = batch.column(1).to_pylist()
-            for lo in range(0, len(texts), 1000):
-                part = texts[lo : lo + 1000]
+            for lo in range(0, len(texts), 256):
+                part = texts[lo : lo + 256]
                 ids = [np.frombuffer(x, "<u4").astype(np.int32) for x in m.encode_all(part, rule)]
-                yield pa.RecordBatch.from_arrays([batch.column(0)[lo : lo + 1000], pa.array([len(x) for x in ids], pa.int64()), pa.array(ids, pa.list_(pa.int32()))], names=["doc_id", "n_tokens", column])
+                yield pa.RecordBatch.from_arrays([batch.column(0)[lo : lo + 256], pa.array([len(x) for x in ids], pa.int64()), pa.array(ids, pa.list_(pa.int32()))], names=["doc_id", "n_tokens", column])
 
     schema = ", ".join([f"doc_id {docs.schema['doc_id'].dataType.simpleString()}", "n_tokens long", f"{column} array<int>"])
     return docs.select("doc_id", "text").mapInArrow(apply, schema)
@@ -347,14 +347,14 @@ def digests(docs: DataFrame, path: str, rule: str = "") -> DataFrame:
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = model(path)
         for batch in batches:
-            for lo in range(0, batch.num_rows, 1000):
-                part, rows = batch.column(1)[lo : lo + 1000].to_pylist(), []
+            for lo in range(0, batch.num_rows, 256):
+                part, rows = batch.column(1)[lo : lo + 256].to_pylist(), []
                 for t, ids in zip(part, m.encode_all(part, rule), strict=True):
                     back = m.decode(ids)
                     rows.append((len(ids) // 4, zlib.crc32(ids), len(back), hashlib.sha256(back.encode()).hexdigest(), back == (t or "").replace(SPACE, " ")))
                 cols = list(zip(*rows, strict=True))
                 kinds = (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.bool_())
-                yield pa.RecordBatch.from_arrays([batch.column(0)[lo : lo + 1000], *[pa.array(c, k) for c, k in zip(cols, kinds, strict=True)]], names=["doc_id", "n_pieces", "ids_crc32", "decoded_chars", "decoded_sha256", "round_trip"])
+                yield pa.RecordBatch.from_arrays([batch.column(0)[lo : lo + 256], *[pa.array(c, k) for c, k in zip(cols, kinds, strict=True)]], names=["doc_id", "n_pieces", "ids_crc32", "decoded_chars", "decoded_sha256", "round_trip"])
 
     schema = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, n_pieces long, ids_crc32 long, decoded_chars long, decoded_sha256 string, round_trip boolean"
     return docs.select("doc_id", "text").mapInArrow(apply, schema)

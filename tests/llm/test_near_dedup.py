@@ -133,3 +133,11 @@ def test_components(spark):
     got = {r["node"]: r["label"] for r in L.components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {k: 0 for k in range(1, 41)} | {101: 100, 102: 100} | {k: 200 for k in range(201, 260)}
     assert L.components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_sql(spark):
+    from tests.oracle import compare, connection
+    from tidewheel.llm import queries
+
+    sf_dir = "/root/testdata/sf0.001"
+    compare(spark, connection(sf_dir), sf_dir, queries.queries()["op5_minhash_dedup"], queries.oracle_sql()["op5_minhash_dedup"])

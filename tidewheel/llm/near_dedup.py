@@ -219,3 +219,20 @@ def near_duplicates(docs: DataFrame, percent: int = 80, few: int = 2_000_000) ->
     joined = real.select("doc_id", "n_shingles", "key").join(named, "key").select("doc_id", "n_shingles", "component_id")
     alone = rows.where("n_shingles = 0 or doc_id is null").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
     return joined.unionByName(alone).select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
+
+
+def near_duplicates_sql(percent: int = 80) -> str:
+    """DuckDB SQL for ``near_duplicates`` over the table documents, by all pairs that share a shingle: for small tables."""
+    return f"""
+with recursive w as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') as ws from documents),
+sh as (
+  select distinct doc_id, unnest(case when len(ws) >= {WORDS} then list_transform(range(1, len(ws) - {WORDS - 2}), lambda i: array_to_string(ws[i:i + {WORDS - 1}], ' ')) when len(ws) > 0 then [array_to_string(ws, ' ')] else [] end) as s from w),
+n as (select doc_id, count(*) as n from sh group by 1),
+pairs as (select a.doc_id as a, b.doc_id as b, count(*) as i from sh a join sh b on a.s = b.s and a.doc_id < b.doc_id group by 1, 2),
+links as (select a, b from pairs join n x on x.doc_id = a join n y on y.doc_id = b where 100 * i >= {percent} * (x.n + y.n - i)),
+edges as (select a, b from links union all select b, a from links),
+reach(node, label) as (select doc_id, doc_id from documents union select e.b, r.label from reach r join edges e on e.a = r.node where r.label < e.b),
+least as (select node, min(label) as label from reach group by 1)
+select doc_id, coalesce(n, 0)::bigint as n_shingles, label as component_id, doc_id = label as kept
+from documents left join n using (doc_id) join least on node = doc_id"""

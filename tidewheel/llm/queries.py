@@ -86,4 +86,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_mixing": mixing.mixture_sql()}
+    return {"op4_mixing": mixing.mixture_sql(), "op5_minhash_dedup": near_dedup.near_duplicates_sql(85)}

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewheel.functions.values import polynomial
+from tidewheel.operators.ordered import neighbours
 
 
 def gain_ratios(flux: DataFrame, chi2: float, low: float = 0.3, high: float = 3.0, least: int = 10) -> DataFrame:
@@ -22,13 +23,9 @@ def mean_models(ratios: DataFrame) -> DataFrame:
 
 def nearest_in_time(left: DataFrame, right: DataFrame, keys: list[str], time: str, value: str) -> DataFrame:
     """``value`` of the row of ``right`` that is nearest in time, the earlier on a tie; beyond the ends the end's."""
-    from tidewheel.operators.ordered import asof
-
-    r = right.select(*keys, F.col(time).alias("_rt"), value)
-    back = asof(left, r, keys, time, "_rt", value).withColumnsRenamed({"_t": "_t0", value: "_v0"})
-    both = asof(back, r, keys, time, "_rt", value, forward=True)
-    first = F.col("_t").isNull() | (F.col(time) - F.col("_t0") <= F.col("_t") - F.col(time))
-    return both.select(*left.columns, F.when(F.col("_t0").isNotNull() & first, F.col("_v0")).otherwise(F.col(value)).alias(value))
+    both = neighbours(left, right.select(*keys, F.col(time).alias("_rt"), value), keys, time, "_rt", value)
+    first = F.col("_t1").isNull() | (F.col(time) - F.col("_t0") <= F.col("_t1") - F.col(time))
+    return both.select(*left.columns, F.when(F.col("_t0").isNotNull() & first, F.col("_v0")).otherwise(F.col("_v1")).alias(value))
 
 
 def calibrated(samples: DataFrame, models: DataFrame, keys: list[str], value: str, origin: float = 59000.0) -> DataFrame:

@@ -40,36 +40,46 @@ def circular_groups(df: DataFrame, value: str, half: float, period: float = 24.0
     return rows.withColumn("grp", F.dense_rank().over(w.orderBy("grp")).cast("bigint") - 1).drop("_wrap")
 
 
-def asof(left: DataFrame, right: DataFrame, keys: list[str], lt: str, rt: str, value: str, forward: bool = False) -> DataFrame:
-    """``left`` with the row of ``right`` at or before ``lt`` (or at or after it): columns ``_t`` and ``value``, null where there is none.
+def neighbours(left: DataFrame, right: DataFrame, keys: list[str], lt: str, rt: str, value: str, before: bool = True, after: bool = True) -> DataFrame:
+    """``left`` with the rows of ``right`` at or before ``lt`` (_t0, _v0) and at or after it (_t1, _v1), null where there are none.
 
-    Both sides are unioned and sorted once by key and time; no pair is formed.
+    Both sides are unioned and dealt out by key once; no pair is formed. Each direction is one sort and a running
+    last value: the later neighbours run through the rows backwards, as a frame that reaches to the end would be
+    evaluated anew for every row.
     """
     cols = left.columns
-    a = left.select(*cols, F.col(lt).alias("_at"), F.lit(None).cast(right.schema[rt].dataType).alias("_t"), F.lit(None).cast(right.schema[value].dataType).alias("_v"), F.lit(0 if forward else 1).alias("_side"))
-    b = right.select(*[F.col(c) if c in keys else F.lit(None).cast(left.schema[c].dataType).alias(c) for c in cols], F.col(rt).alias("_at"), F.col(rt).alias("_t"), F.col(value).alias("_v"), F.lit(1 if forward else 0).alias("_side"))
-    w = Window.partitionBy(*keys).orderBy("_at", "_side")
-    w = w.rowsBetween(0, Window.unboundedFollowing) if forward else w.rowsBetween(Window.unboundedPreceding, 0)
-    pick = F.first if forward else F.last
-    both = a.unionByName(b).withColumn("_hit", pick(F.when(F.col("_t").isNotNull(), F.struct("_t", "_v")), ignorenulls=True).over(w))
-    own = F.col("_side") == (0 if forward else 1)
-    return both.where(own).select(*cols, F.col("_hit._t").alias("_t"), F.col("_hit._v").alias(value))
+    hit = F.struct(F.col(rt).alias("t"), F.col(value).alias("v"))
+    kind = right.select(hit.alias("h")).schema["h"].dataType
+    a = left.select(*cols, F.col(lt).alias("_at"), F.lit(1).alias("_side"), F.lit(None).cast(kind).alias("_hit"))
+    b = right.select(*[F.col(c) if c in keys else F.lit(None).cast(left.schema[c].dataType).alias(c) for c in cols], F.col(rt).alias("_at"), F.lit(0).alias("_side"), hit.alias("_hit"))
+    rows = a.unionByName(b)
+    for wanted, n, order in ((before, 0, F.asc("_at")), (after, 1, F.desc("_at"))):
+        if wanted:
+            w = Window.partitionBy(*keys).orderBy(order, "_side").rowsBetween(Window.unboundedPreceding, 0)
+            rows = rows.withColumn(f"_h{n}", F.last("_hit", ignorenulls=True).over(w))
+    found = [F.col(f"_h{n}.{c}").alias(f"_{c}{n}") for n, wanted in ((0, before), (1, after)) if wanted for c in "tv"]
+    return rows.where("_side = 1").select(*cols, *found)
+
+
+def asof(left: DataFrame, right: DataFrame, keys: list[str], lt: str, rt: str, value: str, forward: bool = False) -> DataFrame:
+    """``left`` with the row of ``right`` at or before ``lt`` (or at or after it): columns ``_t`` and ``value``, null where there is none."""
+    n = 1 if forward else 0
+    rows = neighbours(left, right, keys, lt, rt, value, not forward, forward)
+    return rows.withColumnsRenamed({f"_t{n}": "_t", f"_v{n}": value})
 
 
 def nearest(left: DataFrame, right: DataFrame, keys: list[str], lt: str, rt: str, value: str) -> DataFrame:
     """The nearer of the rows before and after, the earlier one on a tie; null outside the range of ``right``."""
-    back = asof(left, right, keys, lt, rt, value).withColumnsRenamed({"_t": "_t0", value: "_v0"})
-    both = asof(back, right, keys, lt, rt, value, forward=True)
-    inside = F.col("_t0").isNotNull() & F.col("_t").isNotNull()
-    pick = F.when(F.col(lt) - F.col("_t0") <= F.col("_t") - F.col(lt), F.col("_v0")).otherwise(F.col(value))
+    both = neighbours(left, right, keys, lt, rt, value)
+    inside = F.col("_t0").isNotNull() & F.col("_t1").isNotNull()
+    pick = F.when(F.col(lt) - F.col("_t0") <= F.col("_t1") - F.col(lt), F.col("_v0")).otherwise(F.col("_v1"))
     return both.select(*left.columns, F.when(inside, pick).alias(value))
 
 
 def interpolate(left: DataFrame, right: DataFrame, keys: list[str], lt: str, rt: str, value: str) -> DataFrame:
     """Linear in time between the rows before and after, clamped at the ends."""
-    back = asof(left, right, keys, lt, rt, value).withColumnsRenamed({"_t": "_t0", value: "_v0"})
-    both = asof(back, right, keys, lt, rt, value, forward=True)
-    t0, v0, t1, v1 = F.col("_t0"), F.col("_v0"), F.col("_t"), F.col(value)
+    both = neighbours(left, right, keys, lt, rt, value)
+    t0, v0, t1, v1 = (F.col(c) for c in ("_t0", "_v0", "_t1", "_v1"))
     line = F.when(t1 > t0, v0 + (v1 - v0) * (F.col(lt) - t0) / (t1 - t0)).otherwise(v0)
     return both.select(*left.columns, F.coalesce(line, v0, v1).alias(value))
 
@@ -95,8 +105,9 @@ def dilate(df: DataFrame, keys: list[str], order: str, flag: str, reach: int, ou
 def fill_gaps(df: DataFrame, keys: list[str], order: str, value: str, good: Column, out: str) -> DataFrame:
     """Values of rows that aren't good, linear in row number between the nearest good ones, clamped at the ends."""
     w = Window.partitionBy(*keys).orderBy(order)
+    back = Window.partitionBy(*keys).orderBy(F.desc(order)).rowsBetween(Window.unboundedPreceding, 0)  # later values, run through backwards
     rows = df.withColumn("_n", F.row_number().over(w)).withColumn("_ok", F.when(F.coalesce(good, F.lit(False)), F.struct("_n", F.col(value).alias("v"))))
-    rows = rows.withColumn("_a", F.last("_ok", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0))).withColumn("_b", F.first("_ok", ignorenulls=True).over(w.rowsBetween(0, Window.unboundedFollowing)))
+    rows = rows.withColumn("_a", F.last("_ok", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0))).withColumn("_b", F.last("_ok", ignorenulls=True).over(back))
     line = F.when(F.col("_b._n") > F.col("_a._n"), F.col("_a.v") + (F.col("_b.v") - F.col("_a.v")) * (F.col("_n") - F.col("_a._n")) / (F.col("_b._n") - F.col("_a._n"))).otherwise(F.col("_a.v"))
     return rows.withColumn(out, F.coalesce(line, F.col("_a.v"), F.col("_b.v"))).drop("_n", "_ok", "_a", "_b")
 

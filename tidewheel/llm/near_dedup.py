@@ -208,7 +208,7 @@ def near_duplicates(docs: DataFrame, percent: int = 80, few: int = 2_000_000) ->
     keys = stored(keys_of(classes), "keys")
     listed = units(keys.select("node", F.explode("keys").alias("value")), BLOCK)
     about = classes.select("node", "n", "sketch").join(keys, "node")
-    near = stored(candidates(listed.join(about, "node"), threshold), "candidates")
+    near = stored(candidates(listed.join(about, "node"), threshold).hint("rebalance"), "candidates")  # few rows: few files
     wanted = near.select(F.col("node").alias("doc_id")).distinct()
     ids = docs.select("doc_id", "text")
     hint = F.broadcast if wanted.count() <= few else (lambda df: df)

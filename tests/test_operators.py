@@ -94,6 +94,21 @@ def test_lst_groups_wrap(spark):
     assert got[1] == got[2] and got[3] == got[4] and len(set(got.values())) == 3
 
 
+def test_lst_groups_of_many_rows(spark):
+    rng = np.random.default_rng(0)
+    at = [float(v) for c in (0.05, 3.1, 9.4, 9.95, 17.2, 23.8) for v in (c + rng.normal(0, 0.06, 50)) % 24.0]
+    df = spark.createDataFrame(list(enumerate(at)), "o int, lst double").repartition(4)
+    order, want, g = sorted(range(len(at)), key=lambda i: at[i]), {}, 0
+    for k, i in enumerate(order):
+        g += k > 0 and at[i] - at[order[k - 1]] > 0.5
+        want[i] = g
+    if at[order[0]] + 24 - at[order[-1]] <= 0.5:
+        want = {i: 0 if x == g else x for i, x in want.items()}
+    got = O.circular_groups(df, "lst", 0.25).withColumn("p", F.spark_partition_id()).collect()
+    assert {r["o"]: r["grp"] for r in got} == want and len(set(want.values())) > 2
+    assert len({r["p"] for r in got}) == 4  # rows stay where they are: no task holds them all
+
+
 def test_upsert_keeps_what_is_not_given(spark):
     old = spark.createDataFrame([(1, 45.2, "pending", None), (2, 1.0, "failed", 3)], "obsid int, tsys double, status string, n int")
     new = spark.createDataFrame([(1, "complete", 8, 0), (3, None, 2, 0)], "obsid int, status string, n int, other int")

@@ -31,13 +31,19 @@ def first_difference_groups(df: DataFrame, keys: list[str], order: str, gap: Col
 
 
 def circular_groups(df: DataFrame, value: str, half: float, period: float = 24.0) -> DataFrame:
-    """Groups on a circle: sorted, cut where the gap exceeds 2 * half, the last joined to the first across the wrap. For small tables."""
-    w = Window.partitionBy(F.lit(0)).orderBy(value)
-    rows = first_difference_groups(df.withColumn("_one", F.lit(0)), ["_one"], value, 2 * half).drop("_one")
-    every = Window.partitionBy(F.lit(0))
-    rows = rows.withColumn("_wrap", (F.min(value).over(every) + period - F.max(value).over(every)) <= 2 * half)
-    rows = rows.withColumn("grp", F.when(F.col("_wrap") & (F.col("grp") == F.max("grp").over(every)), 0).otherwise(F.col("grp")))
-    return rows.withColumn("grp", F.dense_rank().over(w.orderBy("grp")).cast("bigint") - 1).drop("_wrap")
+    """Groups on a circle: sorted, cut where the gap exceeds 2 * half, the last joined to the first across the wrap.
+
+    Rows are first put in cells of ``half``, inside which no gap can be that wide; only the cells' ends are sorted in one task.
+    """
+    rows = df.withColumn("_cell", F.floor(F.col(value) / half) if half > 0 else F.col(value))
+    ends = rows.groupBy("_cell").agg(F.min(value).alias("_lo"), F.max(value).alias("_hi"))
+    w, every = Window.partitionBy(F.lit(0)).orderBy("_lo"), Window.partitionBy(F.lit(0))
+    ends = ends.withColumn("_new", F.when(F.col("_lo") - F.lag("_hi").over(w) > 2 * half, 1).otherwise(0))
+    ends = ends.withColumn("_grp", F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    wrap = F.min("_lo").over(every) + period - F.max("_hi").over(every) <= 2 * half
+    grp = F.when(wrap & (F.col("_grp") == F.max("_grp").over(every)), 0).otherwise(F.col("_grp")).cast("bigint")
+    ends = ends.select(F.col("_cell").alias("_at"), grp.alias("grp"))
+    return rows.join(F.broadcast(ends), F.col("_cell").eqNullSafe(F.col("_at"))).drop("_cell", "_at")
 
 
 def neighbours(left: DataFrame, right: DataFrame, keys: list[str], lt: str, rt: str, value: str, before: bool = True, after: bool = True) -> DataFrame:

@@ -70,6 +70,20 @@ def test_lookup_by_key(spark, tokenizer):
     assert T.lookup(spark, path, []).count() == 0
 
 
+def test_lookup_of_an_id_across_blocks(spark, tokenizer):
+    """An id whose rows span three blocks, and its neighbours, come back whole."""
+    long = "a " * (T.BLOCK // 5)
+    rows = [(None, "x"), (6, "first"), *((7, f"{long}{k}") for k in range(10)), (8, "last"), (8, "last one")]
+    path = scratch_path(spark, "test-hot-store")
+    T.write(spark.createDataFrame(rows, "doc_id long, text string"), path, PATH)
+    assert spark.read.schema(T.SCHEMA).parquet(path).where("key_lo <= 7 and key_hi >= 7").count() >= 3
+    got = sorted((r["doc_id"], r["turn"], list(r["ids"])) for r in T.lookup(spark, path, [6, 7, 8, 9]).collect())
+    texts, want = sorted((i, t) for i, t in rows if i), []
+    for k, (i, t) in enumerate(texts):
+        want.append((i, sum(j == i for j, _ in texts[:k]), [*tokenizer.encode(t, add_special_tokens=False).ids, 1]))
+    assert got == want
+
+
 def test_empty_table(spark):
     none = spark.createDataFrame([], "doc_id long, text string")
     assert T.roundtrip(none, PATH).count() == 0

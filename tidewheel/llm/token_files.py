@@ -207,16 +207,17 @@ def lookup(spark: SparkSession, path: str, wanted: list[int]) -> DataFrame:
         for batch in batches:
             for row in batch.to_pylist():
                 ids = asked[(asked >= row["key_lo"]) & (asked <= row["key_hi"])]
-                turn = 0
+                first = np.frombuffer(row["keys"], KEY, 1)[0]  # the block may begin amid an id's turns
+                turns = np.where((ids == first["id"]) & (first["null"] == 0), first["turn"], 0)
                 while len(ids):
                     keys = np.zeros(len(ids), KEY)
-                    keys["id"], keys["turn"] = ids, turn
+                    keys["id"], keys["turn"] = ids, turns
                     found, at, n = find(row["levels"], row["slots"], keys)
-                    for i, a, m in zip(ids[found].tolist(), at[found].tolist(), n[found].tolist(), strict=True):
-                        yield pa.RecordBatch.from_arrays([pa.array([i]), pa.array([turn], pa.int32()), pa.array([np.frombuffer(row["payload"], "<u4", m, 4 * a).astype(np.int64)])], names=["doc_id", "turn", "ids"])
-                    ids, turn = ids[found], turn + 1
+                    for i, t, a, m in zip(ids[found].tolist(), turns[found].tolist(), at[found].tolist(), n[found].tolist(), strict=True):
+                        yield pa.RecordBatch.from_arrays([pa.array([i]), pa.array([t], pa.int32()), pa.array([np.frombuffer(row["payload"], "<u4", m, 4 * a).astype(np.int64)])], names=["doc_id", "turn", "ids"])
+                    ids, turns = ids[found], turns[found] + 1
 
-    return store.where(some).select("key_lo", "key_hi", "levels", "slots", "payload").mapInArrow(probe, "doc_id long, turn int, ids array<long>")
+    return store.where(some).select("key_lo", "key_hi", "keys", "levels", "slots", "payload").mapInArrow(probe, "doc_id long, turn int, ids array<long>")
 
 
 def roundtrip(docs: DataFrame, tokenizer: str, end_id: int = 1) -> DataFrame:

@@ -87,3 +87,20 @@ def test_near_classes(spark):
     got = {r["doc_id"]: r["class_id"] for r in E.near_classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert all(got[i] == i for i in range(6)) and all(got[10 + i] == i for i in range(3)) and all(got[20 + i] == i for i in range(6))
     assert got[30] == got[31] == 30 and got[None] is None
+
+
+def test_near_classes_with_edits_at_the_start_middle_and_end(spark):
+    """Texts near the upper end of a level; a quarter of each copy is replaced."""
+    rng = np.random.default_rng(11)
+    make = lambda n: "".join(rng.choice(list("abcdefghijklmnopqrst "), n))
+    rows, pairs = [], {}
+    for i in range(60):
+        n = (1000, 2000, 240)[i % 3]
+        text, k = make(n), n // 4
+        at = (0, (n - k) // 2, n - k)[i // 3 % 3]
+        copy = text[:at] + make(k) + text[at + k :]
+        rows += [(2 * i, text), (2 * i + 1, copy)]
+        pairs[2 * i] = max(E.likeness(*E.walk([codes(text), codes(copy)], seed)) for seed in range(3))
+    got = {r["doc_id"]: r["class_id"] for r in E.near_classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert sum(v >= 0.65 for v in pairs.values()) > 40 and all(got[i] == i for i in pairs)
+    assert [i for i, v in pairs.items() if v >= 0.65 and got[i + 1] != i or v < 0.6 and got[i + 1] == i] == []

@@ -190,21 +190,38 @@ def near_classes(docs: DataFrame, threshold: float = 0.6, walks: int = 3, bands:
 
 
 def _links(texts: DataFrame, threshold: float, bands: int, width: int, block: int, seed: int) -> DataFrame:
-    """(a, b): verified links under one walk rule. Each text is listed under ``bands`` samples of ``width`` bits, at its own level and the next coarser one."""
+    """(a, b): verified links under one walk rule.
+
+    Each text is listed under ``bands`` samples of ``width`` bits from the first BITS // 4 at its own level and the
+    next coarser one, and from each of its reaches. Reaches are counts of steps, eight to a doubling, from the last
+    within the text's walk down to the last within the shortest walk that could be as alike as ``threshold``. So
+    any two such texts share a reach that the shorter walk all but fills, with samples spread over the whole of it.
+    """
     prints = stored(fingerprints(texts, seed).select(F.col("doc_id").cast("long").alias("node"), F.col("fingerprint").alias("print")), "fingerprints")
     places = np.random.default_rng(7).integers(0, BITS // 4, (bands, width))
+    spread = np.random.default_rng(7).random((bands, width))
+    shorter = np.log2(1 / min(1.0, max(threshold, 1 / BITS)))
+    back, room = int(np.ceil(8 * shorter)), 7 - max(1, int(np.ceil(shorter)))  # at a reach's stride all these walks have bits
 
     def lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             value, node = [], []
             for n, p in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 level, bits = bits_of(p)
+                samples = []
                 for up in (0, 1):
                     own = bits[:: 1 << up]
                     own = np.concatenate([own, np.full(max(0, BITS // 4 - len(own)), 2, np.uint8)])
-                    for k, at in enumerate(places):
-                        value.append(int.from_bytes(hashlib.blake2b(own[at].tobytes(), digest_size=8, person=bytes([level + up, k])).digest(), "little") >> 1)
-                        node.append(n)
+                    samples += [(own[at], bytes([level + up, k])) for k, at in enumerate(places)]
+                last = int(np.floor(8 * np.log2(len(bits) << level))) if len(bits) else -1
+                for reach in range(max(0, last - back), last + 1):
+                    up = max(0, reach // 8 - room)
+                    if up >= level:
+                        own = bits[:: 1 << up - level][(spread * max(1, int(2 ** (reach / 8)) >> up)).astype(int)]
+                        samples += [(own[k], bytes([reach % 256, reach // 256, k, 1])) for k in range(bands)]
+                for own, which in samples:
+                    value.append(int.from_bytes(hashlib.blake2b(own.tobytes(), digest_size=8, person=which).digest(), "little") >> 1)
+                    node.append(n)
             yield pa.RecordBatch.from_arrays([pa.array(value, pa.int64()), pa.array(node, pa.int64())], names=["value", "node"])
 
     def verify(unit: tuple, rows: pa.Table) -> Iterator[pa.RecordBatch]:

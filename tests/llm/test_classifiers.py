@@ -142,3 +142,22 @@ def test_lexicon_is_learned(spark):
     assert got[1] > 0.5 > got[2] and got[3] == got[2] and got[4] > 0.5
     empty = T.fit(docs, spark.createDataFrame([], "doc_id long, toxic int"))
     assert empty.lexicon == {} and T.predict(docs, empty).where("predicted = 1").count() == 0
+
+
+def test_toxicity_learns_short_words_whole(spark):
+    rng = np.random.default_rng(2)
+    words = ["river", "house", "to", "is", "green", "of", "walks", "qux", "zo", "stone", "paper"]
+    rows = []
+    for i in range(400):
+        w = list(rng.choice([x for x in words if x not in ("qux", "zo")], 30))
+        if i % 2:
+            w.insert(int(rng.integers(30)), ("qux", "zo")[i // 2 % 2])
+        else:
+            w += ["zoology", "quxine"]
+        rows.append((i, " ".join(w), i % 2))
+    df = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    m = T.fit(df.select("doc_id", "text"), df.select("doc_id", "toxic"))
+    assert set(m.lexicon) == {"qux ", "zo "}
+    asked = ["the river is green qux", "Zo! the river", "quxine zoology of stone", "to is of"]
+    got = T.predict(spark.createDataFrame(list(enumerate(asked)), "doc_id long, text string"), m)
+    assert {r["doc_id"]: r["predicted"] for r in got.collect()} == {0: 1, 1: 1, 2: 0, 3: 0}

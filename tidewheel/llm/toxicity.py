@@ -2,13 +2,16 @@
 
 Folding lower-cases, takes compatibility forms and accents off, maps Cyrillic and Greek look-alikes to Latin
 letters and, inside words of which a third are letters, digits and signs to the letters they stand for, and joins
-words that are spelled letter by letter. The lexicon holds word beginnings with log-odds weights, learned
-from labelled documents (or given); exception phrases, learned or given, take back the hits inside them. A
+words that are spelled letter by letter. The lexicon holds beginnings of ``SHORTEST`` letters or more, and shorter
+words whole, with a closing space; their log-odds weights are learned from labelled documents (or given); exception phrases, learned or given, take back the hits inside them. A
 document's score is a logistic function of the total weight of its different words and of that weight for its length.
 
 Rows: one for each input row. A null text counts as empty; empty texts have the score of no hit. Null or
 contradicting labels are not learned from; without labelled rows of both classes the lexicon is empty and the
 score is the known class' share, or 0. Other columns are ignored. Texts are read whole.
+
+Entries match only where a word begins. In scripts that put no spaces between words (Chinese, Japanese, Thai) a
+run of letters counts as one word, so a term inside it is neither learned nor found unless the run begins with it.
 """
 
 from __future__ import annotations
@@ -65,7 +68,7 @@ class Model:
     theta: tuple[float, float, float] = (0.0, 0.0, 0.0)
 
     def automaton(self) -> ahocorasick.Automaton:
-        """Entries match at a word's beginning; exception phrases match whole and outweigh what they hold."""
+        """Entries match at a word's beginning, with a closing space the whole word; exception phrases match whole and outweigh what they hold."""
         a = ahocorasick.Automaton()
         for w, weight in self.lexicon.items():
             a.add_word(f" {w}", (len(w) + 1, weight, False))
@@ -101,7 +104,9 @@ class Model:
 
 
 def beginnings(folded: str) -> set[str]:
-    return {w[:n] for w in set(folded.split()) for n in range(SHORTEST, min(len(w), LONGEST) + 1)}
+    """Beginnings of the words, and words that are too short for one with a closing space."""
+    words = set(folded.split())
+    return {w[:n] for w in words for n in range(SHORTEST, min(len(w), LONGEST) + 1)} | {f"{w} " for w in words if len(w) < SHORTEST}
 
 
 def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2) -> tuple[float, ...]:

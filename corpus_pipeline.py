@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewheel.llm import language_id, mixing, near_dedup, quality, sentencepiece_codec
-from tidewheel.llm.common import scratch_path
+from tidewheel.llm.common import scratch_path, stored
 from tidewheel.llm.queries import tokenizer
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -36,9 +36,27 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """MinHash near-dedup: of each group of near-duplicates (similarity 0.8 or more), the document with the smallest id stays."""
-    kept = near_dedup.near_duplicates(docs.select("doc_id", "text"), percent=80).where("kept").select(F.col("doc_id").alias("_kept")).distinct()
-    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["_kept"]), "left_semi").select(*COLUMNS)
+    """MinHash near-dedup: of each group of near-duplicates (similarity 0.8 or more), the document with the smallest id stays.
+
+    Where rows repeat a doc_id, each different text of the id is a document of its own: equal texts leave one row, a
+    text that is near another document's goes if that one's id is smaller, or the id equal and the text first, and
+    unlike texts stay, all with their doc_id. Rows with a null doc_id link nothing and all stay.
+    """
+    rows = docs.select(*COLUMNS).withColumn("_row", F.col("doc_id").cast("long"))
+    repeated = stored(rows.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id"), "repeated-ids")
+    again = not repeated.isEmpty()
+    if again:
+        top = rows.agg(F.max("_row")).first()[0]
+        texts = rows.join(repeated, "doc_id", "left_semi").groupBy("doc_id", "text").agg(F.min(F.struct("lang", "source", "n_chars")).alias("_first"))
+        texts = texts.select("doc_id", "text", "_first.*").orderBy("doc_id", "text").withColumn("_row", F.monotonically_increasing_id() + F.lit(top + 1))
+        rows = rows.join(repeated, "doc_id", "left_anti").unionByName(stored(texts, "repeated-rows"))
+    found = near_dedup.near_duplicates(rows.select(F.col("_row").alias("doc_id"), "text"), percent=80)
+    kept = found.where("kept").select(F.col("doc_id").alias("_kept")).distinct()
+    if again:  # rows of repeated ids were numbered beyond all ids: the smallest id of each group is another's
+        ids = rows.select("_row", F.col("doc_id").alias("_id"))
+        least = found.join(ids, found["doc_id"] == ids["_row"]).groupBy("component_id").agg(F.min(F.struct("_id", "_row")).alias("_least"))
+        kept = least.select(F.col("_least._row").alias("_kept")).unionByName(kept.where("_kept is null"))
+    return rows.join(kept, rows["_row"].eqNullSafe(kept["_kept"]), "left_semi").select(*COLUMNS)
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

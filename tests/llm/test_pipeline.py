@@ -40,6 +40,16 @@ def test_stages_in_turn(spark):
     assert tokens.count() == mixed.count() and tokens.where("n_tokens <> size(ids)").count() == 0
 
 
+def test_near_dedup_of_repeated_ids(spark):
+    """One row of each group stays, whatever ids repeat; no unlike text goes."""
+    a, b, c, d = (" ".join(f"{w}{k}" for k in range(60)) for w in "abcd")
+    near = a.replace("a59", "other")
+    rows = [(1, a), (1, a), (1, a), (2, near), (3, c), (5, c), (5, d), (7, d), (6, d), (8, b), (4, b), (4, b.upper()), (4, a), (None, b), (None, b)]
+    df = spark.createDataFrame([(i, t, "en", "src", len(t)) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long").repartition(4)
+    got = sorted(((r["doc_id"] or 0, r["text"].lower()) for r in P.one_of_each(spark, df, SF).collect()))
+    assert got == [(0, b), (0, b), (1, a), (3, c), (4, b), (5, d)]
+
+
 def test_run(spark):
     out = P.run(spark, SF)
     assert out.columns == ["doc_id", "n_tokens", "ids"] and out.count() > 100

@@ -2,15 +2,15 @@
 
 Texts are cut before each run of spaces, where no piece spans (checked when a model is loaded). Words of equal
 length advance together: rolling hashes give every substring's key, sorted piece keys are probed for all words at
-once, and vectorised maxima choose. ``viterbi`` (the unigram rule) keeps the best score of each prefix and a
-backpointer, the length of its last piece; of equal scores the longest last piece wins. ``merges`` (the BPE rule)
-joins in each word the adjacent pair whose piece scores best, leftmost first, until none is left; it gives the
-ids that the sentencepiece library gives for BPE models, which Viterbi over their scores does not.
+once, and vectorised maxima store each prefix's best score and a backpointer, the length of its last piece. The
+ids are those of the pieces with the largest total score; of equal scores the longest last piece wins. For unigram
+models this is the library's rule. For BPE models the library merges pairs instead, which gives other ids:
+``rule="merges"`` joins in each word the adjacent pair whose piece scores best, leftmost first, until none is left.
 Characters without a piece become byte pieces, or the unknown piece where the model has none.
 
 Rows: one for each input row. A null text counts as empty: no pieces. Repeated rows stay; other columns are
 ignored. Texts are encoded whole; a word longer than ``LONG`` characters is merged by a heap. Decoding inverts
-encoding up to the model's own normal form, in which U+2581 is a space.
+encoding up to the model's own normal form, in which U+2581 is a space, under either rule.
 """
 
 from __future__ import annotations
@@ -27,15 +27,15 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from tidewheel.llm.common import codes, light, mix64
+from tidewheel.llm.common import codes, light
 
 SPACE = "▁"
 LONG, TOGETHER, MOST_WORDS = 200, 4096, 100_000
 _GONE = np.iinfo(np.int64).min
-_BASE = np.uint64(0x9E3779B97F4A7C15)
+_BASE, _SPREAD = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 _UNIT = re.compile(f"{SPACE}+[^{SPACE}]*")
-#: Kinds of pieces and of models in the file format.
-UNKNOWN, CONTROL, BYTE, UNIGRAM = 2, 3, 6, 1
+#: Kinds of pieces in the file format.
+UNKNOWN, CONTROL, BYTE = 2, 3, 6
 
 
 def _fields(data: bytes) -> Iterator[tuple[int, int | bytes]]:
@@ -69,16 +69,13 @@ class Model:
     def __init__(self, path: str) -> None:
         with open(path, "rb") as f:
             data = f.read()
-        pieces, self.kind, normal = [], UNIGRAM, {}
+        pieces, normal = [], {}
         for number, value in _fields(data):
             if number == 1:
                 own = dict(_fields(value))
                 pieces.append((own[1].decode(), struct.unpack("<f", own[2])[0] if 2 in own else 0.0, own.get(3, 1)))
-            elif number == 2:
-                self.kind = dict(_fields(value)).get(3, UNIGRAM)
             elif number == 3:
                 normal = dict(_fields(value))
-        self.rule = "viterbi" if self.kind == UNIGRAM else "merges"
         if normal.get(2) or normal.get(4, 1):
             raise ValueError("only models with the identity normal form and all their spaces are supported")
         self.prefix = bool(normal.get(3, 1))
@@ -113,52 +110,66 @@ class Model:
         h = 0
         for c in piece:
             h = (h * int(_BASE) + ord(c) + 1) % (1 << 64)
-        return mix64(np.array([h ^ len(piece) << 56], np.uint64))[0]
+        return np.uint64((h ^ len(piece) << 56) * int(_SPREAD) % (1 << 64))
 
-    def probe(self, hashes: np.ndarray, lengths: np.ndarray | int) -> np.ndarray:
-        """Rows of the sorted keys at which substrings stand, or -1."""
-        k = mix64(hashes ^ (np.asarray(lengths, np.uint64) << np.uint64(56)))
-        out = np.full(k.shape, -1, np.int64)
+    def hits(self, hashes: np.ndarray, lengths: np.ndarray | int) -> tuple[np.ndarray, np.ndarray]:
+        """The flat places of the substrings that are pieces, and their rows of the sorted keys."""
+        k = hashes ^ (np.asarray(lengths, np.uint64) << np.uint64(56))
+        k *= _SPREAD
+        k = k.reshape(-1)
         head = (k >> np.uint64(44)).astype(np.int32)
         some = np.flatnonzero(self.maybe[head])
-        left, at = k.ravel()[some], self.first[head.ravel()[some]]
-        flat = out.ravel()
+        left, at = k[some], self.first[head[some]]
+        row = np.full(len(some), -1, np.int64)
         for step in range(self.fill):
             hit = self.keys[np.minimum(at + step, len(self.keys) - 1)] == left
-            flat[some[hit]] = at[hit] + step
+            row[hit] = at[hit] + step
+        found = row >= 0
+        return some[found], row[found]
+
+    def probe(self, hashes: np.ndarray, lengths: np.ndarray | int) -> np.ndarray:
+        """Rows of the sorted keys at which substrings stand, or -1."""
+        out = np.full(hashes.shape, -1, np.int64)
+        place, row = self.hits(hashes, lengths)
+        out.reshape(-1)[place] = row
         return out
 
     # words: equal length, as code points
     def viterbi(self, words: np.ndarray) -> list[bytes]:
         """The ids of each word's best pieces."""
         w, n = words.shape
-        prefix = np.zeros((w, n + 1), np.uint64)
+        text = np.ascontiguousarray(words.T)  # a row for each place: all that a step reads lies together
+        prefix = np.zeros((n + 1, w), np.uint64)
         for j in range(n):
-            prefix[:, j + 1] = prefix[:, j] * _BASE + words[:, j] + np.uint64(1)
-        best, back = np.full((w, n + 1), -np.inf), np.zeros((w, n + 1), np.int64)
-        piece = np.full((w, n + 1), -1, np.int64)
-        best[:, 0] = 0
+            prefix[j + 1] = prefix[j] * _BASE + text[j] + np.uint64(1)
+        best, back = np.full((n + 1, w), -np.inf), np.zeros((n + 1, w), np.int64)
+        piece = np.full((n + 1, w), -1, np.int64)
+        best[0] = 0
+        rows = np.arange(w)
         for j in range(1, n + 1):
             most = min(self.longest, j)
             lengths = np.arange(most, 0, -1)  # the longest first: it wins ties
-            starts = j - lengths
-            hashes = prefix[:, j : j + 1] - prefix[:, starts] * self.power[lengths]
-            at = self.probe(hashes, lengths[None, :])
-            score = np.where(at >= 0, self.scores[at], -np.inf)
-            score[:, -1] = np.where(at[:, -1] >= 0, score[:, -1], self.penalty)
-            total = best[:, starts] + score
-            pick = total.argmax(1)
-            rows = np.arange(w)
-            best[:, j], back[:, j], piece[:, j] = total[rows, pick], lengths[pick], at[rows, pick]
+            hashes = prefix[j] - prefix[j - most : j] * self.power[lengths][:, None]
+            place, at = self.hits(hashes, lengths[:, None])
+            total = np.full(most * w, -np.inf)
+            total[place] = best[j - most : j].reshape(-1)[place] + self.scores[at]
+            which = np.full(most * w, -1, np.int32)
+            which[place] = at
+            strange = which[-w:] < 0
+            total[-w:][strange] = best[j - 1][strange] + self.penalty
+            pick = total.reshape(most, w).argmax(0)
+            best[j], back[j], piece[j] = total[pick * w + rows], lengths[pick], which[pick * w + rows]
         symbols, count, at = np.zeros((w, n), np.int64), np.zeros(w, np.int64), np.full(w, n)
-        live = np.arange(w)
+        live = rows
         while len(live):
-            p = piece[live, at[live]]
-            symbols[live, n - 1 - count[live]] = np.where(p >= 0, p, -1 - words[live, at[live] - 1].astype(np.int64))
+            here = at[live]
+            p = piece[here, live]
+            symbols[live, n - 1 - count[live]] = np.where(p >= 0, p, -1 - text[here - 1, live].astype(np.int64))
             count[live] += 1
-            at[live] -= back[live, at[live]]
+            at[live] = here - back[here, live]
             live = live[at[live] > 0]
-        return [self._ids(row[n - c :]) if (row[n - c :] < 0).any() else ids[4 * (n - c) :] for row, c, ids in zip(symbols, count.tolist(), self._rows(symbols), strict=True)]
+        strange = (symbols < 0).any(1).tolist()
+        return [self._ids(symbols[k, n - c :]) if strange[k] else ids[4 * (n - c) :] for k, (c, ids) in enumerate(zip(count.tolist(), self._rows(symbols), strict=True))]
 
     def merges(self, words: np.ndarray) -> list[bytes]:
         """As ``viterbi``, by the BPE rule."""
@@ -267,15 +278,15 @@ class Model:
         marked = (" " + text if self.prefix else text).replace(" ", SPACE)
         return [u[1:] for u in _UNIT.findall(marked)]
 
-    def encode_all(self, texts: list[str | None], rule: str = "") -> list[bytes]:
-        """Ids of each text as little-endian 32-bit integers. ``rule``: viterbi or merges, by default the one of the model's kind."""
-        known = self.known[rule or self.rule]
+    def encode_all(self, texts: list[str | None], rule: str = "viterbi") -> list[bytes]:
+        """Ids of each text as little-endian 32-bit integers."""
+        known = self.known[rule]
         cut = [self.words(t or "") for t in texts]
         used: set[str] = set().union(*cut)
         own = dict(zip(used, map(known.get, used), strict=True))  # small, so the texts' lookups stay in the CPU's caches
         new = [u for u, ids in own.items() if ids is None]
         if new:
-            found = self.learn(new, rule or self.rule)
+            found = self.learn(new, rule)
             own.update(found)
             if len(known) + len(new) > MOST_WORDS:
                 known.clear()
@@ -283,7 +294,7 @@ class Model:
         get = own.__getitem__
         return [b"".join(map(get, units)) for units in cut]
 
-    def encode(self, text: str | None, rule: str = "") -> bytes:
+    def encode(self, text: str | None, rule: str = "viterbi") -> bytes:
         return self.encode_all([text], rule)[0]
 
     def learn(self, words: list[str], rule: str) -> dict[str, bytes]:
@@ -311,7 +322,7 @@ def model(path: str) -> Model:
     return Model(path)
 
 
-def encode(docs: DataFrame, path: str, rule: str = "", column: str = "ids") -> DataFrame:
+def encode(docs: DataFrame, path: str, rule: str = "viterbi", column: str = "ids") -> DataFrame:
     """(doc_id, n_tokens, ids) of (doc_id, text) rows; ids as an array of integers."""
 
     light(docs.sparkSession)
@@ -341,7 +352,7 @@ def decode(tokens: DataFrame, path: str, column: str = "ids") -> DataFrame:
     return tokens.select("doc_id", column).mapInArrow(apply, f"doc_id {tokens.schema['doc_id'].dataType.simpleString()}, text string")
 
 
-def digests(docs: DataFrame, path: str, rule: str = "") -> DataFrame:
+def digests(docs: DataFrame, path: str, rule: str = "viterbi") -> DataFrame:
     """(doc_id, n_pieces, ids_crc32, decoded_chars, decoded_sha256, round_trip): of the ids, and of the text decoded from them."""
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -17,10 +17,12 @@ WORD = r"[^\x20\x09-\x0D]+"
 def shared_folder(spark: SparkSession) -> str:
     """The folder that driver and executors share, from ``spark.checkpoint.dir``.
 
-    Only where the session leaves it unset (as in tests) is a local folder made.
+    Only a local session that leaves it unset (as in tests) gets a temporary folder; on a cluster that is an error.
     """
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
+        if not (spark.sparkContext.master or "").startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and the executors share")
         base = "file://" + tempfile.mkdtemp(prefix="tidewheel-")
         spark.sparkContext.setCheckpointDir(base)
     return f"{base.rstrip('/')}/tidewheel-{spark.sparkContext.applicationId}"
@@ -66,8 +68,19 @@ def parallelism(spark: SparkSession) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
+def parts_for(df: DataFrame, each: int = 1 << 25, most: int = 20_000) -> int:
+    """How many parts to cut a table of files into: one for ``each`` bytes on disk, at least the session's shuffle partitions.
+
+    Beyond ``most`` parts, whose cut points a plan can still hold, parts grow instead; sorted parts spill, and are
+    read in batches.
+    """
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    known = size if size < 1 << 60 else 0
+    return max(parallelism(df.sparkSession), min(most, -(-known // each)))
+
+
 def remainder(column: str, divisor: int) -> Column:
-    """crc32 of the id's decimal text, modulo ``divisor``: the fold of a document."""
+    """crc32 of the id's decimal text, modulo ``divisor``: the fold of a document; null for a null id."""
     return F.crc32(F.col(column).cast("string").cast("binary")) % divisor
 
 
@@ -80,15 +93,14 @@ def documents(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
 def in_order(docs: DataFrame, key: str, *ties: str, echo: bool = False) -> DataFrame:
     """Deals rows out so that partition 0 has the smallest keys, and sorts each partition.
 
-    The cut points are approximate percentiles of ``key`` (a scan of that column alone), at most one per
-    shuffle partition, so the driver holds a list as long as the number of partitions, whatever the rows.
-    Equal keys share a partition; null keys come first. Adds ``_part``; with ``echo`` also ``_echo``: true
-    on a copy of the next partition's first rows (for the last partition: of the first partition's).
+    The cut points are approximate percentiles of ``key`` (a scan of that column alone), whose number follows the
+    input's size on disk (see ``parts_for``). Equal keys share a partition; null keys come first. Adds ``_part``;
+    with ``echo`` also ``_echo``: true on a copy of the next partition's first rows (for the last partition: of the
+    first partition's).
     """
-    spark = docs.sparkSession
-    n = parallelism(spark)
+    n = parts_for(docs)
     head = docs.select(key).agg(
-        F.percentile_approx(key, [i / n for i in range(1, n)] or [0.5], 10_000).alias("cuts"),
+        F.percentile_approx(key, [i / n for i in range(1, n)] or [0.5], max(10_000, 4 * n)).alias("cuts"),
         F.min(key).alias("least"),
         F.sum(F.col(key).isNull().cast("int")).alias("nulls"),
     ).first()
@@ -96,8 +108,14 @@ def in_order(docs: DataFrame, key: str, *ties: str, echo: bool = False) -> DataF
     kind = docs.schema[key].dataType.simpleString()
     place = F.lit(0)
     if cuts:
-        at = F.array(*[F.lit(c).cast(kind) for c in cuts])
-        place = F.coalesce(F.size(F.filter(at, lambda c: c <= F.col(key))), F.lit(0))
+        # two searches among about sqrt(n) cuts each
+        step = int(np.ceil(len(cuts) ** 0.5))
+        runs = [cuts[i : i + step] for i in range(0, len(cuts), step)]
+        below = lambda at: F.size(F.filter(at, lambda c: c <= F.col(key)))
+        run = below(F.array(*[F.lit(r[0]) for r in runs]).cast(f"array<{kind}>"))
+        own = F.get(F.array(*[F.array(*map(F.lit, r)) for r in runs]).cast(f"array<array<{kind}>>"), run - 1)
+        place = F.when(run > 0, (run - 1) * step + below(own)).otherwise(0)
+        place = F.when(F.col(key).isNull(), 0).otherwise(place)
     df = docs.withColumn("_part", place.cast("int"))
     last = len(cuts)
     order = ["_part", F.asc_nulls_first(key), *ties]
@@ -105,7 +123,7 @@ def in_order(docs: DataFrame, key: str, *ties: str, echo: bool = False) -> DataF
         first = F.col(key).isNull() if head["nulls"] else F.col(key) == head["least"]
         back = F.when(first, F.lit(last))
         if cuts:
-            back = back.when(F.array_contains(at, F.col(key)), F.col("_part") - 1)
+            back = back.when((F.col("_part") > 0) & F.array_contains(own, F.col(key)), F.col("_part") - 1)
         df = df.withColumn("_to", F.when(back.isNull(), F.array(F.struct(F.col("_part").alias("p"), F.lit(False).alias("e")))).otherwise(
             F.array(F.struct(F.col("_part").alias("p"), F.lit(False).alias("e")), F.struct(back.cast("int").alias("p"), F.lit(True).alias("e")))))
         df = df.withColumn("_to", F.explode("_to")).withColumn("_part", F.col("_to.p")).withColumn("_echo", F.col("_to.e")).drop("_to")
@@ -145,12 +163,18 @@ def mix64(x: np.ndarray) -> np.ndarray:
 def bounded_ids(ids: DataFrame, strata: str, most: int, seed: int = 0) -> DataFrame:
     """About ``most`` rows of each value of ``strata``, those with the lowest hashes of ``doc_id``; all of them where there are fewer.
 
-    The cut for each stratum is its share of the hash range, so that no row is sorted or gathered.
+    The cut for each stratum is its share of the hash range, so that no row is sorted or gathered. The strata's
+    counts are joined, so there may be any number of them.
     """
     light(ids.sparkSession)
-    seen = ids.groupBy(strata).count().limit(10_000).collect()
-    share = F.lit(0.0)
-    for r in seen:
-        share = F.when(F.col(strata).eqNullSafe(F.lit(r[0])), F.lit(1.0 if r["count"] <= most else most / r["count"])).otherwise(share)
+    seen = ids.groupBy(F.col(strata).alias("_stratum")).agg(F.count(F.lit(1)).alias("_count"))
     spin = F.pmod(F.xxhash64(F.lit(seed), F.col("doc_id")), F.lit(1 << 30)) / float(1 << 30)
-    return ids.where(spin < share)
+    return ids.join(seen, F.col(strata).eqNullSafe(F.col("_stratum"))).where((F.col("_count") <= most) | (spin * F.col("_count") < most)).select(*ids.columns)
+
+
+def kept_columns(id_col: str, text: str, keep: tuple[str, ...], added: tuple[str, ...]) -> tuple[list[str], list[str]]:
+    """The columns that a scorer reads and those that it hands on; a column that it adds can't be kept."""
+    clash = sorted(set(added) & {id_col, *keep})
+    if clash:
+        raise ValueError(f"{clash} can't be kept: the result has columns of that name")
+    return list(dict.fromkeys([id_col, text, *keep])), list(dict.fromkeys([id_col, *keep]))

@@ -1,7 +1,7 @@
 """Language ID: multinomial naive Bayes over hashed character n-grams.
 
 Training counts hashed 1- to 3-grams of lower-cased code points for each language over a bounded sample
-(``most_docs`` documents of each language). The log-probability matrix, ``buckets`` x languages, goes to the
+(``most_docs`` documents of each language). The log-probability matrix, BUCKETS x languages, goes to the
 executors as a broadcast; a batch is scored by gathering the matrix' rows for its n-grams and summing them by
 document (a sparse count matrix times the log-probabilities).
 
@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewheel.llm.common import bounded_ids, chunks, codes
+from tidewheel.llm.common import bounded_ids, chunks, codes, kept_columns
 
 BUCKETS = 1 << 16
 #: N-grams of evidence beyond which a score no longer hardens.
@@ -28,16 +28,21 @@ EVIDENCE = 200
 PIECE = 1 << 18
 
 
-def grams(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Buckets of all 1- to 3-grams (rows: order; columns: place), and where each text starts. Texts are framed by spaces."""
-    own = [codes(f" {t.lower()}  ") for t in texts]
-    ends = np.cumsum([len(x) for x in own])
-    x = np.concatenate(own) * np.uint32(0x9E3779B1)
+def buckets(x: np.ndarray) -> np.ndarray:
+    """Buckets of the 1- to 3-grams (rows: order) that begin at each code point but the last two."""
+    x = x * np.uint32(0x9E3779B1)
     a, b = x[1:-1] * np.uint32(0x85EBCA77), x[2:] * np.uint32(0xC2B2AE3D)
     one = x[:-2]
     two = (one ^ (a >> np.uint32(7))) * np.uint32(0x27D4EB2F) + a
     three = (two ^ (b >> np.uint32(9))) * np.uint32(0x165667B1) + b
-    return np.stack([v >> np.uint32(16) for v in (one, two, three)]), np.concatenate([[0], ends[:-1]])
+    return np.stack([v >> np.uint32(16) for v in (one, two, three)])
+
+
+def grams(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Buckets of all 1- to 3-grams (rows: order; columns: place), and where each text starts. Texts are framed by spaces."""
+    own = [codes(f" {t.lower()}  ") for t in texts]
+    ends = np.cumsum([len(x) for x in own])
+    return buckets(np.concatenate(own)), np.concatenate([[0], ends[:-1]])
 
 
 def lettered(text: str | None) -> bool:
@@ -55,10 +60,11 @@ class Model:
         for i, t in enumerate(texts):
             n[i] = 3 * (len(t) + 1)
         for lo, hi in chunks(texts, PIECE):
-            if hi - lo == 1 and len(texts[lo]) > PIECE:  # one long text: piece by piece, two code points shared
-                t = texts[lo]
-                for k in range(0, len(t), PIECE):
-                    out[lo] += self._sum([t[k : k + PIECE]])[0]
+            if hi - lo == 1 and len(texts[lo]) > PIECE:  # one long text, framed as a whole: n-grams by where they begin
+                x = codes(f" {texts[lo].lower()}  ")
+                for k in range(0, len(x) - 2, PIECE):
+                    for row in buckets(x[k : k + PIECE + 2]):
+                        out[lo] += self.logp[row].sum(0, dtype=float)
             else:
                 out[lo:hi] = self._sum(texts[lo:hi])
         return out, n
@@ -89,10 +95,11 @@ class Model:
         return [self.langs[b] if k else "und" for b, k in zip(best, known, strict=True)], np.where(known, p.max(1), 0.0)
 
 
-def fit(labelled: DataFrame, text: str = "text", lang: str = "lang", most_docs: int = 3000, alpha: float = 0.1, buckets: int = BUCKETS) -> Model:
+def fit(labelled: DataFrame, text: str = "text", lang: str = "lang", most_docs: int = 3000, alpha: float = 0.1) -> Model:
     """Learns from (doc_id, text, lang) rows; ``most_docs`` bounds the documents learned from for each language.
 
-    What reaches the driver is a few partial count tables of ``buckets`` x languages.
+    What reaches the driver is a few partial count tables of BUCKETS x languages; languages are a bounded set (some
+    thousands in all the world), and none is left out.
     """
     rows = labelled.select("doc_id", F.col(text).alias("text"), F.col(lang).alias("lang")).where("lang is not null and text is not null")
     sample = bounded_ids(rows, "lang", most_docs).select("text", "lang")
@@ -119,7 +126,7 @@ def fit(labelled: DataFrame, text: str = "text", lang: str = "lang", most_docs:
         total[r["lang"]] = total.get(r["lang"], 0) + np.frombuffer(r["counts"], np.int64)
     langs = sorted(total)
     if not langs:
-        return Model([], np.zeros((buckets, 0), np.float32))
+        return Model([], np.zeros((BUCKETS, 0), np.float32))
     counts = np.stack([total[g] for g in langs], 1) + alpha
     return Model(langs, np.log(counts / counts.sum(0)).astype(np.float32))
 
@@ -127,8 +134,7 @@ def fit(labelled: DataFrame, text: str = "text", lang: str = "lang", most_docs:
 def predict(docs: DataFrame, model: Model, text: str = "text", id_col: str = "doc_id", keep: tuple[str, ...] = ()) -> DataFrame:
     """(``id_col``, ``keep`` columns, lang_pred, score) of each row."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    own = list(dict.fromkeys([id_col, text, *keep]))
-    names = [id_col, *[k for k in keep if k != id_col]]
+    own, names = kept_columns(id_col, text, keep, ("lang_pred", "score"))
     schema = docs.select(*names).schema.add("lang_pred", "string").add("score", "double")
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

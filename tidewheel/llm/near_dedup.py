@@ -10,10 +10,14 @@ similarity estimated from the union's sketch, and pairs far below the threshold
 Each remaining pair is dealt to the list of its smallest shared key, full sets meet there, and exact Jaccard
 confirms. Components of the confirmed links are labelled by their smallest doc_id.
 
+Each block is first compared with itself and with its list's first block, and their links labelled. Of the other
+pairs of blocks only those are worked through, sketches and sets alike, whose members do not all share a label yet:
+a large group of different copies is joined through the first block, at a cost that is linear in the group.
+
 A pair at the threshold t stays unfound only if none of its keys is shared, with a chance of about (1 - t) to the
-power KEYS. No list, bucket or candidate count is capped. A list of n members costs n * n / 2 sketch comparisons
-in tasks of two blocks; so only the lists of common values, which hold boilerplate and large groups of different
-copies, grow beyond COMMON members.
+power KEYS. No list, bucket or candidate count is capped. A list of n members that are no copies of each other
+costs n * n / 2 sketch comparisons in tasks of two blocks; so only the lists of common values, which hold
+boilerplate, grow beyond COMMON members.
 
 Rows: one for each input row. A null text counts as empty: no words, set size 0, linked with nothing. With one to
 four words the whole sequence is the one shingle. Rows with one doc_id are one node. A null doc_id can't name a
@@ -206,15 +210,25 @@ def near_duplicates(docs: DataFrame, percent: int = 80, few: int = 2_000_000) ->
     real = rows.where("n_shingles > 0 and doc_id is not null")
     classes = stored(real.groupBy("key").agg(F.min("doc_id").alias("node"), F.first("n_shingles").alias("n"), F.first("sketch").alias("sketch")), "classes")
     keys = stored(keys_of(classes), "keys")
-    listed = units(keys.select("node", F.explode("keys").alias("value")), BLOCK)
+    listed = stored(units(keys.select("node", F.explode("keys").alias("value")), BLOCK), "listed")
     about = classes.select("node", "n", "sketch").join(keys, "node")
-    near = stored(candidates(listed.join(about, "node"), threshold).hint("rebalance"), "candidates")  # few rows: few files
-    wanted = near.select(F.col("node").alias("doc_id")).distinct()
     ids = docs.select("doc_id", "text")
-    hint = F.broadcast if wanted.count() <= few else (lambda df: df)
-    whole = full_sets(ids.join(hint(wanted), "doc_id", "left_semi"))
-    links = confirmed(near.join(whole, "node"), percent)
-    labels = components(links)
+
+    def linked(part: DataFrame) -> DataFrame:
+        """(a, b): verified links of the units of ``part``."""
+        near = stored(candidates(part.join(about, "node"), threshold).hint("rebalance"), "candidates")  # few rows: few files
+        wanted = near.select(F.col("node").alias("doc_id")).distinct()
+        hint = F.broadcast if wanted.count() <= few else (lambda df: df)
+        whole = full_sets(ids.join(hint(wanted), "doc_id", "left_semi"))
+        return confirmed(near.join(whole, "node"), percent)
+
+    labels = components(linked(listed.where("bi = 0 or bi = bj")))
+    rest = listed.where("bi > 0 and bi <> bj")
+    if not rest.isEmpty():
+        own = rest.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+        apart = own.groupBy(*UNIT).agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select(*UNIT)
+        links = linked(rest.join(apart, UNIT, "left_semi"))
+        labels = components(labels.select(F.col("label").alias("a"), F.col("node").alias("b")).unionByName(links))
     named = classes.select("key", "node").join(labels, "node", "left").select("key", F.coalesce("label", "node").alias("component_id"))
     joined = real.select("doc_id", "n_shingles", "key").join(named, "key").select("doc_id", "n_shingles", "component_id")
     alone = rows.where("n_shingles = 0 or doc_id is null").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))

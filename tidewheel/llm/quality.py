@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewheel.llm.common import bounded_ids, codes
+from tidewheel.llm.common import bounded_ids, codes, kept_columns
 
 BUCKETS = 1 << 16
 #: The reserved buckets' number.
@@ -156,8 +156,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", most_docs: i
 def predict(docs: DataFrame, model: Model, threshold: float = 0.3, keep: tuple[str, ...] = ()) -> DataFrame:
     """(doc_id, ``keep`` columns, score, predicted) of each row."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    own = list(dict.fromkeys(["doc_id", "text", *keep]))
-    names = ["doc_id", *[k for k in keep if k != "doc_id"]]
+    own, names = kept_columns("doc_id", "text", keep, ("score", "predicted"))
     schema = docs.select(*names).schema.add("score", "double").add("predicted", "integer")
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewheel.llm import edit_embedding, gif_media, language_id, mixing, near_dedup, quality, sentencepiece_codec, separator_scan, token_files, toxicity
@@ -47,9 +47,14 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return separator_scan.counts(docs, tokenizer("word_bpe_49k.json"), end_id=49407)
 
 
+def held_out(divisor: int, own: int) -> Column:
+    """Whether a document is in the fold that is never learned from; a null doc_id always is."""
+    return F.coalesce(remainder("doc_id", divisor) == own, F.lit(True))
+
+
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = documents(spark, sf_dir, "doc_id", "text"), spark.read.parquet(f"{sf_dir}/labels.parquet")
-    held = remainder("doc_id", 4) == 2
+    held = held_out(4, 2)
     model = toxicity.fit(docs, labels.where(~held).select("doc_id", "toxic"))
     out = toxicity.predict(docs, model)
     return out.select("doc_id", held.alias("held_out"), "score", "predicted")
@@ -57,7 +62,7 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = documents(spark, sf_dir, "doc_id", "text"), spark.read.parquet(f"{sf_dir}/labels.parquet")
-    held = remainder("doc_id", 5) == 0
+    held = held_out(5, 0)
     model = quality.fit(docs, labels.where(~held).select("doc_id", "quality"))
     out = quality.predict(docs, model)
     return out.select("doc_id", held.alias("held_out"), "score", "predicted")
@@ -69,7 +74,7 @@ def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir, "doc_id", "text", "lang")
-    held = remainder("doc_id", 3) == 1
+    held = held_out(3, 1)
     model = language_id.fit(docs.where(~held))
     out = language_id.predict(docs.select("doc_id", "text"), model)
     return out.select("doc_id", held.alias("held_out"), "lang_pred", "score")

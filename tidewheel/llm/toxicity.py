@@ -16,10 +16,11 @@ run of letters counts as one word, so a term inside it is neither learned nor fo
 
 from __future__ import annotations
 
+import hashlib
 import re
 import unicodedata
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
 import ahocorasick
@@ -28,6 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidewheel.llm.common import kept_columns, stored
 from tidewheel.llm.quality import labelled_sample
 
 #: Look-alikes of Latin letters in Cyrillic and Greek.
@@ -41,9 +43,9 @@ _ACCENT = re.compile("[\u0300-\u036f]+")
 _GAP = re.compile(r"[\W_]+")
 _SPELLED = re.compile(r"(?<= )(?:\w ){3,}\w(?= )")
 SHORTEST, LONGEST = 4, 12
-#: How far from chance an entry's counts must be: far, as copies make counts larger than independent texts would.
-SURPRISE = 40.0
-LEAST_WEIGHT = 3.0
+#: How far from chance an entry's counts must be (twice the log-likelihood ratio); equal texts count once.
+SURPRISE = 20.0
+LEAST_WEIGHT = 2.0
 
 
 def _leet(m: re.Match) -> str:
@@ -121,96 +123,115 @@ def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2) -> tuple[flo
     return tuple(float(v) for v in theta)
 
 
-def choose(counts: list[tuple[str, int, int]], n1: int, n0: int, most_entries: int = 5000) -> dict[str, float]:
+def surprise(a: float, b: float, n1: int, n0: int) -> float:
+    """Twice the log-likelihood ratio of a of n1 and b of n0 documents against one share for both."""
+    e1, e0 = (a + b) * n1 / (n1 + n0), (a + b) * n0 / (n1 + n0)
+    return 2 * ((a * np.log(a / e1) if a else 0.0) + (b * np.log(b / e0) if b else 0.0))
+
+
+def log_odds(a: float, b: float, n1: int, n0: int) -> float:
+    return float(np.log((a + 0.5) / (n1 + 1)) - np.log((b + 0.5) / (n0 + 1)))
+
+
+def choose(counts: list[tuple[str, int, int]], n1: int, n0: int) -> dict[str, float]:
     """Weights of the beginnings that toxic documents hold far more often; a longer one stays only if it says more than a shorter one.
 
     counts: (beginning, toxic documents, other documents) that hold it.
     """
-    weight = {w: float(np.log((a + 0.5) / (n1 + 1)) - np.log((b + 0.5) / (n0 + 1))) for w, a, b in counts}
-    support = {w: a for w, a, _ in counts}
-
-    def surprise(a: int, b: int) -> float:
-        """Twice the log-likelihood ratio of a and b against shares that the classes have in common."""
-        e1, e0 = (a + b) * n1 / (n1 + n0), (a + b) * n0 / (n1 + n0)
-        return 2 * (a * np.log(a / e1) + (b * np.log(b / e0) if b else 0.0))
-
-    sure = {w for w, a, b in counts if surprise(a, b) >= SURPRISE}
+    held = {w: (a, b) for w, a, b in counts if a and surprise(a, b, n1, n0) >= SURPRISE and log_odds(a, b, n1, n0) > LEAST_WEIGHT}
     kept: dict[str, float] = {}
-    for w in sorted(weight, key=lambda w: (len(w), w)):
+    for w in sorted(held, key=lambda w: (len(w), w)):
+        weight = log_odds(*held[w], n1, n0)
         above = [kept[w[:n]] for n in range(SHORTEST, len(w)) if w[:n] in kept]
-        if w in sure and weight[w] > LEAST_WEIGHT and (not above or weight[w] > max(above) + 1.0):
-            kept[w] = weight[w]
-    held = {w: (a, b) for w, a, b in counts}
+        if not above or weight > max(above) + 1.0:
+            kept[w] = weight
     for w in sorted(kept, key=lambda w: (-len(w), w)):  # a beginning that its kept extensions explain says nothing more
-        longer = [x for x in kept if len(x) > len(w) and x.startswith(w)]
-        longer = [x for x in longer if not any(y != x and x.startswith(y) for y in longer)]
+        longer = sorted((x for x in kept if len(x) > len(w) and x.startswith(w)), key=len)
+        longer = [x for k, x in enumerate(longer) if not any(x.startswith(y) for y in longer[:k])]
         if longer:
             a, b = (max(0, held[w][k] - sum(held[x][k] for x in longer)) for k in (0, 1))
-            own = float(np.log((a + 0.5) / (n1 + 1)) - np.log((b + 0.5) / (n0 + 1)))
-            if not a or own <= LEAST_WEIGHT or surprise(a, b) < SURPRISE:
+            own = log_odds(a, b, n1, n0)
+            if not a or own <= LEAST_WEIGHT or surprise(a, b, n1, n0) < SURPRISE:
                 del kept[w]
             else:
                 kept[w] = own
-    top = sorted(kept, key=lambda w: (-kept[w] * support[w] ** 0.5, w))[:most_entries]
-    return {w: kept[w] for w in sorted(top)}
+    return dict(sorted(kept.items()))
 
 
 def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", most_docs: int = 4000, least: int = 5, exceptions: list[str] = ()) -> Model:
-    """Learns the lexicon, exception phrases and the logistic function from about ``most_docs`` labelled documents of each class.
+    """Learns the lexicon, exception phrases and the logistic function from about ``most_docs`` labelled documents of each class, equal texts once.
 
-    Counting runs on the executors; the driver gets beginnings that at least ``least`` toxic documents of the
-    sample hold and two numbers for each document of the sample. ``exceptions``: further phrases that are clean.
+    Counting runs on the executors. The driver gets the beginnings that at least ``least`` toxic documents of that
+    bounded sample hold and that are ``SURPRISE`` from chance, the phrases that at least ``least`` clean ones hold
+    around a hit, and two numbers for each document of the sample. Nothing learned is cut to a number of entries.
+    ``exceptions``: further phrases that are clean.
     """
     spark = docs.sparkSession
     sample = labelled_sample(docs, labels, label, most_docs).repartition(8, F.xxhash64("text"))
+    counts = pa.schema([("w", pa.string()), ("a", pa.int64()), ("b", pa.int64())])
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: dict[int, Counter] = {0: Counter(), 1: Counter()}
+    def different(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str | None, int]]:
+        """Rows of a partition, equal ones once: equal texts share a partition."""
+        seen = set()
         for batch in batches:
             for t, y in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                own = seen[int(y == 1)]
-                own.update(beginnings(fold(t)))
-                own[""] += 1
-        words = sorted(seen[0].keys() | seen[1].keys())
+                own = hashlib.blake2b((t or "").encode("utf-8", "surrogatepass"), digest_size=16, salt=bytes([y == 1])).digest()
+                if own not in seen:
+                    seen.add(own)
+                    yield t, int(y == 1)
+
+    def tables(seen: Counter) -> Iterator[pa.RecordBatch]:
+        """(w, toxic, others) of a counter of (w, class)."""
+        words = sorted({w for w, _ in seen})
         for lo in range(0, len(words), 50_000):
             w = words[lo : lo + 50_000]
-            yield pa.RecordBatch.from_pydict({"w": w, "a": [seen[1][x] for x in w], "b": [seen[0][x] for x in w]}, pa.schema([("w", pa.string()), ("a", pa.int64()), ("b", pa.int64())]))
+            yield pa.RecordBatch.from_pydict({"w": w, "a": [seen[x, 1] for x in w], "b": [seen[x, 0] for x in w]}, counts)
 
-    counted = sample.mapInArrow(count, "w string, a long, b long").groupBy("w").agg(F.sum("a").alias("a"), F.sum("b").alias("b"))
-    got = counted.where(f"w = '' or (a >= {least} and a > b)").orderBy(F.desc(F.expr("w = ''")), F.desc("a"), "w").limit(200_000).collect()
-    n1, n0 = next(((r["a"], r["b"]) for r in got if r["w"] == ""), (0, 0))
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: Counter = Counter()
+        for t, y in different(batches):
+            seen.update((w, y) for w in beginnings(fold(t)))
+            seen["", y] += 1
+        yield from tables(seen)
+
+    def summed(f: Callable) -> DataFrame:
+        return sample.mapInArrow(f, "w string, a long, b long").groupBy("w").agg(F.sum("a").alias("a"), F.sum("b").alias("b"))
+
+    counted = stored(summed(count), "beginnings")
+    n1, n0 = next((tuple(r) for r in counted.where("w = ''").select("a", "b").collect()), (0, 0))
     if not n1 or not n0:
         share = 1.0 if n1 else 0.0
         return Model({}, {}, (0.0, 0.0, float(np.log((share + 1e-3) / (1 - share + 1e-3)))))
-    model = Model(choose([tuple(r) for r in got if r["w"]], n1, n0), {"given": [fold(p).strip() for p in exceptions]})
+    a, b, both = F.col("a"), F.col("b"), F.col("a") + F.col("b")
+    far = 2 * (a * F.log(a * (n1 + n0) / (both * n1)) + F.when(b > 0, b * F.log(b * (n1 + n0) / (both * n0))).otherwise(0.0))
+    sure = counted.where((F.col("w") != "") & (a >= max(1, least)) & (a * n0 > b * n1) & (far >= SURPRISE - 1e-6))
+    model = Model(choose(sorted(tuple(r) for r in sure.collect()), n1, n0), {"given": [fold(p).strip() for p in exceptions]})
     shared = spark.sparkContext.broadcast(model)
 
     def phrases(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Word pairs around hits, by class."""
-        a, seen = shared.value.automaton(), Counter()
-        for batch in batches:
-            for t, y in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                folded, pairs = fold(t), set()
-                for end, (n, _, free) in a.iter(folded) if len(a) else ():
-                    if not free:
-                        s = end - n + 1
-                        stop = folded.index(" ", s + 1)
-                        before = folded[folded.rfind(" ", 0, s) + 1 : stop] if s else ""
-                        nxt = folded.find(" ", stop + 1)
-                        pairs |= {p for p in (before, folded[s + 1 : nxt] if nxt > 0 else "") if " " in p}
-                seen.update((p, int(y == 1)) for p in pairs)
-        keys = sorted({p for p, _ in seen})
-        yield pa.RecordBatch.from_pydict({"w": keys, "a": [seen[k, 1] for k in keys], "b": [seen[k, 0] for k in keys]}, pa.schema([("w", pa.string()), ("a", pa.int64()), ("b", pa.int64())]))
-
-    paired = sample.mapInArrow(phrases, "w string, a long, b long").groupBy("w").agg(F.sum("a").alias("a"), F.sum("b").alias("b"))
-    model.exceptions["learned"] = sorted(r["w"] for r in paired.where(f"a = 0 and b >= {least}").orderBy(F.desc("b"), "w").limit(5000).collect())
+        found, seen = shared.value.automaton(), Counter()
+        for t, y in different(batches):
+            folded, pairs = fold(t), set()
+            for end, (n, _, free) in found.iter(folded) if len(found) else ():
+                if not free:
+                    s = end - n + 1
+                    stop = folded.index(" ", s + 1)
+                    before = folded[folded.rfind(" ", 0, s) + 1 : stop] if s else ""
+                    nxt = folded.find(" ", stop + 1)
+                    pairs |= {p for p in (before, folded[s + 1 : nxt] if nxt > 0 else "") if " " in p}
+            seen.update((p, y) for p in pairs)
+        yield from tables(seen)
+
+    model.exceptions["learned"] = sorted(r["w"] for r in summed(phrases).where(f"a = 0 and b >= {least}").collect())
     shared = spark.sparkContext.broadcast(model)
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m, a = shared.value, shared.value.automaton()
+        m, found = shared.value, shared.value.automaton()
         for batch in batches:
-            x = m.features(batch.column(0).to_pylist(), a)
-            yield pa.RecordBatch.from_arrays([pa.array(x[:, 0]), pa.array(x[:, 1]), batch.column(1).cast(pa.int32())], names=["h", "d", "y"])
+            rows = [(t, int(y == 1)) for t, y in zip(*(c.to_pylist() for c in batch.columns), strict=True)]
+            x = m.features([t for t, _ in rows], found)
+            yield pa.RecordBatch.from_arrays([pa.array(x[:, 0]), pa.array(x[:, 1]), pa.array([y for _, y in rows], pa.int32())], names=["h", "d", "y"])
 
     rows = np.array(sorted(tuple(r) for r in sample.mapInArrow(features, "h double, d double, y int").collect()))
     model.theta = fit_logistic(np.column_stack([rows[:, :2], np.ones(len(rows))]), (rows[:, 2] > 0).astype(float))
@@ -220,8 +241,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", most_docs: int
 def predict(docs: DataFrame, model: Model, threshold: float = 0.3, keep: tuple[str, ...] = ()) -> DataFrame:
     """(doc_id, ``keep`` columns, score, predicted) of each row."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    own = list(dict.fromkeys(["doc_id", "text", *keep]))
-    names = ["doc_id", *[k for k in keep if k != "doc_id"]]
+    own, names = kept_columns("doc_id", "text", keep, ("score", "predicted"))
     schema = docs.select(*names).schema.add("score", "double").add("predicted", "integer")
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

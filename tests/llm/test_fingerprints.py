@@ -84,23 +84,81 @@ def test_near_classes(spark):
     base = [" ".join(word() for _ in range(200)) for _ in range(6)]
     rows = [(i, b) for i, b in enumerate(base)] + [(10 + i, b) for i, b in enumerate(base[:3])]
     rows += [(20 + i, b[:700] + "zz" + b[703:]) for i, b in enumerate(base)] + [(30, None), (31, ""), (None, "lost")]
-    got = {r["doc_id"]: r["class_id"] for r in E.near_classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    got = {r["doc_id"]: r["class_id"] for r in E.near_classes(spark.createDataFrame(rows, "doc_id long, text string"), threshold=0.6, walks=3).collect()}
     assert all(got[i] == i for i in range(6)) and all(got[10 + i] == i for i in range(3)) and all(got[20 + i] == i for i in range(6))
     assert got[30] == got[31] == 30 and got[None] is None
 
 
-def test_near_classes_with_edits_at_the_start_middle_and_end(spark):
-    """Texts near the upper end of a level; a quarter of each copy is replaced."""
-    rng = np.random.default_rng(11)
+def joined_pairs(pairs):
+    up = {}
+
+    def root(x):
+        while up.setdefault(x, x) != x:
+            x = up[x]
+        return x
+
+    for a, b in pairs:
+        x, y = sorted((root(a), root(b)))
+        up[y] = x
+    return root
+
+
+def edited_copies(n_texts=90, seed=11):
+    """Texts near the upper end of a level, and copies of which a part at the start, middle or end is replaced."""
+    rng = np.random.default_rng(seed)
     make = lambda n: "".join(rng.choice(list("abcdefghijklmnopqrst "), n))
-    rows, pairs = [], {}
-    for i in range(60):
+    rows = []
+    for i in range(n_texts):
         n = (1000, 2000, 240)[i % 3]
-        text, k = make(n), n // 4
+        text, k = make(n), n // (4, 8, 12)[i // 9 % 3]
         at = (0, (n - k) // 2, n - k)[i // 3 % 3]
-        copy = text[:at] + make(k) + text[at + k :]
-        rows += [(2 * i, text), (2 * i + 1, copy)]
-        pairs[2 * i] = max(E.likeness(*E.walk([codes(text), codes(copy)], seed)) for seed in range(3))
+        rows += [(2 * i, text), (2 * i + 1, text[:at] + make(k) + text[at + k :])]
+    return rows
+
+
+def test_signs_give_the_likeness():
+    prints = [w for w in E.walk([codes(t) for _, t in edited_copies(12)] + [codes(""), codes("ab"), codes("abc" * 900)])]
+    every = np.arange(len(prints))
+    for threshold in (0.3, 0.8):
+        a, b = E.alike(prints, every, every, threshold)
+        want = {(i, j) for i in every for j in every if E.likeness(prints[i], prints[j]) >= threshold}
+        assert set(zip(a.tolist(), b.tolist(), strict=True)) == want
+
+
+def test_classes_against_all_pairs(spark):
+    """Edits anywhere in a text are found alike often; nothing below the threshold is joined."""
+    rows = edited_copies(150)
+    prints = dict(zip((i for i, _ in rows), E.walk([codes(t) for _, t in rows]), strict=True))
+    pairs = [(a, b) for a in prints for b in prints if a < b and E.likeness(prints[a], prints[b]) >= 0.8]
     got = {r["doc_id"]: r["class_id"] for r in E.near_classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
-    assert sum(v >= 0.65 for v in pairs.values()) > 40 and all(got[i] == i for i in pairs)
-    assert [i for i, v in pairs.items() if v >= 0.65 and got[i + 1] != i or v < 0.6 and got[i + 1] == i] == []
+    root = joined_pairs(pairs)
+    assert all(root(i) == root(c) for i, c in got.items())  # only verified links
+    for third in range(3):
+        own = [p for p in pairs if p[0] // 2 // 3 % 3 == third]
+        assert len(own) >= 12 and sum(got[a] == got[b] for a, b in own) >= 0.9 * len(own)
+
+
+def test_several_walks_find_more(spark):
+    rows = edited_copies(30, 5)
+    one, three = ({r["doc_id"]: r["class_id"] for r in E.near_classes(spark.createDataFrame(rows, "doc_id long, text string"), walks=w).collect()} for w in (1, 3))
+    assert all(three[i] == three[c] for i, c in one.items())
+    assert E.near_classes(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def test_recall_of_the_registered_query(spark):
+    """class_id of op1 over all documents against the likeness of all pairs of its fingerprints: 0.9 of the pairs or more."""
+    from tidewheel.llm import queries as Q
+
+    rows = Q.op1_edit_embedding(spark, "/root/testdata/sf0.01").collect()
+    prints = {}
+    for r in sorted(rows, key=lambda r: r["doc_id"]):
+        prints.setdefault(r["fingerprint"], r["doc_id"])
+    ids, bits = list(prints.values()), [E.bits_of(p) for p in prints]
+    every = np.arange(len(ids))
+    a, b = E.alike(bits, every, every, 0.8)
+    pairs = [(ids[x], ids[y]) for x, y in zip(a.tolist(), b.tolist(), strict=True) if x < y]
+    got, root = {r["doc_id"]: r["class_id"] for r in rows}, joined_pairs(pairs)
+    assert len(pairs) >= 5 and sum(got[x] == got[y] for x, y in pairs) >= 0.9 * len(pairs)
+    own = {r["doc_id"]: prints[r["fingerprint"]] for r in rows}
+    assert all(root(own[i]) == root(c) for i, c in got.items())
+    print("recall", sum(got[x] == got[y] for x, y in pairs) / len(pairs), len(pairs))

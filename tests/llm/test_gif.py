@@ -118,3 +118,19 @@ def test_features_of_texts(spark):
         assert sum(int(x.split(":")[1]) for x in r["feature"].split()) == len(full)
     assert got[1, 5][2:] == got[4, 5][2:]
     assert G.features(G.store_texts(spark.createDataFrame([], "doc_id long, text string"))).count() == 0
+
+
+def test_damaged_gifs_give_their_frames_and_an_error(spark):
+    """Cut at every byte, a GIF gives the whole frames before the cut, and a row with the damage unless only the trailer is lost."""
+    gif = HEAD + frame([0, 1, 2, 3], 2, 2) + frame([0], 1, 1, delay=9) + b"\x3b"
+    first = len(HEAD) + len(frame([0, 1, 2, 3], 2, 2))
+    cuts = [(k, bytearray(gif[:k])) for k in range(len(gif) + 1)]
+    strange = [(1000, bytearray(gif.replace(b"\x02", b"\x0c"))), (1001, bytearray(G.store(bytes(6400))[:-40])), (1002, bytearray(b"GIF89a" + struct.pack("<HHBBB", 65535, 65535, 0, 0, 0)))]
+    got = {}
+    for r in G.frame_table(spark.createDataFrame(cuts + strange, "id long, gif binary"), "id", "gif").collect():
+        got.setdefault(r["id"], []).append((r["frame"], r["error"] is not None))
+    for k, _ in cuts:
+        frames = (k >= first) + (k >= len(gif) - 1)
+        whole = k in (len(HEAD), first, len(gif) - 1, len(gif))
+        assert got.get(k, []) == [(n, False) for n in range(frames)] + ([] if whole or k < 6 else [(None, True)])
+    assert all(got[k][-1] == (None, True) for k, _ in strange)

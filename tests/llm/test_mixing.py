@@ -53,18 +53,18 @@ def test_matches_plain_loops(spark, cover):
     df = spark.createDataFrame(ROWS, "doc_id long, source string, text string").selectExpr("*", "1 as blocks", "2 as rank").repartition(3)
     args = {"entropy": 0.97, "most_epochs": 3.0, "cover": cover}
     got = sorted(((r["doc_id"], r["source"], r["n_tokens"], r["epoch"], r["block"], r["rank"]) for r in M.mixture(df, block_tokens=40, **args).collect()), key=str)
-    assert got == plain(ROWS, lambda t: M.bisect(t, 0.97, 3.0, cover), cover, block_tokens=40)
+    assert got == plain(ROWS, lambda t: M.exponent(t, 0.97, 3.0, cover), cover, block_tokens=40)
 
 
 def test_targets_are_met():
     t = np.array([1000.0, 300.0, 50.0, 10.0])
-    a = M.bisect(t, 0.9, 100.0, False)
+    a = M.exponent(t, 0.9, 100.0, False)
     w = M.weights(t, a)
     assert -(w * np.log(w)).sum() == pytest.approx(0.9 * np.log(4), abs=1e-9)
-    a = M.bisect(t, 1.0, 2.0, False)
+    a = M.exponent(t, 1.0, 2.0, False)
     w = M.weights(t, a)
     assert (w * t.sum() / t).max() == pytest.approx(2.0, abs=1e-9)
-    assert M.bisect(t, 0.0, 1.0, False) == pytest.approx(1.0)
+    assert M.exponent(t, 0.0, 1.0, False) == pytest.approx(1.0)
 
 
 def test_cover_keeps_every_document(spark):
@@ -83,3 +83,15 @@ def test_empty_tables(spark):
 
 def test_sql(spark):
     compare(spark, connection("/root/testdata/sf0.01"), "/root/testdata/sf0.01", queries.queries()["op4_mixing"], queries.oracle_sql()["op4_mixing"])
+
+
+@pytest.mark.parametrize("cover", [False, True])
+def test_more_sources_than_the_driver_takes(spark, cover):
+    """The plan by aggregates equals the driver's, and gives the same mixture."""
+    rows = ROWS + [(1000 + k, f"s{k}", "w " * (k % 5 + 1)) for k in range(30)]
+    df = M.measured(spark.createDataFrame(rows, "doc_id long, source string, text string"))
+    args = {"entropy": 0.95, "most_epochs": 3.0, "cover": cover, "block_tokens": 40}
+    one, two = (sorted(map(tuple, M.source_plan(df, few=few, **args).collect())) for few in (100, 2))
+    assert [r[:2] + r[4:] for r in one] == [r[:2] + r[4:] for r in two]
+    for x, y in zip(one, two, strict=True):
+        assert x[2] == pytest.approx(y[2], abs=2e-9) and abs(x[3] - y[3]) <= 1

@@ -108,3 +108,48 @@ def test_separator_scan_stitches_blocks(spark, tokenizer, monkeypatch):
         assert sorted((r["start"] for r in got)) == [sum(r2["n_tokens"] for r2 in got if r2["start"] < r["start"]) for r in sorted(got, key=lambda r: r["start"])]
         single = {r["doc_id"]: r["n_tokens"] for r in got if r["doc_id"] not in (None, 3)}
         assert single == {i: len(own.encode(t or "", add_special_tokens=False).ids) + 1 for i, t in ROWS if i not in (None, 3)}
+
+
+@pytest.mark.parametrize("dealt", [1, 4])
+def test_counts_do_not_depend_on_files(spark, tokenizer, dealt, monkeypatch):
+    """Counts and starts against the library's, in ascending doc_id order, however the rows are dealt out."""
+    own = Tokenizer.from_file(PATH)
+    own.encode_special_tokens = True
+    rows = ROWS + [(100 + k * 7 % 50, f"text {k} " * (k % 9)) for k in range(50)]
+    monkeypatch.setattr(S, "BLOCK", 64)
+    df = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "0 as start", "'x' as part").repartition(dealt, "text")
+    path = scratch_path(spark, "test-docs")
+    df.write.parquet(path)
+    want, start = [], 0
+    for i, n in sorted(((i, len(own.encode(t or "", add_special_tokens=False).ids) + 1) for i, t in rows), key=lambda r: (r[0] is not None, r[0] or 0, r[1])):
+        want.append((i, start, n))
+        start += n
+    got = sorted(map(tuple, S.counts(spark.read.parquet(path), PATH, 49407).collect()), key=lambda r: r[1])
+    assert got == want
+
+
+def test_registered_counts(spark, sf_dir):
+    """op6 over all documents against the library."""
+    from tidewheel.llm import queries as Q
+
+    own = Tokenizer.from_file(PATH)
+    own.encode_special_tokens = True
+    start, want = 0, []
+    for r in sorted(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").collect(), key=lambda r: r["doc_id"]):
+        n = len(own.encode(r["text"] or "", add_special_tokens=False).ids) + 1
+        want.append((r["doc_id"], start, n))
+        start += n
+    assert sorted(map(tuple, Q.op6_token_counts(spark, sf_dir).collect())) == want
+
+
+def test_parts_keep_order(spark):
+    from tidewheel.llm import common as C
+
+    df = spark.createDataFrame([(None if k % 50 == 0 else k * 37 % 1000, k) for k in range(3000)], "doc_id long, n long")
+    for n in (1, 2, 9, 64, 1000):
+        own = C.Cuts.__new__(C.Cuts)
+        own.key, own.kind, own.cuts = "doc_id", "bigint", sorted({1 + 999 * k // n for k in range(1, n)})
+        own.step = max(1, int(np.ceil(len(own.cuts) ** 0.5)))
+        own.runs = [own.cuts[i : i + own.step] for i in range(0, len(own.cuts), own.step)]
+        got = df.withColumn("p", own.part()).collect()
+        assert all(r["p"] == (0 if r["doc_id"] is None else sum(c <= r["doc_id"] for c in own.cuts)) for r in got)

@@ -90,40 +90,63 @@ def documents(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
     return df.select(*columns) if columns else df
 
 
+class Cuts:
+    """Cut points of a key, approximate percentiles whose number follows the input's size on disk (see ``parts_for``).
+
+    The driver holds the cuts; a row finds its part by two searches among about the square root of them.
+    """
+
+    def __init__(self, docs: DataFrame, key: str) -> None:
+        n = parts_for(docs)
+        self.key, self.kind = key, docs.schema[key].dataType.simpleString()
+        head = docs.select(key).agg(
+            F.percentile_approx(key, [i / n for i in range(1, n)] or [0.5], max(10_000, 4 * n)).alias("cuts"),
+            F.min(key).alias("least"),
+            F.sum(F.col(key).isNull().cast("int")).alias("nulls"),
+        ).first()
+        self.least, self.nulls = head["least"], head["nulls"]
+        self.cuts = sorted({c for c in head["cuts"] or [] if c != head["least"]}) if n > 1 else []
+        self.step = max(1, int(np.ceil(len(self.cuts) ** 0.5)))
+        self.runs = [self.cuts[i : i + self.step] for i in range(0, len(self.cuts), self.step)]
+
+    def _below(self, at: Column) -> Column:
+        return F.size(F.filter(at, lambda c: c <= F.col(self.key)))
+
+    def _run(self) -> Column:
+        return self._below(F.array(*[F.lit(r[0]) for r in self.runs]).cast(f"array<{self.kind}>"))
+
+    def own(self) -> Column:
+        """The run of cuts that holds the last one at or below the key; null below all."""
+        return F.get(F.array(*[F.array(*map(F.lit, r)) for r in self.runs]).cast(f"array<array<{self.kind}>>"), self._run() - 1)
+
+    def part(self) -> Column:
+        """The number of cuts at or below the key; 0 for a null."""
+        if not self.cuts:
+            return F.lit(0)
+        run = self._run()
+        return F.when(F.col(self.key).isNotNull() & (run > 0), (run - 1) * self.step + self._below(self.own())).otherwise(0).cast("int")
+
+
+def placed(docs: DataFrame, key: str) -> DataFrame:
+    """Adds ``_part``: the rows of part 0 have the smallest keys (nulls first), and equal keys share a part."""
+    return docs.withColumn("_part", Cuts(docs, key).part())
+
+
 def in_order(docs: DataFrame, key: str, *ties: str, echo: bool = False) -> DataFrame:
     """Deals rows out so that partition 0 has the smallest keys, and sorts each partition.
 
-    The cut points are approximate percentiles of ``key`` (a scan of that column alone), whose number follows the
-    input's size on disk (see ``parts_for``). Equal keys share a partition; null keys come first. Adds ``_part``;
-    with ``echo`` also ``_echo``: true on a copy of the next partition's first rows (for the last partition: of the
-    first partition's).
+    Equal keys share a partition; null keys come first. Adds ``_part``; with ``echo`` also ``_echo``: true on a copy
+    of the next partition's first rows (for the last partition: of the first partition's).
     """
-    n = parts_for(docs)
-    head = docs.select(key).agg(
-        F.percentile_approx(key, [i / n for i in range(1, n)] or [0.5], max(10_000, 4 * n)).alias("cuts"),
-        F.min(key).alias("least"),
-        F.sum(F.col(key).isNull().cast("int")).alias("nulls"),
-    ).first()
-    cuts = sorted({c for c in head["cuts"] or [] if c != head["least"]}) if n > 1 else []
-    kind = docs.schema[key].dataType.simpleString()
-    place = F.lit(0)
-    if cuts:
-        # two searches among about sqrt(n) cuts each
-        step = int(np.ceil(len(cuts) ** 0.5))
-        runs = [cuts[i : i + step] for i in range(0, len(cuts), step)]
-        below = lambda at: F.size(F.filter(at, lambda c: c <= F.col(key)))
-        run = below(F.array(*[F.lit(r[0]) for r in runs]).cast(f"array<{kind}>"))
-        own = F.get(F.array(*[F.array(*map(F.lit, r)) for r in runs]).cast(f"array<array<{kind}>>"), run - 1)
-        place = F.when(run > 0, (run - 1) * step + below(own)).otherwise(0)
-        place = F.when(F.col(key).isNull(), 0).otherwise(place)
-    df = docs.withColumn("_part", place.cast("int"))
-    last = len(cuts)
+    cuts = Cuts(docs, key)
+    df = docs.withColumn("_part", cuts.part())
+    last = len(cuts.cuts)
     order = ["_part", F.asc_nulls_first(key), *ties]
     if echo:
-        first = F.col(key).isNull() if head["nulls"] else F.col(key) == head["least"]
+        first = F.col(key).isNull() if cuts.nulls else F.col(key) == cuts.least
         back = F.when(first, F.lit(last))
-        if cuts:
-            back = back.when((F.col("_part") > 0) & F.array_contains(own, F.col(key)), F.col("_part") - 1)
+        if cuts.cuts:
+            back = back.when((F.col("_part") > 0) & F.array_contains(cuts.own(), F.col(key)), F.col("_part") - 1)
         df = df.withColumn("_to", F.when(back.isNull(), F.array(F.struct(F.col("_part").alias("p"), F.lit(False).alias("e")))).otherwise(
             F.array(F.struct(F.col("_part").alias("p"), F.lit(False).alias("e")), F.struct(back.cast("int").alias("p"), F.lit(True).alias("e")))))
         df = df.withColumn("_to", F.explode("_to")).withColumn("_part", F.col("_to.p")).withColumn("_echo", F.col("_to.e")).drop("_to")

@@ -7,9 +7,11 @@ edit, so their outputs are at a small Hamming distance. A fingerprint keeps one
 are among a finer one's, so any two fingerprints compare. ``likeness`` is 1 less twice the share of differing
 bits (not below 0), times the shorter's share of the longer. Walks of a batch advance together, longest first.
 
-``near_classes`` finds alike documents: equal texts form classes; bands of sampled bits, keyed with their level,
-give candidates among the classes' representatives; each candidate is verified by the likeness of the whole
-fingerprints. Buckets are worked through in pairs of blocks, and only a forest of links leaves each.
+``near_classes`` and ``with_classes`` find alike documents: equal fingerprints form classes; bands of bits, sampled
+over the whole of the walk, give candidates among the classes' representatives; each candidate is verified by the
+likeness of the whole fingerprints, all pairs of a bucket's blocks in one matrix product. Buckets are worked through
+in pairs of blocks, and only a forest of links leaves each. Bands grow wider with the logarithm of the number of
+fingerprints, and more in number, so buckets stay short.
 
 Rows: one for each input row. A null text counts as empty; its fingerprint has no bits, it is like the empty text
 (1) and unlike any other (0). Rows come in ascending doc_id order, nulls first, equal ids in text order; the last
@@ -19,6 +21,7 @@ row's next is the first, a single row's next is itself. Other columns are ignore
 from __future__ import annotations
 
 import hashlib
+import struct
 from collections.abc import Iterator
 
 import numpy as np
@@ -90,8 +93,13 @@ def text_of(level: int, bits: np.ndarray) -> str:
     return f"{level:02x}{len(bits):04x}{np.packbits(bits).tobytes().hex()}"
 
 
+def bits_in(data: bytes) -> tuple[int, np.ndarray]:
+    """Level and bits of a fingerprint's bytes."""
+    return data[0], np.unpackbits(np.frombuffer(data, np.uint8, offset=3))[: int.from_bytes(data[1:3], "big")]
+
+
 def bits_of(text: str) -> tuple[int, np.ndarray]:
-    return int(text[:2], 16), np.unpackbits(np.frombuffer(bytes.fromhex(text[6:]), np.uint8))[: int(text[2:6], 16)]
+    return bits_in(bytes.fromhex(text))
 
 
 def likeness(a: tuple[int, np.ndarray], b: tuple[int, np.ndarray]) -> float:
@@ -169,70 +177,132 @@ def with_next(docs: DataFrame) -> DataFrame:
     return ordered.select("doc_id", "text", "_part", "_echo").mapInArrow(apply, schema)
 
 
-def near_classes(docs: DataFrame, threshold: float = 0.6, walks: int = 3, bands: int = 24, width: int = 14, block: int = 512) -> DataFrame:
+def near_classes(docs: DataFrame, threshold: float = 0.8, walks: int = 1, recall: float = 0.9, block: int = 512) -> DataFrame:
     """(doc_id, class_id): documents joined by fingerprints with a likeness of ``threshold`` or more, named by their smallest doc_id.
 
-    A walk that an insertion throws out of step comes back after a time without a bound on its mean, so ``walks``
-    rules are tried, and a pair is alike if it is under one of them. Equal texts form one class at once. Rows with
-    a null doc_id stay alone, with a null class_id.
+    A walk that an insertion throws out of step comes back after a time without a bound on its mean; with ``walks``
+    above 1 so many rules are tried, and a pair is alike if it is under one of them. Equal texts form one class at
+    once. A pair whose likeness is just the threshold is found with a chance of about ``recall`` under each rule, a
+    closer pair with a higher one (see ``links``). Rows with a null doc_id stay alone, with a null class_id.
     """
     rows = stored(docs.select("doc_id", F.sha2(F.coalesce("text", F.lit("")), 256).alias("sha256")), "text-digests")
-    classes = rows.where("doc_id is not null").groupBy("sha256").agg(F.min("doc_id").cast("long").alias("node"))
-    classes = stored(classes, "text-classes")
-    texts = docs.join(classes.select(F.col("node").alias("doc_id")), "doc_id", "left_semi")
-    links = None
+    classes = stored(rows.where("doc_id is not null").groupBy("sha256").agg(F.min("doc_id").cast("long").alias("node")), "text-classes")
+    texts = docs.join(classes.select(F.col("node").alias("doc_id")), "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
+    found = None
     for seed in range(walks):
-        own = _links(texts, threshold, bands, width, block, seed)
-        links = own if links is None else links.unionByName(own)
-    named = classes.join(components(links), "node", "left").select("sha256", F.coalesce("label", "node").alias("class_id"))
-    found = rows.where("doc_id is not null").join(named, "sha256").select("doc_id", "class_id")
-    return found.unionByName(rows.where("doc_id is null").select("doc_id", F.lit(None).cast("long").alias("class_id")))
+        prints = stored(fingerprints(texts, seed).select(F.col("doc_id").cast("long").alias("node"), F.unhex("fingerprint").alias("print")), "fingerprints")
+        own = links(prints, threshold, recall, block)
+        found = own if found is None else found.unionByName(own)
+    return named(rows, classes, found, "sha256")
+
+
+def with_classes(rows: DataFrame, threshold: float = 0.8, recall: float = 0.9, block: int = 512) -> DataFrame:
+    """Adds ``class_id`` to rows with (doc_id, fingerprint) that lie in files: as ``near_classes``, from the fingerprints alone."""
+    classes = rows.where("doc_id is not null").groupBy("fingerprint").agg(F.min("doc_id").cast("long").alias("node"))
+    classes = stored(classes, "fingerprint-classes")
+    found = links(classes.select("node", F.unhex("fingerprint").alias("print")), threshold, recall, block)
+    return named(rows, classes, found, "fingerprint")
+
+
+def named(rows: DataFrame, classes: DataFrame, found: DataFrame, key: str) -> DataFrame:
+    """``rows`` with the class_id of their ``key``, null where doc_id is null."""
+    ids = classes.join(components(found), "node", "left").select(key, F.coalesce("label", "node").alias("class_id"))
+    out = rows.join(ids, key, "left").withColumn("class_id", F.when(F.col("doc_id").isNotNull(), F.col("class_id")))
+    return out.select(*(["doc_id"] if key == "sha256" else rows.columns), "class_id")
+
+
+def bands_for(n: int, threshold: float, recall: float) -> tuple[int, int]:
+    """Width and number of bands for n fingerprints.
+
+    The width grows with the logarithm of n, so that texts that are not alike seldom meet in a band however many
+    there are; the number is such that a pair at the threshold shares a band with a chance of ``recall``.
+    """
+    width = max(10, int(np.ceil(np.log2(max(2, n)))) + 2)
+    same = ((1 + threshold) / 2) ** width
+    return width, max(1, int(np.ceil(np.log(1 - recall) / np.log1p(-same))))
+
+
+#: Reaches to a doubling of the walk's length.
+REACHES = 3
+
+
+def reaches(level: int, bits: int, threshold: float) -> list[tuple[int, int, int]]:
+    """(reach, stride's level, steps) under which a fingerprint is listed.
+
+    A reach is a count of steps, ``REACHES`` to a doubling: the last one within the walk and those down to the last
+    within the shortest walk that could be as alike as ``threshold``. Two such walks share a reach that the shorter
+    one fills to 2 ** (-1 / REACHES) at least. All walks that share a reach have bits at its stride.
+    """
+    if not bits:
+        return [(0, 0, 0)]
+    last, back = int(np.floor(REACHES * np.log2(bits << level))), int(np.ceil(REACHES * np.log2(1 / max(threshold, 1 / BITS))))
+    out = []
+    for reach in range(max(0, last - back), last + 1):
+        steps = int(2 ** (reach / REACHES))
+        up = max(0, int(np.floor(np.log2(max(1, steps)))) - 6 - back // REACHES)
+        out.append((reach, max(up, level), steps))
+    return out
+
+
+def samples(level: int, bits: np.ndarray, spread: np.ndarray, threshold: float) -> list[tuple[bytes, int]]:
+    """(bits, reach) of every band of every reach; the places are spread over all of the reach."""
+    out = []
+    for reach, up, steps in reaches(level, len(bits), threshold):
+        own = bits[:: 1 << (up - level)]
+        places = (spread * max(1, steps >> up)).astype(np.int64)
+        out += [(row.tobytes(), reach) for row in own[np.minimum(places, max(0, len(own) - 1))]] if len(own) else [(b"", reach)] * len(spread)
+    return out
 
 
-def _links(texts: DataFrame, threshold: float, bands: int, width: int, block: int, seed: int) -> DataFrame:
-    """(a, b): verified links under one walk rule.
+def alike(prints: list[tuple[int, np.ndarray]], left: np.ndarray, right: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of rows of ``left`` and ``right`` with a likeness of ``threshold`` or more, by matrix products of signs.
 
-    Each text is listed under ``bands`` samples of ``width`` bits from the first BITS // 4 at its own level and the
-    next coarser one, and from each of its reaches. Reaches are counts of steps, eight to a doubling, from the last
-    within the text's walk down to the last within the shortest walk that could be as alike as ``threshold``. So
-    any two such texts share a reach that the shorter walk all but fills, with samples spread over the whole of it.
+    With a bit as 1 or -1 and nothing beyond a walk's end, the product of two rows is the number of steps that agree
+    less those that differ, so the likeness is that product (not below 0) over the longer one's steps.
     """
-    prints = stored(fingerprints(texts, seed).select(F.col("doc_id").cast("long").alias("node"), F.col("fingerprint").alias("print")), "fingerprints")
-    places = np.random.default_rng(7).integers(0, BITS // 4, (bands, width))
+    level = np.array([p[0] for p in prints])
+    a, b = [], []
+    for la in np.unique(level[left]):
+        for lb in np.unique(level[right]):
+            i, j = left[level[left] == la], right[level[right] == lb]
+            top = max(la, lb)
+            x, y = ([prints[k][1][:: 1 << int(top - own)] for k in rows] for rows, own in ((i, la), (j, lb)))
+            size = [np.array([len(v) for v in side]) for side in (x, y)]
+            signs = [np.zeros((len(side), max(1, max(size[0].max(), size[1].max()))), np.float32) for side in (x, y)]
+            for m, side in zip(signs, (x, y), strict=True):
+                for row, v in zip(m, side, strict=True):
+                    row[: len(v)] = 2.0 * v - 1.0
+            product, longer = signs[0] @ signs[1].T, np.maximum(size[0][:, None], size[1][None, :])
+            p, q = np.nonzero(np.where(longer > 0, product >= threshold * longer - 1e-6, True))
+            a.append(i[p])
+            b.append(j[q])
+    return np.concatenate(a), np.concatenate(b)
+
+
+def links(prints: DataFrame, threshold: float, recall: float, block: int) -> DataFrame:
+    """(a, b): verified links of (node, print) rows, print a fingerprint's bytes. Buckets are worked through in pairs of blocks."""
+    width, bands = bands_for(prints.count(), threshold, recall)
     spread = np.random.default_rng(7).random((bands, width))
-    shorter = np.log2(1 / min(1.0, max(threshold, 1 / BITS)))
-    back, room = int(np.ceil(8 * shorter)), 7 - max(1, int(np.ceil(shorter)))  # at a reach's stride all these walks have bits
 
     def lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             value, node = [], []
             for n, p in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                level, bits = bits_of(p)
-                samples = []
-                for up in (0, 1):
-                    own = bits[:: 1 << up]
-                    own = np.concatenate([own, np.full(max(0, BITS // 4 - len(own)), 2, np.uint8)])
-                    samples += [(own[at], bytes([level + up, k])) for k, at in enumerate(places)]
-                last = int(np.floor(8 * np.log2(len(bits) << level))) if len(bits) else -1
-                for reach in range(max(0, last - back), last + 1):
-                    up = max(0, reach // 8 - room)
-                    if up >= level:
-                        own = bits[:: 1 << up - level][(spread * max(1, int(2 ** (reach / 8)) >> up)).astype(int)]
-                        samples += [(own[k], bytes([reach % 256, reach // 256, k, 1])) for k in range(bands)]
-                for own, which in samples:
-                    value.append(int.from_bytes(hashlib.blake2b(own.tobytes(), digest_size=8, person=which).digest(), "little") >> 1)
+                for k, (own, reach) in enumerate(samples(*bits_in(p), spread, threshold)):
+                    value.append(int.from_bytes(hashlib.blake2b(own, digest_size=8, person=struct.pack("<HH", reach, k % bands)).digest(), "little") >> 1)
                     node.append(n)
             yield pa.RecordBatch.from_arrays([pa.array(value, pa.int64()), pa.array(node, pa.int64())], names=["value", "node"])
 
     def verify(unit: tuple, rows: pa.Table) -> Iterator[pa.RecordBatch]:
         own, node = rows.column("own").to_numpy(), rows.column("node").to_numpy()
-        fp = [bits_of(p) for p in rows.column("print").to_pylist()]
         left, right = np.flatnonzero(own == unit[1]), np.flatnonzero(own == unit[2])
-        pairs = [(i, j) for i in left.tolist() for j in right.tolist() if (i < j or unit[1] != unit[2]) and likeness(fp[i], fp[j]) >= threshold]
-        joined = forest(len(node), *(np.array([p[k] for p in pairs], int) for k in (0, 1)))
+        if len(node) < 2 or not len(left) or not len(right):
+            return
+        a, b = alike([bits_in(p) for p in rows.column("print").to_pylist()], left, right, threshold)
+        joined = forest(len(node), a[a != b], b[a != b])
         if joined:
             x, y = (np.array(c) for c in zip(*joined, strict=True))
             yield pa.RecordBatch.from_arrays([pa.array(node[x]), pa.array(node[y])], names=["a", "b"])
 
-    listed = units(prints.mapInArrow(lists, "value long, node long").distinct(), block)
+    listed = units(prints.mapInArrow(lists, "value long, node long"), block)
     return by_unit(listed.join(prints, "node"), verify, "a long, b long")

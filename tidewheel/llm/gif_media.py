@@ -10,7 +10,9 @@ Decoding a run of codes: after a clear, entry 258 + e is the e-th code's string
 and these lie next to each other in the output, so each code copies a stretch of the output.
 
 Rows: one for each input row. A null text counts as empty; its payload is 64 zero bytes. Repeated rows stay; equal
-texts give equal values. Other columns are ignored. A media value that is null or no GIF gives no frames.
+texts give equal values. Other columns are ignored. A media value that is null or no GIF gives no frames. A damaged
+GIF (cut off, codes before their entries, too few samples) gives the frames before the damage and one row with the
+message in ``error``. A missing trailer is no damage.
 """
 
 from __future__ import annotations
@@ -25,10 +27,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, LongType
 
 WIDTH, ROWS = 64, 4096
 #: Hundredths of a second for which a stored frame shows.
 DELAY = 4
+#: Pixels of the largest canvas or frame that is decoded (a larger one counts as damage): a bound on memory.
+MOST_PIXELS = 1 << 27
 _GREY = bytes(v for g in range(256) for v in (g, g, g))
 
 
@@ -160,7 +165,14 @@ class Frame:
 
 
 def decode(data: bytes) -> Iterator[Frame]:
-    """The timed frames of a GIF, each as shown."""
+    """The timed frames of a GIF, each as shown; where it is damaged, a ValueError after the frames before that place."""
+    try:
+        yield from _frames(data)
+    except (IndexError, OverflowError, struct.error, ValueError) as e:
+        raise ValueError(f"damaged GIF: {e}") from e
+
+
+def _frames(data: bytes) -> Iterator[Frame]:
     if data[:6] not in (b"GIF87a", b"GIF89a"):
         raise ValueError("no GIF")
     w, h, flags, _, _ = struct.unpack_from("<HHBBB", data, 6)
@@ -168,8 +180,10 @@ def decode(data: bytes) -> Iterator[Frame]:
     if flags & 0x80:
         n = 3 << ((flags & 7) + 1)
         common, at = np.frombuffer(data, np.uint8, n, at).reshape(-1, 3), at + n
+    if w * h > MOST_PIXELS:
+        raise ValueError(f"a canvas of {w} x {h}")
     canvas, shown = np.zeros((h, w, 3), np.uint8), np.zeros((h, w), bool)
-    delay, disposal, clear_index = 0, 0, None
+    delay, disposal, clear_index, awaited = 0, 0, None, False
     while at < len(data):
         kind, at = data[at], at + 1
         if kind == 0x3B:
@@ -179,7 +193,7 @@ def decode(data: bytes) -> Iterator[Frame]:
             body, at = _unblocked(data, at)
             if label == 0xF9 and len(body) >= 4:
                 packed, delay, index = struct.unpack_from("<BHB", body)
-                disposal, clear_index = packed >> 2 & 7, index if packed & 1 else None
+                disposal, clear_index, awaited = packed >> 2 & 7, index if packed & 1 else None, True
             continue
         if kind != 0x2C:
             raise ValueError(f"block {kind:#x}")
@@ -189,8 +203,15 @@ def decode(data: bytes) -> Iterator[Frame]:
             n = 3 << ((flags & 7) + 1)
             palette, at = np.frombuffer(data, np.uint8, n, at).reshape(-1, 3), at + n
         least = data[at]
+        if not 1 <= least <= 8:
+            raise ValueError(f"codes of {least} bits")
+        if fw * fh > MOST_PIXELS:
+            raise ValueError(f"a frame of {fw} x {fh}")
         stream, at = _unblocked(data, at + 1)
-        samples = np.frombuffer(lzw_decode(stream, least, fw * fh).ljust(fw * fh, b"\0"), np.uint8).reshape(fh, fw)
+        samples = np.frombuffer(lzw_decode(stream, least, fw * fh), np.uint8)
+        if len(samples) < fw * fh:
+            raise ValueError(f"{len(samples)} of {fw * fh} samples")
+        samples = samples.reshape(fh, fw)
         if flags & 0x40:
             order = np.concatenate([np.arange(0, fh, 8), np.arange(4, fh, 8), np.arange(2, fh, 4), np.arange(1, fh, 2)])
             samples = samples[np.argsort(order)]
@@ -211,7 +232,9 @@ def decode(data: bytes) -> Iterator[Frame]:
             canvas[area], shown[area] = 0, False
         elif before:
             canvas, shown = before
-        delay, disposal, clear_index = 0, 0, None
+        delay, disposal, clear_index, awaited = 0, 0, None, False
+    if awaited:
+        raise ValueError("no image after its control block")
 
 
 def restore(media: bytes) -> tuple[bytes, np.ndarray]:
@@ -224,8 +247,15 @@ def restore(media: bytes) -> tuple[bytes, np.ndarray]:
 
 
 def frame_table(media: DataFrame, id_col: str, gif_col: str) -> DataFrame:
-    """One row for each frame of each GIF: its time, place and histogram; ``bins`` has 64 colours, two bits to a channel."""
-    schema = media.select(F.col(id_col).alias("id")).schema.add("frame", "integer").add("starts_cs", "long").add("delay_cs", "integer").add("width", "integer").add("height", "integer")
+    """One row for each frame of each GIF: its time, place and histogram; ``bins`` has 64 colours, two bits to a channel.
+
+    A damaged GIF has one more row, with nulls and the damage in ``error``, which is null elsewhere.
+    """
+    names = ["frame", "starts_cs", "delay_cs", "width", "height", "bins", "error"]
+    kinds = [pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.list_(pa.int64()), pa.string()]
+    schema = media.select(F.col(id_col).alias("id")).schema
+    for name, kind in zip(names, ["integer", "long", "integer", "integer", "integer", ArrayType(LongType()), "string"], strict=True):
+        schema = schema.add(name, kind)
 
     def frames(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -233,16 +263,17 @@ def frame_table(media: DataFrame, id_col: str, gif_col: str) -> DataFrame:
                 if gif is None or gif[:6] not in (b"GIF87a", b"GIF89a"):
                     continue
                 rows, clock = [], 0
-                for n, f in enumerate(decode(gif)):
-                    rows.append((n, clock, f.delay, f.width, f.height, f.histogram().tolist()))
-                    clock += f.delay
+                try:
+                    for n, f in enumerate(decode(gif)):
+                        rows.append((n, clock, f.delay, f.width, f.height, f.histogram().tolist(), None))
+                        clock += f.delay
+                except ValueError as e:
+                    rows.append((*[None] * 6, str(e)))
                 if rows:
-                    n, starts, delay, w, h, bins = zip(*rows, strict=True)
-                    yield pa.RecordBatch.from_arrays([pa.array([k.as_py()] * len(rows), batch.column(0).type), pa.array(n, pa.int32()), pa.array(starts, pa.int64()), pa.array(delay, pa.int32()), pa.array(w, pa.int32()), pa.array(h, pa.int32()), pa.array(bins, pa.list_(pa.int64()))], names=["id", "frame", "starts_cs", "delay_cs", "width", "height", "bins"])
-
-    from pyspark.sql.types import ArrayType, LongType
+                    cols = [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)]
+                    yield pa.RecordBatch.from_arrays([pa.array([k.as_py()] * len(rows), batch.column(0).type), *cols], names=["id", *names])
 
-    return media.select(F.col(id_col).alias("id"), F.col(gif_col).alias("gif")).mapInArrow(frames, schema.add("bins", ArrayType(LongType())))
+    return media.select(F.col(id_col).alias("id"), F.col(gif_col).alias("gif")).mapInArrow(frames, schema)
 
 
 def payload_of(text: str | None) -> tuple[bytes, int]:

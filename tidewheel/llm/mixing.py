@@ -8,7 +8,8 @@ tokens, or with ``cover`` just enough that every source is passed once at least.
 Every source is cut by a hash of the document ids into blocks of about ``block_tokens`` tokens, ``MOST_BLOCKS`` at
 most. An epoch is a permutation of a source's blocks by a hash of seed, source, epoch and block. A source's budget
 buys whole epochs and then, of the last one, the blocks in order whose middle lies within the rest. Only
-tables of sources and of blocks are ranked or reach the driver; documents meet their blocks' rows in a join.
+tables of sources and of blocks are ranked; sources reach the driver only up to FEW_SOURCES, and documents meet their
+blocks' rows in a join.
 
 Rows: one for each document and epoch that it is in. Null sources are a source of their own. A null text counts as
 empty, with no words; empty documents go with their blocks. Null ids share a block of each source; repeated rows
@@ -17,13 +18,15 @@ are all kept. A table without words has no rows. Other columns are ignored, or c
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewheel.llm.common import WORD, stored
 
-MOST_BLOCKS, MOST_SOURCES, STEPS = 4096, 1_000_000, 50
+MOST_BLOCKS, FEW_SOURCES, STEPS = 4096, 100_000, 50
 
 
 def words(text: str = "text") -> Column:
@@ -41,27 +44,54 @@ def weights(tokens: np.ndarray, exponent: float) -> np.ndarray:
     return p / p.sum()
 
 
-def bisect(tokens: np.ndarray, entropy: float, most_epochs: float, cover: bool) -> float:
+def bisect(flat: Callable[[float], bool], worn: Callable[[float], bool]) -> float:
+    """The least exponent that makes the weights neither more even than asked (``flat``) nor repeats a source too often (``worn``)."""
+    out = 0.0
+    for over in (flat, worn):
+        lo, hi = 0.0, 1.0
+        for _ in range(STEPS):
+            mid = (lo + hi) / 2
+            lo, hi = (mid, hi) if over(mid) else (lo, mid)
+        out = max(out, hi if over(0.0) else 0.0)
+    return out
+
+
+def exponent(tokens: np.ndarray, entropy: float, most_epochs: float, cover: bool) -> float:
     """The exponent for the tokens of the sources that have any."""
     goal = entropy * np.log(len(tokens))
 
-    def flat(a: float) -> bool:  # more even than asked
+    def flat(a: float) -> bool:
         w = weights(tokens, a)
         return -(w * np.log(w)).sum() > goal
 
-    def worn(a: float) -> bool:  # repeats a source too often
+    def worn(a: float) -> bool:
         w = weights(tokens, a)
         budget = (tokens / w).max() if cover else tokens.sum()
         return (w * budget / tokens).max() > most_epochs
 
-    out = 0.0
-    for over in (flat, worn):
-        lo, hi = 0.0, 1.0
-        for _ in range(STEPS):
-            mid = (lo + hi) / 2
-            lo, hi = (mid, hi) if over(mid) else (lo, mid)
-        out = max(out, hi if over(0.0) else 0.0)
-    return out
+    return bisect(flat, worn)
+
+
+def large_plan(total: DataFrame, entropy: float, most_epochs: float, cover: bool, block_tokens: int) -> DataFrame:
+    """``source_plan`` for more sources than the driver should hold: each step of the bisection is one aggregate of the (_source, total) rows."""
+    total = stored(total, "source-totals")
+    n, whole = total.agg(F.count(F.lit(1)), F.sum("total")).first()
+    p = F.col("total") / F.lit(float(whole))
+
+    def sums(a: float) -> tuple[float, float, float, float]:
+        """The sum of the powers, the weights' entropy, the most repeats of a source and the tokens that cover all."""
+        w = F.pow(p, F.lit(a))
+        z, log, most, least = total.agg(F.sum(w), F.sum(w * F.log(p)), F.max(w / F.col("total")), F.max(F.col("total") / w)).first()
+        budget = z * least if cover else float(whole)
+        return z, float(np.log(z) - a * log / z), most / z * budget, budget
+
+    a = bisect(lambda a: sums(a)[1] > entropy * np.log(n), lambda a: sums(a)[2] > most_epochs)
+    z = sums(a)[0]
+    rows = total.select("_source", "total", F.round(F.pow(p, F.lit(a)) / F.lit(z), 9).alias("weight"))
+    budget = rows.agg(F.max(F.col("total") / F.col("weight"))).first()[0] if cover else float(whole)
+    bought = F.round(F.col("weight") * F.lit(budget)).cast("long")
+    blocks = F.least(F.lit(MOST_BLOCKS), F.greatest(F.lit(1), F.ceil(F.col("total") / F.lit(float(block_tokens))))).cast("long")
+    return stored(rows.select("_source", "total", "weight", (F.greatest("total", bought) if cover else bought).alias("budget"), blocks.alias("blocks")), "source-plan")
 
 
 def named() -> Column:
@@ -74,23 +104,27 @@ def measured(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", "source", named().alias("_source"), words().alias("_tokens"))
 
 
-def source_plan(tokens: DataFrame, entropy: float = 0.97, most_epochs: float = 4.0, cover: bool = False, block_tokens: int = 20_000) -> DataFrame:
-    """(_source, total, weight, budget, blocks) of (_source, _tokens) rows: one small row for each source, through the driver."""
+def source_plan(tokens: DataFrame, entropy: float = 0.97, most_epochs: float = 4.0, cover: bool = False, block_tokens: int = 20_000, few: int = FEW_SOURCES) -> DataFrame:
+    """(_source, total, weight, budget, blocks) of (_source, _tokens) rows, one for each source.
+
+    Up to ``few`` sources go through the driver and come back to be broadcast; beyond, see ``large_plan``. A weight of
+    less than 1e-9 is rounded to 0.
+    """
     spark = tokens.sparkSession
     total = tokens.groupBy("_source").agg(F.sum("_tokens").alias("total")).where("total > 0")
-    got = sorted((r["_source"], r["total"]) for r in total.limit(MOST_SOURCES + 1).collect())
-    if len(got) > MOST_SOURCES:
-        raise ValueError(f"more than {MOST_SOURCES} sources: group them first")
+    got = sorted((r["_source"], r["total"]) for r in total.limit(few + 1).collect())
+    if len(got) > few:
+        return large_plan(total, entropy, most_epochs, cover, block_tokens)
     schema = "_source string, total long, weight double, budget long, blocks long"
     if not got:
         return spark.createDataFrame([], schema)
     t = np.array([n for _, n in got], float)
-    w = np.round(weights(t, bisect(t, entropy, most_epochs, cover)), 9) if len(got) > 1 else np.ones(1)
+    w = np.round(weights(t, exponent(t, entropy, most_epochs, cover)), 9) if len(got) > 1 else np.ones(1)
     whole = (t / w).max() if cover else t.sum()
     rows = [(s, n, float(x), round(x * whole), int(min(MOST_BLOCKS, max(1, -(-n // block_tokens))))) for (s, n), x in zip(got, w, strict=True)]
     if cover:  # rounding leaves no source short of one epoch
         rows = [(s, n, x, max(b, n), k) for s, n, x, b, k in rows]
-    return spark.createDataFrame(rows, schema)
+    return F.broadcast(spark.createDataFrame(rows, schema))
 
 
 def block_of(seed: int) -> Column:
@@ -113,7 +147,7 @@ def mixture(docs: DataFrame, seed: int = 0, **target: float) -> DataFrame:
     """(doc_id, source, n_tokens, weight, epoch, block, rank): the documents of (doc_id, source, text) rows in the mixture, ranked by block within each epoch of their source."""
     rows = stored(measured(docs), "measured")
     plan = source_plan(rows, **target)
-    placed = rows.join(F.broadcast(plan), "_source").withColumn("_block", block_of(seed))
+    placed = rows.join(plan, "_source").withColumn("_block", block_of(seed))
     chosen = block_plan(placed, seed)
     return placed.join(chosen, ["_source", "_block"]).select("doc_id", "source", F.col("_tokens").alias("n_tokens"), "weight", F.col("epoch").cast("long").alias("epoch"), F.col("_block").alias("block"), "rank")
 
@@ -122,9 +156,9 @@ def realised(docs: DataFrame, seed: int = 0, few: int = 2_000_000, **target: flo
     """The rows of ``docs`` (doc_id, source, text and others), each as often as the mixture has it."""
     counted = stored(measured(docs), "measured")
     plan = source_plan(counted, **target)
-    placed = counted.join(F.broadcast(plan), "_source").withColumn("_block", block_of(seed))
+    placed = counted.join(plan, "_source").withColumn("_block", block_of(seed))
     times = stored(block_plan(placed, seed).groupBy("_source", "_block").agg(F.count(F.lit(1)).cast("int").alias("_times")), "block-plan")
-    rows = docs.withColumn("_source", named()).join(F.broadcast(plan.select("_source", "blocks")), "_source").withColumn("_block", block_of(seed))
+    rows = docs.withColumn("_source", named()).join(plan.select("_source", "blocks"), "_source").withColumn("_block", block_of(seed))
     small = times.count() <= few  # at most MOST_BLOCKS for each source
     rows = rows.join(F.broadcast(times) if small else times, ["_source", "_block"])
     return rows.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_times")))).select(*docs.columns)

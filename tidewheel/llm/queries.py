@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewheel.llm import edit_embedding, gif_media, language_id, mixing, near_dedup, quality, sentencepiece_codec, separator_scan, token_files, toxicity
-from tidewheel.llm.common import documents, remainder
+from tidewheel.llm.common import documents, remainder, stored
 
 
 def tokenizer(name: str) -> str:
@@ -23,7 +23,8 @@ def tokenizer(name: str) -> str:
 
 
 def op1_edit_embedding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return edit_embedding.with_next(documents(spark, sf_dir, "doc_id", "text"))
+    rows = stored(edit_embedding.with_next(documents(spark, sf_dir, "doc_id", "text")), "fingerprints")
+    return edit_embedding.with_classes(rows)
 
 
 def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -10,7 +10,8 @@ totals, one row each, are summed on the driver.
 ``write`` keeps the input's order (no shuffle) and stores the documents' names apart, in order: the names tell
 which document is the k-th, never where it lies. Null texts are empty documents (the separator alone, counted as
 1 with the separator); repeated rows stay; ids after the last separator of a part form an unfinished document
-that belongs to the next part's first separator, as in one long file. An empty file gives no rows.
+that belongs to the next part's first separator, as in one long file. An empty file gives no rows. Names are 64-bit
+integers. Part numbers are those of the writer's tasks and so depend on the input's files; ``counts`` leaves them out.
 """
 
 from __future__ import annotations
@@ -23,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidewheel.llm.common import scratch_path
+from tidewheel.llm.common import placed, scratch_path, stored
 from tidewheel.llm.word_tokens import encoder
 
 #: Ids in a block.
@@ -104,8 +105,25 @@ def names(spark: SparkSession, path: str) -> DataFrame:
 
 
 def counts(docs: DataFrame, tokenizer: str, end_id: int, dtype: str = "<u2") -> DataFrame:
-    """(doc_id, part, k, start, n_tokens) of every document, from flat files written in the shared folder."""
+    """(doc_id, start, n_tokens) of every document, from flat files written in the shared folder.
+
+    ``start`` is the number of ids of all documents before it in ascending doc_id order (nulls first, equal ids by
+    their counts), so nothing in the result depends on how the input's files were split.
+    """
     spark = docs.sparkSession
     path = scratch_path(spark, "flat-tokens")
     write(docs, path, tokenizer, end_id, dtype)
-    return scan(spark, path, end_id, dtype).join(names(spark, path), ["part", "k"]).select("doc_id", "part", "k", "start", "n_tokens")
+    return in_order_of_ids(stored(scan(spark, path, end_id, dtype).join(names(spark, path), ["part", "k"]).select("doc_id", "n_tokens"), "token-counts"))
+
+
+def in_order_of_ids(rows: DataFrame) -> DataFrame:
+    """(doc_id, start, n_tokens) of (doc_id, n_tokens) rows: running sums within parts of the ids' range, after the parts' totals."""
+    own = placed(rows, "doc_id")
+    order = Window.partitionBy("_part").orderBy(F.asc_nulls_first("doc_id"), "n_tokens").rowsBetween(Window.unboundedPreceding, 0)
+    own = own.withColumn("_to", F.sum("n_tokens").over(order))
+    bases, total = [], 0
+    for r in placed(rows, "doc_id").groupBy("_part").agg(F.sum("n_tokens").alias("n")).orderBy("_part").collect():
+        bases.append((r["_part"], total))
+        total += r["n"]
+    parts = rows.sparkSession.createDataFrame(bases, "_part int, _base long")
+    return own.join(F.broadcast(parts), "_part").select("doc_id", (F.col("_base") + F.col("_to") - F.col("n_tokens")).alias("start"), "n_tokens")

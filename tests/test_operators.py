@@ -241,3 +241,165 @@ def test_direction_of_the_galactic_pole(spark):
 def test_flux_models(spark):
     row = spark.range(1).select(K.model_flux(F.lit("TauA"), F.lit(40.0), F.lit(53371.0)), K.model_flux(F.lit("CasA"), F.lit(33.0), F.lit(51544.0), "hafez", "hafez"), K.model_flux(F.lit("other"), F.lit(40.0), F.lit(0.0))).first()
     assert row[0] == pytest.approx(10**2.506) and row[1] == pytest.approx(182.0) and row[2] is None
+
+
+@pytest.mark.parametrize("size", [4, 5, 201])
+def test_long_median_skips_nulls(spark, size):
+    rng = np.random.default_rng(size)
+    rows = [(k, i, None if rng.random() < 0.3 or 40 < i < 52 else float(rng.integers(0, 50)) if rng.random() < 0.95 else float("nan")) for k in range(3) for i in range(90)]
+    got = {(r["k"], r["i"]): r["mid"] for r in S.long_median(_shuffled(spark, rows, "k int, i int, v double"), ["k"], "i", "v", size, "mid").collect()}
+    by = {(k, i): v for k, i, v in rows}
+    for k, i, _ in rows:
+        window = [by[k, j] for j in range(i - size // 2, i + size // 2 + size % 2) if (k, j) in by and by[k, j] is not None and not math.isnan(by[k, j])]
+        want = float(np.median(window)) if window else None
+        assert got[k, i] == (pytest.approx(want) if window else None)
+    assert S.long_median(spark.createDataFrame([], "k int, i int, v double"), ["k"], "i", "v", size, "mid").count() == 0
+
+
+def test_noise_fit_keeps_the_times_of_gaps():
+    """A gap counts as zeros, so a fit with a gap is the fit of the series with its median's value there; without data there is no fit."""
+    rng = np.random.default_rng(5)
+    x = rng.normal(3.0, 1.0, 4096)
+    gap = x.copy()
+    gap[1000:1100] = np.nan
+    filled = np.where(np.isfinite(gap), gap, np.median(gap[np.isfinite(gap)]))
+    a, b = S.fit_noise(gap), S.fit_noise(filled)
+    assert a[0] == pytest.approx(b[0], rel=0.05) and a[2] == pytest.approx(b[2], abs=0.5)
+    assert S.fit_noise(np.full(100, np.nan)) is None and S.fit_noise(np.ones(100)) is None
+    t = np.arange(4096) / 50
+    wave = np.sin(2 * np.pi * 5 * t) + rng.normal(0, 0.01, 4096)
+    wave[500:777] = np.nan  # an odd gap would put the wave's halves out of phase if it were closed
+    k, p, _ = S._spectrum(np.where(np.isfinite(wave), wave, 0.0), 50.0, 100)
+    assert abs(k[p.argmax()] - 5) < 0.5
+
+
+def test_robust_trend_readmits_samples_and_has_a_scale_without_deviations():
+    t = np.linspace(-1, 1, 400)
+    x = np.column_stack([np.ones_like(t), t])
+    rng = np.random.default_rng(1)
+    y = 2 + 3 * t + rng.normal(0, 0.1, 400)
+    y[::50] += 60
+    y[25::50] -= 60
+    y[::37] = np.nan
+    assert np.abs(S.robust_trend(y, x) - (2 + 3 * t)).max() < 0.1
+    half = np.where(np.arange(400) % 3 == 0, 1.0, 0.0)  # most residuals of the mean are equal
+    assert np.isfinite(S.robust_trend(half, x[:, :1])).all()
+    assert (S.robust_trend(y[:20], x[:20]) == 0).all()
+    off = S.robust_trend(y, x, usable=t < 0)
+    assert np.abs(off - (2 + 3 * t)).max() < 0.3
+
+
+@pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
+def test_interval_join_against_loops(spark, how):
+    rng = np.random.default_rng(3)
+    points = [(int(k), i, None if i % 50 == 9 else float(rng.uniform(-40, 300))) for i, k in enumerate(rng.integers(0, 4, 400))] + [(None, 900, 5.0)]
+    spans = [(int(rng.integers(0, 3)), j, a, None if j % 13 == 5 else a + float(rng.choice([-3, 0, 0.5, 7, 60, 400]))) for j, a in enumerate(rng.uniform(-60, 280, 60).tolist())] + [(None, 99, 0.0, 10.0)]
+    left, right = spark.createDataFrame(points, "k int, i int, t double"), spark.createDataFrame(spans, "k int, j int, lo double, hi double")
+    got = O.interval_join(left.repartition(3), right, ["k"], "t", "lo", "hi", 11.0, how)
+    hold = {i: [j for kk, j, lo, hi in spans if kk == k and t is not None and hi is not None and lo <= t < hi] for k, i, t in points}
+    if how in ("inner", "left"):
+        want = sorted((i, j) for i, js in hold.items() for j in (js or ([-1] if how == "left" else [])))
+        assert sorted((r["i"], -1 if r["j"] is None else r["j"]) for r in got.collect()) == want
+    else:
+        assert sorted(r["i"] for r in got.collect()) == sorted(i for i, js in hold.items() if bool(js) == (how == "left_semi"))
+    assert O.interval_join(left, right.where("false"), ["k"], "t", "lo", "hi", 11.0, "inner").count() == 0
+
+
+def test_nearest_without_a_limit_and_near_the_poles(spark):
+    rng = np.random.default_rng(8)
+    make = lambda n, s: [(f"{s}{i}", float(a), float(b)) for i, (a, b) in enumerate(zip(rng.uniform(-10, 370, n), np.degrees(np.arcsin(rng.uniform(-1, 1, n))), strict=True))]
+    left, right = make(150, "p") + [("pole", 5.0, 90.0), ("edge", 359.99, 0.0), ("lost", None, 1.0)], make(12, "q") + [("south", 0.0, -89.0), ("seam", 0.5, 0.1)]
+
+    def sep(a, b, c, d):
+        a, b, c, d = map(math.radians, (a, b, c, d))
+        return math.degrees(math.acos(max(-1, min(1, math.sin(b) * math.sin(d) + math.cos(b) * math.cos(d) * math.cos(a - c)))))
+
+    from tidewheel.operators.nearby import nearest_on_sky
+
+    dl, dr = spark.createDataFrame(left, "p string, l double, b double"), spark.createDataFrame(right, "q string, l double, b double")
+    for most in (0.0, 9.0, 70.0):
+        got = {r["p"]: (r["q"], r["sep"]) for r in nearest_on_sky(dl, dr, "p", "q", most).collect()}
+        for p, a, b in left[:-1]:
+            s, q = min((sep(a, b, c, d), q) for q, c, d in right)
+            assert got.get(p) == (None if most and s > most else (q, pytest.approx(s, abs=1e-5)))
+        assert "lost" not in got
+
+
+def test_quantiles_narrow_to_the_rank(spark):
+    rng = np.random.default_rng(2)
+    x = np.round(rng.lognormal(0, 2, 3000), 2)
+    x[:400] = 1.25
+    df = spark.createDataFrame([(float(v),) for v in x] + [(None,)] * 7, "v double").repartition(3)
+    shares = [0.0, 0.005, 0.3, 0.5, 0.995, 1.0]
+    for few, bins in ((10**6, 4096), (5, 7), (1, 3)):
+        assert M.quantiles(df, "v", shares, few, bins) == pytest.approx(np.quantile(x, shares).tolist())
+    assert M.quantiles(df.where("false"), "v", shares) == [None] * 6
+
+
+def test_reflected_median(spark):
+    rows = [(k, i, float((i * 37 + k * 11) % 23)) for k in range(3) for i in range(20 + k)]
+    got = {(r["k"], r["i"]): r["m"] for r in O.reflected_median(_shuffled(spark, rows, "k int, i int, v double"), ["k"], "i", "v", 7, "m").collect()}
+    for k in range(3):
+        v = np.array([x for kk, _, x in rows if kk == k])
+        wide = np.pad(v, 3, mode="symmetric")
+        assert [got[k, i] for i in range(len(v))] == [float(np.median(wide[i : i + 7])) for i in range(len(v))]
+
+
+def test_regularised_destriper_matches_a_dense_solve(spark):
+    rng = np.random.default_rng(7)
+    rows = [(o, int(p), float(rng.uniform(1, 3)), float(rng.normal())) for o in range(12) for p in rng.choice(9, 5, replace=False)]
+    cells = spark.createDataFrame([(o, p, w, w * v) for o, p, w, v in rows], "offset long, pix long, w double, wd double")
+    n = 12
+    a, pw = np.zeros((n, n)), np.zeros(9)
+    point = np.zeros((n, 9))
+    for o, p, w, _ in rows:
+        point[o, p] += w
+        pw[p] += w
+    a = np.diag(point.sum(1)) - point @ np.diag(1 / np.where(pw > 0, pw, 1)) @ point.T
+    middle = np.median(point.sum(1))
+    lap = np.diag([-1.0, *[-2.0] * (n - 2), -1.0]) + np.diag(np.ones(n - 1), 1) + np.diag(np.ones(n - 1), -1)
+    full = a + middle * (0.5 * np.eye(n) + 0.01 * lap + 0.02 * lap @ lap)
+    b = {r["offset"]: r["b"] for r in M.right_side(cells).collect()}
+    want = np.linalg.solve(full, np.array([b[o] for o in range(n)]))
+    got, residuals = M.destriped(cells, 0.5, 1e-10, 200, 0.01, 0.02)
+    assert [r["v"] for r in got.orderBy("offset").collect()] == pytest.approx(want.tolist(), abs=1e-6) and residuals[-1] < 1e-10
+    with pytest.raises(RuntimeError):
+        M.destriped(cells, 0.5, 1e-12, 1)
+
+
+def test_values_are_set_in_known_columns_only(spark):
+    df = spark.createDataFrame([(1, "a"), (2, None)], "obsid long, source string")
+    assert sorted(tuple(r) for r in C.with_value(df, "obsid", 2, "source", "b").collect()) == [(1, "a"), (2, "b")]
+    assert {tuple(r) for r in C.with_value(df, "obsid", 9, "source", "b").collect()} == {(1, "a"), (2, None)}
+    with pytest.raises(ValueError):
+        C.with_value(df, "obsid", 2, "nothing", 1)
+
+
+def test_calls_as_text():
+    from tidewheel.plans.steps import call
+
+    assert call('A.B.C(x=1, y=2.5, z=True, w="t", v=["a","b"], u=word)') == ("A.B", "C", {"x": 1, "y": 2.5, "z": True, "w": "t", "v": ["a", "b"], "u": "word"})
+    assert call("A.B()") == ("A", "B", {})
+    for bad in ("A.B", "B(x=1)", "A.B(x)", "A.B(x=1", "A.B(x=1=2)"):
+        with pytest.raises(ValueError):
+            call(bad)
+
+
+def test_precession_refraction_and_sun(spark):
+    row = spark.range(1).select(*K.precessed(F.lit(10.0), F.lit(20.0), F.lit(51544.5)), *K.precessed(F.lit(0.640437), F.lit(0.278368), F.lit(51544.5 + 18262.5)), K.refraction(F.lit(45.0), F.lit(1010.0), F.lit(10.0)), *K.sun(F.lit(51623.316))).first()
+    assert (row[0], row[1]) == pytest.approx((10.0, 20.0))
+    assert min(row[2], 360 - row[2]) < 2e-3 and abs(row[3]) < 2e-3  # half a century later the old equinox has moved by 0.64 and 0.28 degrees
+    assert row[4] * 3600 == pytest.approx(58.2, abs=0.3)
+    assert min(row[5], 360 - row[5]) < 0.2 and abs(row[6]) < 0.1 and row[7] == pytest.approx(0.996, abs=0.002)
+
+
+def test_grid_definitions(tmp_path):
+    from tidewheel.sources.readers import wcs_definition
+
+    path = tmp_path / "grids.toml"
+    path.write_text("[small]\nNAXIS1 = 15\nNAXIS2 = 9\nCRPIX1 = 8\nCRPIX2 = 5\nCRVAL1 = 10.0\nCRVAL2 = 0.0\nCDELT1 = -0.5\nCDELT2 = 0.5\n")
+    assert wcs_definition([str(tmp_path / "none"), str(path)], "small") == {"nx": 15, "ny": 9, "crpix1": 8.0, "crpix2": 5.0, "crval1": 10.0, "crval2": 0.0, "cdelt1": -0.5, "cdelt2": 0.5}
+    with pytest.raises(KeyError):
+        wcs_definition([str(path)], "large")
+    with pytest.raises(FileNotFoundError):
+        wcs_definition([str(tmp_path / "none")], "small")

@@ -236,3 +236,46 @@ def receiver(hot: Column, cold: Column, load_kelvin: Column, sky_kelvin: float =
     """System temperature and gain from means on a warm load and on the sky."""
     y = F.try_divide(hot, cold)
     return F.try_divide(load_kelvin - y * sky_kelvin, y - 1.0), F.try_divide(hot - cold, load_kelvin - sky_kelvin)
+
+
+def hour_angle(lst: Column, ra: Column) -> Column:
+    """Sidereal time less right ascension, in degrees from -180 up to 180."""
+    return F.pmod(lst - ra + 180.0, F.lit(360.0)) - 180.0
+
+
+#: Arcseconds a Julian century, its square and its cube, of the three angles of equatorial precession from J2000.
+PRECESSION = [(2306.2181, 0.30188, 0.017998), (2306.2181, 1.09468, 0.018203), (2004.3109, -0.42665, -0.041833)]
+
+
+def precessed(ra: Column, dec: Column, mjd: Column) -> tuple[Column, Column]:
+    """Right ascension and declination of the equinox of a date, in degrees, to those of J2000."""
+    t = (mjd - 51544.5) / 36525.0
+    zeta, z, theta = (F.radians((a * t + b * t * t + c * t * t * t) / 3600.0) for a, b, c in PRECESSION)
+    # back from the date: turn by -z, tilt by theta, turn by -zeta
+    at, d = F.radians(ra) - z, F.radians(dec)
+    x = F.cos(theta) * F.cos(d) * F.cos(at) + F.sin(theta) * F.sin(d)
+    y = F.cos(d) * F.sin(at)
+    up = F.cos(theta) * F.sin(d) - F.sin(theta) * F.cos(d) * F.cos(at)
+    return F.pmod(F.degrees(F.atan2(y, x) - zeta), F.lit(360.0)), F.degrees(F.asin(_clip(up)))
+
+
+def refraction(elevation: Column, pressure_mb: Column, celsius: Column, least: float = 5.0) -> Column:
+    """Degrees by which the air lifts a source at a true elevation (not taken below ``least`` degrees), by the usual two-term series for optical light."""
+    cot = 1.0 / F.tan(F.radians(F.greatest(elevation, F.lit(least))))
+    return (58.294 * cot - 0.0668 * cot * cot * cot) / 3600.0 * (pressure_mb / 1010.0) * (283.0 / (273.0 + celsius))
+
+
+def sun(mjd: Column) -> tuple[Column, Column, Column]:
+    """Right ascension and declination of the sun, in degrees, and its distance in astronomical units, to about 0.01 degrees."""
+    n = mjd - 51544.5
+    g = F.radians(357.528 + 0.9856003 * n)
+    lon = F.radians(280.460 + 0.9856474 * n + 1.915 * F.sin(g) + 0.020 * F.sin(2 * g))
+    tilt = F.radians(23.439 - 0.0000004 * n)
+    ra = F.pmod(F.degrees(F.atan2(F.cos(tilt) * F.sin(lon), F.cos(lon))), F.lit(360.0))
+    return ra, F.degrees(F.asin(F.sin(tilt) * F.sin(lon))), 1.00014 - 0.01671 * F.cos(g) - 0.00014 * F.cos(2 * g)
+
+
+def galactic_horizon(lon: Column, lat: Column, lst_hours: Column, latitude: float) -> tuple[Column, Column]:
+    """Azimuth and elevation of a galactic position."""
+    ra, dec = to_equatorial(lon, lat)
+    return horizon(ra, dec, lst_hours, latitude)

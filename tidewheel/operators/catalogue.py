@@ -101,3 +101,32 @@ def apply_flag_ranges(flags: DataFrame, ranges: DataFrame, comment: str = "Obser
     f, r = flags.alias("f"), F.broadcast(cells).alias("r")
     bad = f.join(r, (F.col("f.pixel") == F.col("r.pixel")) & (F.col("f.band") == F.col("r.band")) & F.col("f.obsid").between(F.col("r.first"), F.col("r.last")), "left_semi").select("obsid", "pixel", "band").withColumn("_bad", F.lit(True))
     return flags.join(bad, ["obsid", "pixel", "band"], "left").withColumn("is_good", F.col("_bad").isNull()).withColumn("comment", F.lit(comment)).drop("_bad")
+
+
+def failed(flags: DataFrame, summary: DataFrame, errors: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(flags, summary) after observations of an error table (obsid, step, message) have failed: all their flags bad, with the first message, and their status ``failed``; the others stay."""
+    own = errors.groupBy("obsid").agg(F.min("message").alias("_message"))
+    out = flags.join(own, "obsid", "left").withColumn("is_good", F.col("is_good") & F.col("_message").isNull())
+    done = summary.join(own.select("obsid", F.lit(True).alias("_failed")), "obsid", "left")
+    status = F.when(F.col("_failed"), "failed").otherwise(F.col("processing_status"))
+    return out.withColumnRenamed("_message", "comment"), done.withColumn("processing_status", status).drop("_failed")
+
+
+def with_value(table: DataFrame, key: str, id_: object, column: str, value: object) -> DataFrame:
+    """``table`` with one value set in the row of a key; a column that it lacks is an error, a key that it lacks changes nothing."""
+    if column not in table.columns or column == key:
+        raise ValueError(f"the table has no column {column} to set")
+    kind = table.schema[column].dataType
+    return table.withColumn(column, F.when(F.col(key) == id_, F.lit(value).cast(kind)).otherwise(F.col(column)))
+
+
+def copied(old: DataFrame, new: DataFrame, renamed: dict[str, str]) -> DataFrame:
+    """Rows of an old catalogue in the columns of ``new``: renamed, cast, null where the old one has none, and only ids that ``new`` lacks."""
+    rows = old.withColumnsRenamed(renamed)
+    rows = rows.select(*[(F.col(f.name) if f.name in rows.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in new.schema])
+    return new.unionByName(rows.join(new.select("obsid"), "obsid", "left_anti"))
+
+
+def random_subset(rows: DataFrame, key: str, n: int, seed: int = 0) -> DataFrame:
+    """``n`` rows, the same ones for the same seed: those with the least digests of seed and key."""
+    return rows.orderBy(F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string"))), key).limit(n)

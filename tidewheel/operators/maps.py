@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewheel.functions.values import map_mask
+from tidewheel.sources.scratch import kept
 
 
 def binned(df: DataFrame, keys: list[str], value: Column, weight: Column) -> DataFrame:
@@ -31,11 +32,26 @@ def right_side(cells: DataFrame) -> DataFrame:
     return cells.join(m, "pix").groupBy("offset").agg(F.sum(F.col("wd") - F.col("w") * F.col("sky")).alias("b"))
 
 
-def applied(cells: DataFrame, offsets: DataFrame, ridge: float = 0.0) -> DataFrame:
-    """(offset, a): the destriper's matrix times (offset, v)."""
+def stencil(offsets: DataFrame, value: str, out: str) -> DataFrame:
+    """(offset, out): the sum of the neighbours' differences from an offset's own value, one-sided at the ends. Values are sent to their neighbours; nothing is sorted."""
+    rows = offsets.select("offset", F.col(value).alias("_own"), F.lit(None).cast("double").alias("_next"))
+    for step in (-1, 1):
+        rows = rows.unionByName(offsets.select((F.col("offset") + step).alias("offset"), F.lit(None).cast("double").alias("_own"), F.col(value).alias("_next")))
+    sums = rows.groupBy("offset").agg(F.max("_own").alias("_own"), F.sum("_next").alias("_sum"), F.count("_next").alias("_n")).where("_own is not null")
+    return sums.select("offset", (F.coalesce("_sum", F.lit(0.0)) - F.col("_n") * F.col("_own")).alias(out))
+
+
+def applied(cells: DataFrame, offsets: DataFrame, ridge: float = 0.0, gradient: float = 0.0, curvature: float = 0.0) -> DataFrame:
+    """(offset, a): the destriper's matrix times (offset, v), with the regularisers' terms: ridge v + gradient L v + curvature L L v, L the ``stencil``."""
     rows = cells.join(offsets, "offset").withColumn("_wv", F.col("w") * F.col("v"))
     m = sky(rows, "_wv")
     out = rows.join(m, "pix").groupBy("offset").agg((F.sum(F.col("_wv") - F.col("w") * F.col("sky")) + ridge * F.first("v")).alias("a"))
+    if gradient or curvature:
+        first = stencil(offsets, "v", "_g")
+        out = out.join(first, "offset")
+        if curvature:
+            out = out.join(stencil(first, "_g", "_c"), "offset")
+        out = out.select("offset", (F.col("a") + gradient * F.col("_g") + (curvature * F.col("_c") if curvature else 0.0)).alias("a"))
     return out
 
 
@@ -44,35 +60,35 @@ def preconditioner(cells: DataFrame, ridge: float = 0.0) -> DataFrame:
     return cells.groupBy("offset").agg((1.0 / F.greatest(F.sum("w") + ridge, F.lit(1e-12))).alias("m"))
 
 
-def destriped(cells: DataFrame, ridge_share: float = 1e-2, tolerance: float = 1e-6, most_rounds: int = 100) -> tuple[DataFrame, list[float]]:
+def destriped(cells: DataFrame, ridge_share: float = 1e-2, tolerance: float = 1e-6, most_rounds: int = 1000, gradient_share: float = 0.0, curvature_share: float = 0.0) -> tuple[DataFrame, list[float]]:
     """(offset, v): conjugate gradients with a diagonal preconditioner on the compressed cells, and the residuals of its rounds.
 
-    Each round's state is checkpointed to the folder that the cluster shares, so the lineage stays short and a
-    lost executor costs one round. Only three sums a round reach the driver.
+    The regularisers' factors are shares of the offsets' median weight. Each round's state is checkpointed to the
+    folder that the cluster shares, so the lineage stays short and a lost executor costs one round. Only three sums a
+    round reach the driver. A solution that is not below ``tolerance`` after ``most_rounds`` is an error, not a result.
     """
-    from tidewheel.sources.scratch import kept
-
-    cells = kept(cells)
+    cells = kept(cells.repartition("offset"))
     weights = cells.groupBy("offset").agg(F.sum("w").alias("w"))
-    ridge = ridge_share * weights.agg(F.percentile("w", F.lit(0.5))).first()[0]
+    (middle,) = quantiles(weights, "w", [0.5])
+    ridge, steep, bent = (share * (middle or 0.0) for share in (ridge_share, gradient_share, curvature_share))
     m = preconditioner(cells, ridge)
     b = right_side(cells)
     state = kept(b.join(m, "offset").select("offset", F.lit(0.0).alias("v"), F.col("b").alias("r"), (F.col("b") * F.col("m")).alias("p"), "m"))
     rz, norm = state.agg(F.sum(F.col("r") * F.col("r") * F.col("m")), F.sqrt(F.sum(F.col("r") * F.col("r")))).first()
     first = max(1.0, norm or 0.0)
     residuals = [(norm or 0.0) / first]
-    for _ in range(most_rounds):
-        if residuals[-1] < tolerance or not rz:
-            break
-        ap = applied(cells, state.select("offset", F.col("p").alias("v")), ridge)
+    while residuals[-1] >= tolerance and rz:
+        if len(residuals) > most_rounds:
+            raise RuntimeError(f"the destriper's residual is {residuals[-1]:.3g} after {most_rounds} rounds, not below {tolerance:.3g}")
+        ap = applied(cells, state.select("offset", F.col("p").alias("v")), ridge, steep, bent)
         rows = kept(state.join(ap, "offset"))
         pap = rows.agg(F.sum(F.col("p") * F.col("a"))).first()[0]
         if not pap or pap <= 0:
-            break
+            raise RuntimeError("the destriper's matrix is not positive: a regulariser outweighs the data")
         step = rz / pap
-        rows = rows.select("offset", (F.col("v") + step * F.col("p")).alias("v"), (F.col("r") - step * F.col("a")).alias("r"), "p", "m")
-        new, norm = rows.agg(F.sum(F.col("r") * F.col("r") * F.col("m")), F.sqrt(F.sum(F.col("r") * F.col("r")))).first()
-        state = kept(rows.select("offset", "v", "r", (F.col("r") * F.col("m") + (new / rz) * F.col("p")).alias("p"), "m"))
+        left = F.col("r") - step * F.col("a")
+        new, norm = rows.agg(F.sum(left * left * F.col("m")), F.sqrt(F.sum(left * left))).first()
+        state = kept(rows.select("offset", (F.col("v") + step * F.col("p")).alias("v"), left.alias("r"), (left * F.col("m") + (new / rz) * F.col("p")).alias("p"), "m"))
         rz = new
         residuals.append(norm / first)
     return state.select("offset", "v"), residuals
@@ -84,6 +100,44 @@ def offset_map(cells: DataFrame, offsets: DataFrame) -> DataFrame:
     return sky(rows, "_wv").withColumnRenamed("sky", "offset_map")
 
 
+def quantiles(df: DataFrame, column: str, shares: list[float], few: int = 1_000_000, bins: int = 4096) -> list[float | None]:
+    """Exact linear quantiles of a column's non-null values over all rows; nulls where it has none.
+
+    Up to ``few`` values are handled by one aggregate. Beyond, each rank is narrowed by counts in ``bins`` equal
+    cells, a scan a round, until at most ``few`` values are left in its cell; only counts and those bounds move.
+    """
+    v = F.col(column)
+    rows = df.select(v.cast("double").alias(column)).where(v.isNotNull())
+    n, least, most = rows.agg(F.count(F.lit(1)), F.min(column), F.max(column)).first()
+    if not n:
+        return [None] * len(shares)
+    if n <= few:
+        return list(rows.agg(F.percentile(column, F.array(*map(F.lit, shares)))).first()[0])
+
+    def ranked(k: int) -> float:
+        """The k-th smallest value, from 0."""
+        lo, hi, left = least, most, n
+        while lo < hi and left > few:
+            cell = F.least(F.floor((v - lo) / (hi - lo) * bins), F.lit(bins - 1))
+            counts = rows.where(v.between(lo, hi)).groupBy(cell.alias("cell")).agg(F.count(F.lit(1)).alias("n"), F.min(column).alias("lo"), F.max(column).alias("hi"))
+            for r in sorted(counts.collect()):
+                if k < r["n"]:
+                    lo, hi, left = r["lo"], r["hi"], r["n"]
+                    break
+                k -= r["n"]
+        if lo == hi:
+            return lo
+        return rows.where(v.between(lo, hi)).agg(F.sort_array(F.collect_list(column))[k]).first()[0]
+
+    out = []
+    for share in shares:
+        at = share * (n - 1)
+        a = ranked(int(at))
+        b = ranked(int(at) + 1) if at > int(at) else a
+        out.append(a + (b - a) * (at - int(at)))
+    return out
+
+
 def masked(maps: DataFrame, nx: int, ny: int, border: int = 2, value: str = "naive") -> DataFrame:
     """Map, rms, hits and mask bits of (pix, total, weight, hits); what is masked is null.
 
@@ -94,14 +148,12 @@ def masked(maps: DataFrame, nx: int, ny: int, border: int = 2, value: str = "nai
     x, y = F.col("pix") % nx, F.floor(F.col("pix") / nx)
     hit = F.col("hits") > 0
     rows = rows.withColumn("_edge", (x < border) | (y < border) | (x >= nx - border) | (y >= ny - border))
-    inner = F.when(~F.col("_edge") & hit, F.col(value))
-    cuts = rows.agg(
-        F.greatest(F.percentile(F.when(hit, F.col("hits")), F.lit(0.05)), F.lit(1.0)).alias("_low"),
-        F.percentile(inner, F.lit(0.005)).alias("_from"), F.percentile(inner, F.lit(0.995)).alias("_to"),
-    )
-    rows = rows.crossJoin(F.broadcast(cuts))  # one row of cuts
-    out = F.coalesce(F.col("_edge") & hit & ~F.col(value).between(F.col("_from"), F.col("_to")), F.lit(False))
-    mask = map_mask(F.col("hits"), F.col("hits") < F.col("_low"), out).cast("bigint")
+    rows = rows.withColumn("_hits", F.when(hit, F.col("hits").cast("double"))).withColumn("_inner", F.when(~F.col("_edge") & hit, F.col(value)))
+    rows = kept(rows)
+    low, (lowest, highest) = quantiles(rows, "_hits", [0.05])[0], quantiles(rows, "_inner", [0.005, 0.995])
+    inside = F.col(value).between(lowest, highest) if lowest is not None else F.lit(None).cast("boolean")
+    out = F.coalesce(F.col("_edge") & hit & ~inside, F.lit(False))
+    mask = map_mask(F.col("hits"), F.col("hits") < max(low or 1.0, 1.0), out).cast("bigint")
     own = dict.fromkeys(["naive", value, "rms", "hits"])
     rows = rows.withColumn("mask", mask)
     return rows.select("pix", *[F.when(F.col("mask") == 0, F.col(c)).alias(c) for c in own], "mask")

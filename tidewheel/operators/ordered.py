@@ -158,3 +158,49 @@ def fold(df: DataFrame, keys: list[str], order: str, value: str, period: int) ->
     rows = df.withColumn("_n", F.row_number().over(w.orderBy(order)) - 1).withColumn("_folds", F.floor(F.count(F.lit(1)).over(w) / period))
     rows = rows.where((F.col("_n") < F.col("_folds") * period) & (F.col("_folds") >= 2))
     return rows.groupBy(*keys, (F.col("_n") % period).cast("bigint").alias("phase")).agg(F.avg(value).alias("mean"), (F.stddev_pop(value) / F.sqrt(F.count(F.lit(1)))).alias("error"))
+
+
+def best_fold(df: DataFrame, keys: list[str], order: str, value: str, first: int, last: int) -> DataFrame:
+    """(keys, period, spread): the period from ``first`` to ``last`` rows whose mean profile over whole folds has the largest range; of equal ones the shortest.
+
+    A group's rows are numbered once; the means by period and phase are partial sums where the rows lie.
+    """
+    w = Window.partitionBy(*keys)
+    rows = df.select(*keys, order, value).withColumn("_n", F.row_number().over(w.orderBy(order)) - 1).withColumn("_all", F.count(F.lit(1)).over(w))
+    rows = rows.withColumn("_p", F.explode(F.sequence(F.lit(first), F.lit(last)))).withColumn("_folds", F.floor(F.col("_all") / F.col("_p")))
+    rows = rows.where((F.col("_n") < F.col("_folds") * F.col("_p")) & (F.col("_folds") >= 2))
+    profile = rows.groupBy(*keys, "_p", (F.col("_n") % F.col("_p")).alias("_phase")).agg(F.avg(value).alias("_m"))
+    spread = profile.groupBy(*keys, "_p").agg(F.round(F.max("_m") - F.min("_m"), 9).alias("_s"))
+    best = spread.groupBy(*keys).agg(F.min(F.struct((-F.col("_s")).alias("s"), F.col("_p").alias("p"))).alias("_b"))
+    return best.select(*keys, F.col("_b.p").cast("bigint").alias("period"), (-F.col("_b.s")).alias("spread"))
+
+
+def interval_join(points: DataFrame, intervals: DataFrame, keys: list[str], at: str, lo: str, hi: str, width: float, how: str = "inner") -> DataFrame:
+    """Points joined with the intervals [lo, hi) of their key that hold them; ``how`` is inner, left, left_semi or left_anti.
+
+    Intervals may have any length and overlap. Each is put into the cells of ``width`` that it touches, a point into
+    its own, and the join is an equi-join on key and cell with the bounds checked after it; so choose a width near
+    the usual length. Intervals with a null bound, or that end where they start or before, hold nothing.
+    """
+    cell = lambda c: F.floor(F.col(c) / width).cast("bigint")
+    own = intervals.where(F.col(hi) > F.col(lo)).withColumn("_cell", F.explode(F.sequence(cell(lo), cell(hi))))
+    own = own.withColumnsRenamed({k: f"_key_{k}" for k in keys})
+    same = [F.col(k).eqNullSafe(F.col(f"_key_{k}")) for k in keys]
+    left = points.withColumn("_at", cell(at))
+    on = (F.col("_at") == F.col("_cell")) & (F.col(at) >= F.col(lo)) & (F.col(at) < F.col(hi))
+    for s in same:
+        on = on & s
+    return left.join(own, on, how).drop("_at", "_cell", *(f"_key_{k}" for k in keys))
+
+
+def reflected_median(df: DataFrame, keys: list[str], order: str, value: str, size: int, out: str) -> DataFrame:
+    """Exact median of ``size`` (odd) rows around each; beyond a group's ends its rows are mirrored, the end row repeated.
+
+    The mirrored rows are copies of a group's first and last size / 2 rows; a group shorter than that has windows cut.
+    """
+    w, half = Window.partitionBy(*keys), size // 2
+    rows = df.withColumn("_n", F.row_number().over(w.orderBy(order))).withColumn("_all", F.count(F.lit(1)).over(w))
+    places = F.array_compact(F.array(F.col("_n"), F.when(F.col("_n") <= half, 1 - F.col("_n")), F.when(F.col("_n") > F.col("_all") - half, 2 * F.col("_all") + 1 - F.col("_n"))))
+    rows = rows.withColumn("_at", F.explode(places))
+    rows = rows.withColumn(out, F.percentile(value, F.lit(0.5)).over(w.orderBy("_at").rangeBetween(-half, half)))
+    return rows.where("_at = _n").drop("_n", "_all", "_at")

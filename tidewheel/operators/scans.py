@@ -79,3 +79,45 @@ def accumulated(samples: DataFrame, offset: str, value: Column, weight: Column)
     """The naive map and the right-hand side of the same samples, from one compression."""
     cells = M.compressed(samples, offset, "pix", value, weight)
     return M.sky(cells, "wd"), M.right_side(cells)
+
+
+def gain_filter_and_bin(tod: DataFrame, vane: DataFrame, atmosphere: DataFrame, time: str, size: int, skip_feeds: tuple[int, ...] = (20,)) -> DataFrame:
+    """(feed, band, time, bin, value, filtered, freq, width): a file's spectra, calibrated, gain-filtered and binned in frequency.
+
+    ``tod`` has (feed, band, channel, time, value, freq, el), ``vane`` (feed, band, channel, tsys, gain, rms), and
+    ``atmosphere`` (feed, band, offset, tau). Values and rms are divided by the gain; offset and tau / sin(el) come
+    off; the part that all channels of a feed share at one time, fitted beside 1 / tsys and its slope in frequency, is
+    the gain's drift and comes off the filtered values. Weights are one over the squared rms. Channels without vane
+    measurements, with a gain or rms of zero, and skipped feeds (the ground's) have no rows.
+    """
+    good = vane.where((F.col("gain") != 0) & (F.col("rms") > 0) & (F.col("tsys") > 0))
+    rows = tod.where(~F.col("feed").isin(*skip_feeds)).join(good, ["feed", "band", "channel"])
+    rows = rows.join(atmosphere, ["feed", "band"]).withColumn("value", F.col("value") / F.col("gain") - F.col("offset") - F.col("tau") / F.sin(F.radians("el")))
+    rows = rows.withColumns({"_w": F.pow(F.col("gain") / F.col("rms"), 2), "_a": 1.0 / F.col("tsys"), "_rel": F.col("value") / F.col("tsys")})
+    middle = rows.select("feed", "band", "channel", "freq").distinct().groupBy("feed").agg(F.avg("freq").alias("_f0"))
+    rows = rows.join(middle, "feed").withColumns({"_b": (F.col("freq") - F.col("_f0")) * F.col("_a"), "_cell": F.col("band") * 1_000_000 + F.col("channel")})
+    drift = S.gain(rows, ["feed"], time, "_cell", "_rel", ("_a", "_b"))
+    rows = rows.drop("gain").join(drift, ["feed", time]).withColumn("_f", F.col("value") - F.col("gain") * F.col("tsys"))
+    keys = ["feed", "band", time]
+    plain = S.frequency_bins(rows, keys, "channel", size, "value", "_w", "freq").select(*keys, "bin", "value", "freq", "width")
+    filtered = S.frequency_bins(rows, keys, "channel", size, "_f", "_w", "freq").select(*keys, "bin", F.col("value").alias("filtered"))
+    return plain.join(filtered, [*keys, "bin"])
+
+
+def continuum(df: DataFrame, keys: list[str], time: str, channel: str, value: str, templates: tuple[str, str], out: str) -> DataFrame:
+    """The fitted continuum at each time, the first template's coefficient, on every channel's row instead of its residual."""
+    t1, t2 = (F.col(t) for t in templates)
+    sums = df.groupBy(*keys, time).agg(F.sum(t1 * t1).alias("_a"), F.sum(t1 * t2).alias("_b"), F.sum(t2 * t2).alias("_d"), F.sum(t1 * F.col(value)).alias("_x"), F.sum(t2 * F.col(value)).alias("_y"))
+    fit = F.try_divide(F.col("_x") * F.col("_d") - F.col("_y") * F.col("_b"), F.col("_a") * F.col("_d") - F.col("_b") * F.col("_b"))
+    return df.join(sums.select(*keys, time, fit.alias(out)), [*keys, time])
+
+
+def line_samples(level1: DataFrame, level2: DataFrame, keys: list[str], line: float, width: float, rest: float) -> DataFrame:
+    """Spectra of one file around a line, calibrated by the same file's products: (..., velocity, value, weight).
+
+    ``level1`` has the keys, channel, freq and value; ``level2`` the keys, channel, gain and rms. Channels within
+    ``width`` of ``line`` are read; velocities are c (rest - freq) / rest in km/s.
+    """
+    near = level1.where(F.abs(F.col("freq") - line) <= width)
+    rows = near.join(level2.where("gain <> 0 and rms > 0"), [*keys, "channel"])
+    return rows.withColumns({"velocity": 299792.458 * (rest - F.col("freq")) / rest, "value": F.col("value") / F.col("gain"), "weight": F.pow(F.col("gain") / F.col("rms"), 2)}).drop("gain", "rms")

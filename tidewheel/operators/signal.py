@@ -104,13 +104,20 @@ def _spectrum(x: np.ndarray, rate: float, bins: int) -> tuple[np.ndarray, np.nda
 
 
 def fit_noise(x: np.ndarray, rate: float = 50.0, bins: int = 100, k_ref: float = 0.1) -> tuple[float, float, float] | None:
-    """White level, red level at ``k_ref`` and slope of a series' spectrum: log residuals weighted by the square root of the counts, by damped Gauss-Newton steps kept within the bounds."""
-    x = x[np.isfinite(x)]
-    if len(x) < 16 or not np.ptp(x):
+    """White level, red level at ``k_ref`` and slope of a series' spectrum: log residuals weighted by the square root of the counts, by damped Gauss-Newton steps kept within the bounds.
+
+    The median is taken off and samples that aren't finite count as zero, so that later ones keep their times. None
+    where fewer than 16 samples are finite or all are equal.
+    """
+    good = np.isfinite(x)
+    if good.sum() < 16 or not np.ptp(x[good]):
         return None
+    even = len(x) // 2 * 2
+    steps = x[1:even:2] - x[:even:2]
+    x = np.where(good, x - np.median(x[good]), 0.0)
     k, p, n = _spectrum(x, rate, bins)
-    even = x[: len(x) // 2 * 2]
-    white = max(np.std(even[1::2] - even[::2]) / np.sqrt(2), 1e-12)
+    p = np.maximum(p, 1e-300)
+    white = max(np.nanstd(np.where(np.isfinite(steps), steps, np.nan)) / np.sqrt(2) if np.isfinite(steps).any() else 0.0, 1e-12)
     theta = np.array([np.log(white), np.log(max(np.sqrt(p[np.argmin(np.abs(k - 0.1))]), 1e-12)), -1.5])
     weight, damp = n**0.25, 1e-2
 
@@ -152,25 +159,34 @@ def noise_spectra(df: DataFrame, keys: list[str], order: str, value: str, rate:
     return df.select(*keys, order, value).groupBy(*keys).applyInPandas(one, schema)
 
 
-def robust_trend(y: np.ndarray, x: np.ndarray, rounds: int = 5) -> np.ndarray:
-    """Weighted least squares with Huber weights (1.345 robust sigmas) and a 4-sigma clip, weights multiplied from round to round; the fitted trend."""
-    w = np.ones(len(y))
-    good = np.isfinite(y) & np.isfinite(x).all(1)
-    if good.sum() < max(x.shape[1] + 2, 32):
+def robust_trend(y: np.ndarray, x: np.ndarray, rounds: int = 5, weight: np.ndarray | None = None, usable: np.ndarray | None = None) -> np.ndarray:
+    """The trend of ``y`` along the columns of ``x``, by repeated weighted least squares.
+
+    A round's residuals give a scale: 1.4826 times their median deviation, or where that is zero their weighted rms.
+    Weights are then multiplied by 1.345 scales over the residual, where that is below 1, and the next round's samples
+    are all usable ones within 4 scales, whether the last round had them or not. Zeros where fewer than 32 samples, or
+    two more than the columns, are usable; rounds end when as few are left or the scale is zero.
+    """
+    least = max(x.shape[1] + 2, 32)
+    w = np.ones(len(y)) if weight is None else weight.astype(float)
+    may = np.isfinite(y) & np.isfinite(x).all(1) & (w > 0)
+    may = may if usable is None else may & usable
+    if may.sum() < least:
         return np.zeros(len(y))
-    w[~good] = 0
-    y0, x0 = np.where(good, y, 0), np.where(good[:, None], x, 0)
-    coef = np.zeros(x.shape[1])
+    x0, y0, own = np.where(np.isfinite(x), x, 0.0), np.where(may, y, 0.0), may
     for _ in range(rounds):
-        coef = np.linalg.lstsq(x0 * np.sqrt(w)[:, None], y0 * np.sqrt(w), rcond=None)[0]
-        r = y0 - x0 @ coef
-        live = w > 0
-        sigma = 1.4826 * np.median(np.abs(r[live] - np.median(r[live])))
-        if not sigma:
+        root = np.sqrt(w[own])
+        coef = np.linalg.lstsq(x0[own] * root[:, None], y0[own] * root, rcond=None)[0]
+        rest = y0 - x0 @ coef
+        near = rest[own]
+        scale = 1.4826 * np.median(np.abs(near - np.median(near)))
+        scale = scale if scale > 0 else np.sqrt(np.average(near * near, weights=w[own]))
+        if not scale > 0:
             break
-        z = np.abs(r) / sigma
-        w = np.where(z > 4, 0, w * np.minimum(1, 1.345 / np.maximum(z, 1e-12)))
-        if (w > 0).sum() < x.shape[1] + 2:
+        far = np.abs(rest) / scale
+        own = may & (far < 4)
+        w = w * np.minimum(1.0, 1.345 / np.maximum(far, 1e-300))
+        if own.sum() < least:
             break
     return x0 @ coef
 
@@ -295,24 +311,18 @@ def source_fits(df: DataFrame, keys: list[str], order: str, x: str, y: str, valu
 
 
 def long_median(df: DataFrame, keys: list[str], order: str, value: str, size: int, out: str) -> DataFrame:
-    """Running median over long windows (thousands of rows): a sorted window kept by bisection, for each group."""
-    from bisect import bisect_left, insort
+    """Running median over long windows (thousands of rows), for each group: a skip list, logarithmic in the window.
 
+    Edge windows are shortened. Values that aren't finite are left out; a window without any has a null.
+    """
     schema = ", ".join(f"{c} {df.schema[c].dataType.simpleString()}" for c in [*keys, order, value]) + f", {out} double"
 
     def one(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values(order)
-        v, window, mids = rows[value].to_numpy(float).tolist(), [], []
-        before, after = size // 2, size // 2 + size % 2 - 1
-        for i in range(min(after, len(v))):
-            insort(window, v[i])
-        for i in range(len(v)):
-            if i + after < len(v):
-                insort(window, v[i + after])
-            if i - before - 1 >= 0:
-                del window[bisect_left(window, v[i - before - 1])]
-            n = len(window)
-            mids.append((window[(n - 1) // 2] + window[n // 2]) / 2)
-        return rows[[*keys, order, value]].assign(**{out: mids})
+        v = rows[value].astype(float).replace([np.inf, -np.inf], np.nan)
+        after = size // 2 + size % 2 - 1
+        padded = pd.concat([v, pd.Series(np.full(after, np.nan))], ignore_index=True)
+        mid = padded.rolling(size, min_periods=1).median().to_numpy()[after:]
+        return rows[[*keys, order, value]].assign(**{out: pd.Series(mid, index=rows.index).astype(object).where(~np.isnan(mid), None)})
 
     return df.select(*keys, order, value).groupBy(*keys).applyInPandas(one, schema)

@@ -255,11 +255,11 @@ def _(spark: SparkSession, d: str) -> DataFrame:
 RANGES = [("10", "200", "All", "BandA"), ("300", None, "1, 3, 5", "All"), ("900", "ongoing", "2,4", "BandB"), (None, "5", "All", "All"), ("50", "60", "All", "BandX")]
 
 
-@Q("jn9_observer_flag_ranges", "with r(first, last, pixels, bands) as (values (10, 200, range(1, 20), [0, 1]), (300, 300, [1, 3, 5], [0, 1, 2, 3]), (900, 4611686018427387904, [2, 4], [2, 3])) select distinct o.obsid, p::bigint as pixel, b::bigint as band from (select r.first, r.last, unnest(pixels) as p, bands from r) x, unnest(x.bands) t(b), observations o where o.obsid between x.first and x.last and o.obsid % 10 = 0")
+@Q("jn9_observer_flag_ranges", "with r(first, last, pixels, bands) as (values (10, 200, range(1, 20), [0, 1]), (300, 300, [1, 3, 5], [0, 1, 2, 3]), (900, 4611686018427387904, [2, 4], [2, 3])) select distinct o.obsid, p::bigint as pixel, b::bigint as band from (select r.first, r.last, unnest(pixels) as p, bands from r) x, unnest(x.bands) t(b), observations o where o.obsid between x.first and x.last")
 def _(spark: SparkSession, d: str) -> DataFrame:
     text = spark.createDataFrame(RANGES, "obsid_start string, obsid_end string, pixels string, sidebands string")
     r = C.flag_ranges(text).withColumn("pixel", F.explode("pixels")).withColumn("band", F.explode("bands"))
-    o = observations(spark, d).where("obsid % 10 = 0").select("obsid")
+    o = observations(spark, d).select("obsid")
     return o.join(F.broadcast(r), F.col("obsid").between(F.col("first"), F.col("last"))).select("obsid", "pixel", "band").distinct()
 
 
@@ -367,9 +367,9 @@ def _(spark: SparkSession, d: str) -> DataFrame:
     return samples(spark, d).select("k").distinct()
 
 
-@Q("st1_order_by_obsid", "select obsid, source from observations where obsid < 300 order by obsid")
+@Q("st1_order_by_obsid", "select obsid, source from observations order by obsid")
 def _(spark: SparkSession, d: str) -> DataFrame:
-    return observations(spark, d).where("obsid < 300").select("obsid", "source").orderBy("obsid")
+    return observations(spark, d).select("obsid", "source").orderBy("obsid")
 
 
 @Q("st2_top_statistic", "select obsid, median_tsys from summaries where median_tsys is not null order by median_tsys desc, obsid limit 20")
@@ -413,9 +413,9 @@ def _(spark: SparkSession, d: str) -> DataFrame:
     return flags(spark, d).select("obsid", (F.col("pixel") % 4).alias("cell")).dropDuplicates(["obsid", "cell"])
 
 
-@Q("so6_feed_complement", "select obsid, unnest(list_filter(range(1, 20), lambda x: not list_contains(own, x)))::bigint as pixel from (select obsid, list(distinct pixel) as own from flags where obsid < 60 group by 1)")
+@Q("so6_feed_complement", "select obsid, unnest(list_filter(range(1, 20), lambda x: not list_contains(own, x)))::bigint as pixel from (select obsid, list(distinct pixel) as own from flags group by 1)")
 def _(spark: SparkSession, d: str) -> DataFrame:
-    own = flags(spark, d).where("obsid < 60").groupBy("obsid").agg(F.collect_set("pixel").alias("own"))
+    own = flags(spark, d).groupBy("obsid").agg(F.collect_set("pixel").alias("own"))
     return own.select("obsid", F.explode(F.array_except(F.sequence(F.lit(1).cast("bigint"), F.lit(19).cast("bigint")), "own")).alias("pixel"))
 
 
@@ -439,9 +439,9 @@ def _(spark: SparkSession, d: str) -> DataFrame:
     return C.upsert(old, _change(spark, d).withColumn("unknown", F.lit(1)), ["obsid"], {"processing_status": F.lit("pending")})
 
 
-@Q("mu2_initialize_flags", "select o.obsid, p::bigint as pixel, b::bigint as band, true as is_good from (select obsid from observations where obsid < 40) o, range(1, 20) p(p), range(8) b(b) where not exists (select 1 from flags f where f.obsid = o.obsid and f.pixel = p and f.band = b)")
+@Q("mu2_initialize_flags", "select o.obsid, p::bigint as pixel, b::bigint as band, true as is_good from observations o, range(1, 20) p(p), range(8) b(b) where not exists (select 1 from flags f where f.obsid = o.obsid and f.pixel = p and f.band = b)")
 def _(spark: SparkSession, d: str) -> DataFrame:
-    return C.missing_flags(observations(spark, d).where("obsid < 40").select("obsid"), flags(spark, d))
+    return C.missing_flags(observations(spark, d).select("obsid"), flags(spark, d))
 
 
 @Q("mu4_flag_all", "select obsid, pixel, band, case when obsid = 42 then false else is_good end as is_good from flags")

@@ -76,11 +76,11 @@ def _(spark: SparkSession, d: str) -> DataFrame:
     return rows.join(F.broadcast(prior), "feed").select("sample", F.round(K.power_law(F.lit(1.0), F.col("p"), F.lit(-1.5), F.col("k") + 1.0), 6).alias("prior"))
 
 
-@Q("jn26_model_residual", "with m as (select feed, band, channel, avg(expected) as e from flux group by all) select obsid, feed, band, channel, round(measured - e, 7) as res from flux join m using (feed, band, channel) where obsid < 500")
+@Q("jn26_model_residual", "with m as (select feed, band, channel, avg(expected) as e from flux group by all) select obsid, feed, band, channel, round(measured - e, 7) as res from flux join m using (feed, band, channel)")
 def _(spark: SparkSession, d: str) -> DataFrame:
     rows = flux(spark, d)
     m = rows.groupBy("feed", "band", "channel").agg(F.avg("expected").alias("e"))
-    return rows.where("obsid < 500").join(m, ["feed", "band", "channel"]).select("obsid", "feed", "band", "channel", F.round(F.col("measured") - F.col("e"), 7).alias("res"))
+    return rows.join(m, ["feed", "band", "channel"]).select("obsid", "feed", "band", "channel", F.round(F.col("measured") - F.col("e"), 7).alias("res"))
 
 
 @Q("jn27_best_observation", "select band, obsid, level2_path from (select band, obsid, row_number() over (partition by band order by auto_rms, obsid, pixel) as n from flags where is_good) join observations using (obsid) where n = 1")
@@ -137,10 +137,10 @@ def _(spark: SparkSession, d: str) -> DataFrame:
     return samples(spark, d).groupBy("scan").agg(F.coalesce(*has).cast("bigint").alias("feature"))
 
 
-@Q("wn7_trend", "select obsid, feed, round(median(measured) over (partition by feed order by mjd, obsid, measured rows between 4 preceding and 4 following), 4) as trend from flux where obsid < 800")
+@Q("wn7_trend", "with r as (select obsid, feed, measured, row_number() over (partition by feed, source order by mjd, obsid, measured, channel, band) as n, count(*) over (partition by feed, source) as c, source from flux), p as (select *, unnest([n, case when n <= 4 then 1 - n end, case when n > c - 4 then 2 * c + 1 - n end]) as pos from r), m as (select *, median(measured) over (partition by feed, source order by pos range between 4 preceding and 4 following) as mid from p where pos is not null) select obsid, feed, source, round(mid, 4) as trend from m where pos = n")
 def _(spark: SparkSession, d: str) -> DataFrame:
-    rows = flux(spark, d).where("obsid < 800").select("obsid", "feed", "measured", F.struct("mjd", "obsid", "measured").alias("at"))
-    return O.moving_median(rows, ["feed"], "at", "measured", 9, "trend").select("obsid", "feed", r("trend", 4))
+    rows = flux(spark, d).select("obsid", "feed", "source", "measured", F.struct("mjd", "obsid", "measured", "channel", "band").alias("order"))
+    return O.reflected_median(rows, ["feed", "source"], "order", "measured", 9, "trend").select("obsid", "feed", "source", r("trend", 4))
 
 
 @Q("wn19_alternate", "select obsid, (n % 2)::bigint as half from (select obsid, row_number() over (partition by source_group order by obsid) - 1 as n from observations)")
@@ -164,9 +164,9 @@ def _(spark: SparkSession, d: str) -> DataFrame:
     return O.fill_gaps(rows, ["feed"], "sample", "az", F.col("n") % 10 == 0, "out").select("sample", F.round("out", 6).alias("az"))
 
 
-@Q("st4_multi_key", "select source, started, obsid from observations where obsid < 400 order by source desc, started, obsid limit 60")
+@Q("st4_multi_key", "select source, started, obsid from observations order by source desc, started, obsid")
 def _(spark: SparkSession, d: str) -> DataFrame:
-    return observations(spark, d).where("obsid < 400").select("source", "started", "obsid").orderBy(F.desc("source"), "started", "obsid").limit(60)
+    return observations(spark, d).select("source", "started", "obsid").orderBy(F.desc("source"), "started", "obsid")
 
 
 @Q("st8_first_passing", "select obsid, level2_path from observations where level2_path <> '' and source = 'CygA' order by obsid limit 1")
@@ -180,9 +180,9 @@ def _(spark: SparkSession, d: str) -> DataFrame:
     return rows.select("sample", F.col("v")[0]["value"].alias("first"), F.element_at("v", 64)["value"].alias("last"))
 
 
-@Q("st10_valid_by_longitude", "select region, l from regions where brightness > 0 order by l, region limit 40")
+@Q("st10_valid_by_longitude", "select region, l from regions where brightness > 0 order by l, region")
 def _(spark: SparkSession, d: str) -> DataFrame:
-    return regions(spark, d).where("brightness > 0").select("region", "l").orderBy("l", "region").limit(40)
+    return regions(spark, d).where("brightness > 0").select("region", "l").orderBy("l", "region")
 
 
 @Q("so3_concat", "select region as name, l, b, brightness from regions union all select field, l, b, null from fields")
@@ -310,8 +310,8 @@ def _(spark: SparkSession, d: str) -> DataFrame:
 @Q("kn29_line_mask", "with m as (select pix, sum(w * tod) / sum(w) as m, count(*) as h from samples group by 1) select pix, round(case when h > q then m end, 6) as map from m, (select quantile_cont(h, 0.05) as q from m)")
 def _(spark: SparkSession, d: str) -> DataFrame:
     m = M.binned(samples(spark, d), ["pix"], F.col("tod"), F.col("w"))
-    q = F.broadcast(m.agg(F.percentile("hits", F.lit(0.05)).alias("q")))  # one row
-    return m.crossJoin(q).select("pix", F.round(F.when(F.col("hits") > F.col("q"), F.col("total") / F.col("weight")), 6).alias("map"))
+    (q,) = M.quantiles(m, "hits", [0.05])
+    return m.select("pix", F.round(F.when(F.col("hits") > q, F.col("total") / F.col("weight")), 6).alias("map"))
 
 
 @Q("kn30_line_window", "with c as (select band, channel, 26 + band * 2 + channel * 0.03125 as f from (select distinct band, channel from spectra)), b as (select band, min(f) as f0, max(f) as f1, arg_min(channel, abs(f - 28.51)) as nearest, max(channel) as top from c group by 1) select band, greatest(nearest - 5, 0) as low, least(nearest + 5, top) as high, nearest from b where f0 < 28.51 and f1 > 28.51 order by band limit 1")

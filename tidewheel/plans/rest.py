@@ -12,7 +12,7 @@ from tidewheel.operators import maps as M
 from tidewheel.operators import ordered as O
 from tidewheel.operators import scans as P
 from tidewheel.operators import signal as S
-from tidewheel.plans import skies
+from tidewheel.plans import skies, steps
 from tidewheel.plans.tables import Book, fields, flags, flux, observations, raw, regions, samples, spectra, summaries
 from tidewheel.sources import readers as R
 from tidewheel.sources import writers as W
@@ -114,25 +114,24 @@ def _written(spark: SparkSession, tag: str, write, columns: str | None = None) -
 @Q("sk1_level2_product", "select obsid, median_tsys * 0.5 as tsys, strftime(started, '%Y-%m') as year_month, source from observations join summaries using (obsid) where source <> '' and median_tsys is not null")
 def _(spark: SparkSession, d: str) -> DataFrame:
     rows = observations(spark, d).where("source <> ''").join(summaries(spark, d), "obsid").where("median_tsys is not null").select("obsid", F.col("median_tsys").alias("tsys"), "started", "source")
-    out = _written(spark, "level2", lambda p: W.level2(rows.coalesce(1), p, {"tsys": 0.5}), "obsid bigint, tsys double, started timestamp_ntz, year_month string, source string")
+    out = _written(spark, "level2", lambda p: W.level2(rows, p, {"tsys": 0.5}), "obsid bigint, tsys double, started timestamp_ntz, year_month string, source string")
     return out.select("obsid", "tsys", "year_month", "source")
 
 
-@Q("sk2_replaced_group", "select feed, sample, case when feed = 3 then tod * 2 else tod end as tod from samples where feed < 5")
+@Q("sk2_replaced_group", "select feed, sample, case when feed = 3 then tod * 2 else tod end as tod from samples")
 def _(spark: SparkSession, d: str) -> DataFrame:
-    rows = samples(spark, d).where("feed < 5").select("feed", "sample", "tod")
+    rows = samples(spark, d).select("feed", "sample", "tod")
 
     def write(p: str) -> None:
-        W.replaced(rows.coalesce(1), p, ["feed"])
-        W.replaced(rows.where("feed = 3").withColumn("tod", F.col("tod") * 2).coalesce(1), p, ["feed"])
+        W.replaced(rows, p, ["feed"])
+        W.replaced(rows.where("feed = 3").withColumn("tod", F.col("tod") * 2), p, ["feed"])
 
     return _written(spark, "group", write, "sample bigint, tod double, feed bigint").select("feed", "sample", "tod")
 
 
-@Q("sk3_snapshot", "select o.obsid, count(f.obsid) as n, coalesce(sum(case when f.red_noise is null then 1 else 0 end) filter (f.obsid is not null), 0)::bigint as nan from observations o left join flags f using (obsid) where o.obsid < 300 group by 1")
+@Q("sk3_snapshot", "select o.obsid, count(f.obsid) as n, coalesce(sum(case when f.red_noise is null then 1 else 0 end) filter (f.obsid is not null), 0)::bigint as nan from observations o left join flags f using (obsid) group by 1")
 def _(spark: SparkSession, d: str) -> DataFrame:
-    near = F.col("obsid") < 300
-    out = _written(spark, "snapshot", lambda p: W.snapshot(observations(spark, d).where(near), flags(spark, d).where(near), p))
+    out = _written(spark, "snapshot", lambda p: W.snapshot(observations(spark, d), flags(spark, d), p))
     nan = F.size(F.filter(F.coalesce("flags", F.array()), lambda c: F.isnan(c["red_noise"])))
     return out.select("obsid", F.size(F.coalesce("flags", F.array())).cast("bigint").alias("n"), nan.cast("bigint").alias("nan"))
 
@@ -152,10 +151,10 @@ def _(spark: SparkSession, d: str) -> DataFrame:
     return spark.read.csv(path, header=True, schema="source string, n bigint", ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
 
 
-@Q("sk8_tsv_report", "select obsid, source_group from observations where obsid % 50 = 0 and source_group is not null")
+@Q("sk8_tsv_report", "select obsid, source_group from observations where source_group is not null")
 def _(spark: SparkSession, d: str) -> DataFrame:
     path = folder(spark, "tsv")
-    W.report(observations(spark, d).where("obsid % 50 = 0 and source_group is not null").select("obsid", "source_group"), path, "\t")
+    W.report(observations(spark, d).where("source_group is not null").select("obsid", "source_group"), path, "\t")
     return spark.read.csv(path, header=True, sep="\t", schema="obsid bigint, source_group string")
 
 
@@ -165,11 +164,11 @@ def _(spark: SparkSession, d: str) -> DataFrame:
     return _written(spark, "models", lambda p: W.model_table(m, p)).select("feed", "band", "channel", F.col("coeffs")[0].alias("c0"))
 
 
-@Q("sk11_group_lists", "select 'f' || obsid % 3 as field, (obsid % 4)::bigint as grp, obsid from observations where obsid < 500")
+@Q("sk11_group_lists", "select 'f' || obsid % 3 as field, (obsid % 4)::bigint as grp, obsid from observations")
 def _(spark: SparkSession, d: str) -> DataFrame:
-    rows = observations(spark, d).where("obsid < 500").select(F.concat(F.lit("f"), F.col("obsid") % 3).alias("field"), (F.col("obsid") % 4).alias("grp"), "obsid")
+    rows = observations(spark, d).select(F.concat(F.lit("f"), F.col("obsid") % 3).alias("field"), (F.col("obsid") % 4).alias("grp"), "obsid")
     path = folder(spark, "lists")
-    W.group_lists(rows.coalesce(1), path)
+    W.group_lists(rows, path)
     back = spark.read.schema("value string, field string, grp bigint").text(path)
     return back.select("field", "grp", F.col("value").cast("bigint").alias("obsid"))
 
@@ -192,7 +191,7 @@ def _(spark: SparkSession, d: str) -> DataFrame:
     return observations(spark, d).where("source_group = 'Calibrator'").join(done, "obsid", "left_anti").select("obsid")
 
 
-@Q("jn24_sky_prior")
+@Q("jn24_sky_prior", "select key as sample, (pix % 97)::double as temperature from (" + skies.healpix_sql("select sample as key, pix * 1.7::double as lon, el - 50 as lat from samples", 16) + ") where pix % 97 > 40")
 def _(spark: SparkSession, d: str) -> DataFrame:
     """Positions to HEALPix pixels to a prior's temperature, above a threshold."""
     prior = spark.range(12 * 16 * 16).select(F.col("id").alias("hpx"), (F.col("id") % 97).cast("double").alias("temperature"))
@@ -224,7 +223,7 @@ def _(spark: SparkSession, d: str) -> DataFrame:
 
 @Q("mu7_single_value", "select obsid, case when obsid = 17 then 'CygA' else source end as source from observations")
 def _(spark: SparkSession, d: str) -> DataFrame:
-    return observations(spark, d).select("obsid", F.when(F.col("obsid") == 17, "CygA").otherwise(F.col("source")).alias("source"))
+    return observations(spark, d).select("obsid", "source").transform(C.with_value, "obsid", 17, "source", "CygA")
 
 
 @Q("mu16_reconcile_writes", f"with f as (select c_custkey as obsid, '/data/new/' || c_custkey as path from customer where c_custkey % 5 <> 0) select o.obsid, case when {BLANK} then level2_path when f.path is null then null else f.path end as level2_path from observations o left join f using (obsid)")
@@ -248,10 +247,10 @@ def _(spark: SparkSession, d: str) -> DataFrame:
     return regions(spark, d).select("region", F.round(F.pmod(lon, F.lit(360.0)), 6).alias("lon"))
 
 
-@Q("sf17_hour_angle", "select sample, round(((mjd * 361 % 360) - pix + 540) % 360 - 180, 6) as ha from samples where (mjd * 361 % 360) - pix + 540 >= 0")
+@Q("sf17_hour_angle", "select sample, round((((mjd * 361 % 360) - pix + 180) % 360 + 360) % 360 - 180, 6) as ha from samples")
 def _(spark: SparkSession, d: str) -> DataFrame:
-    x = (F.col("mjd") * 361 % 360) - F.col("pix") + 540
-    return samples(spark, d).where(x >= 0).select("sample", F.round(x % 360 - 180, 6).alias("ha"))
+    lst = F.col("mjd") * 361 % 360
+    return samples(spark, d).select("sample", F.round(K.hour_angle(lst, F.col("pix")), 6).alias("ha"))
 
 
 @Q("sf40_receiver", "with v as (select sample, tod + 100 as hot, tod / 4 + 10 as cold, (300 + k) * 1.0 as t from samples) select sample, round((t - hot / cold * 2.73) / (hot / cold - 1), 6) as tsys, round((hot - cold) / (t - 2.73), 9) as gain from v")
@@ -271,15 +270,15 @@ def _(spark: SparkSession, d: str) -> DataFrame:
     return fields(spark, d).select("field", F.lower("grp").rlike("asia|europe").alias("hit"))
 
 
-@Q("sf47_feed_list", "select distinct sample, feed from samples where feed in (2, 4, 11) and sample < 2000")
+@Q("sf47_feed_list", "select distinct sample, feed from samples where feed in (2, 4, 11)")
 def _(spark: SparkSession, d: str) -> DataFrame:
     want = F.transform(F.filter(F.transform(F.split(F.lit(" 2, 4,,11 "), ","), F.trim), lambda x: x != ""), lambda x: x.cast("bigint"))
-    return samples(spark, d).where("sample < 2000").where(F.array_contains(want, F.col("feed"))).select("sample", "feed").distinct()
+    return samples(spark, d).where(F.array_contains(want, F.col("feed"))).select("sample", "feed").distinct()
 
 
-@Q("kn2_vane_atmosphere", "select scan, round(regr_slope(tod, 1 / sin(radians(el))), 3) as tau from samples where k > 20 group by 1")
+@Q("kn2_vane_atmosphere", "select scan, round(regr_slope(tod, 1 / sin(radians(el))), 3) as tau from samples group by 1")
 def _(spark: SparkSession, d: str) -> DataFrame:
-    return S.atmosphere(samples(spark, d).where("k > 20"), ["scan"], "tod").select("scan", F.round("tau", 3).alias("tau"))
+    return S.atmosphere(samples(spark, d), ["scan"], "tod").select("scan", F.round("tau", 3).alias("tau"))
 
 
 @Q("kn5_binned_spectra", "with n as (select sample, channel, band, value, avg(value) over (partition by sample) as m from spectra), b as (select sample, channel // 32 as bin, sum((channel % 3 + 1) * (value - m)) / sum(channel % 3 + 1) as v from n group by 1, 2) select sample, bin, round(v, 9) as v from b")
@@ -305,10 +304,10 @@ def _(spark: SparkSession, d: str) -> DataFrame:
     return P.nonnegative(samples(spark, d), ["feed", "band"], "k", "tod").select("feed", "band", F.round("a", 6).alias("a"), F.round("b", 6).alias("b"))
 
 
-@Q("kn18_process_scan")
+@Q("kn18_process_scan", "with n as (select obsid, feed, sample, tod, row_number() over (partition by obsid, feed order by sample) - 1 as n, count(*) over (partition by obsid, feed) as c from samples), m as (select obsid, feed, sample, n, n // 10 as chunk, tod - median(tod) over (partition by obsid, feed) as v from n where n < c // 10 * 10), a as (select obsid, feed, stddev_pop(d) / sqrt(2) as rms from (select obsid, feed, n // 2 as p, max(case when n % 2 = 1 then v end) - max(case when n % 2 = 0 then v end) as d from m group by 1, 2, 3) group by 1, 2), k as (select m.*, rms, abs(v) <= 3 * rms as ok from m join a using (obsid, feed) where rms > 0), g as (select obsid, feed from k group by 1, 2 having avg(ok::int) >= 0.5) select sample, chunk, round(v, 6) as clean, round(1 / (rms * rms), 9) as weight from k join g using (obsid, feed) where ok")
 def _(spark: SparkSession, d: str) -> DataFrame:
-    out = P.process(samples(spark, d), ["feed"], "sample", "tod", 10, 3.0, 0.5)
-    return out.select("sample", "chunk", "clean", "weight")
+    out = P.process(samples(spark, d), ["obsid", "feed"], "sample", "tod", 10, 3.0, 0.5)
+    return out.select("sample", "chunk", F.round("clean", 6).alias("clean"), F.round("weight", 9).alias("weight"))
 
 
 @Q("kn19_gated_files", "select s.sample from samples s where scan in (select scan from samples where feed = 1 group by 1 having avg(k) <= 55)")
@@ -350,10 +349,18 @@ def _(spark: SparkSession, d: str) -> DataFrame:
     return spectra(spark, d).where("channel = 0").select("sample", "value")
 
 
-@Q("ct6_error_policy", "select f.obsid, pixel, band, is_good and coalesce(processing_status, 'x') <> 'failed' as is_good from flags f left join summaries using (obsid)")
+@Q("ct6_error_policy", "with e as (select obsid, case when n_scans <= 2 then 'few scans' else 'no system temperature' end as m from summaries where n_scans <= 2 or median_tsys is null) select f.obsid, pixel, band, is_good and m is null as is_good, m as comment from flags f left join e using (obsid)")
 def _(spark: SparkSession, d: str) -> DataFrame:
-    rows = flags(spark, d).join(summaries(spark, d).select("obsid", "processing_status"), "obsid", "left")
-    return rows.select("obsid", "pixel", "band", (F.col("is_good") & (F.coalesce("processing_status", F.lit("x")) != "failed")).alias("is_good"))
+    own = summaries(spark, d)
+    _, errors = steps.errors(own, "obsid", {"few scans": F.col("n_scans") > 2, "no system temperature": F.col("median_tsys").isNotNull()})
+    return C.failed(flags(spark, d), own, errors)[0].select("obsid", "pixel", "band", "is_good", "comment")
+
+
+@Q("ct6_failed_status", "select obsid, case when n_scans <= 2 or median_tsys is null then 'failed' else processing_status end as processing_status from summaries")
+def _(spark: SparkSession, d: str) -> DataFrame:
+    own = summaries(spark, d)
+    _, errors = steps.errors(own, "obsid", {"few scans": F.col("n_scans") > 2, "no system temperature": F.col("median_tsys").isNotNull()})
+    return C.failed(flags(spark, d), own, errors)[1].select("obsid", "processing_status")
 
 
 @Q("ct8_line_files", "select obsid from observations where source_group in ('Galactic', 'Foreground') and obsid in (select obsid from summaries where median_tsys is not null)")

@@ -13,35 +13,35 @@ from tidewheel.plans.tables import Book, flux, observations, raw, samples, spect
 book = Book()
 Q = book.add
 #: Housekeeping rows: every 37th sample, on a clock of its own.
-HK = "hk as (select feed, sample * 10 + 3 as t, tod as v from samples where sample % 7 = 2)"
+HK = "hk as (select obsid, feed, sample * 10 + 3 as t, tod as v from samples where sample % 7 = 2)"
 
 
 def _hk(spark: SparkSession, d: str) -> DataFrame:
-    return samples(spark, d).where("sample % 7 = 2").select("feed", (F.col("sample") * 10 + 3).alias("t"), F.col("tod").alias("v"))
+    return samples(spark, d).where("sample % 7 = 2").select("obsid", "feed", (F.col("sample") * 10 + 3).alias("t"), F.col("tod").alias("v"))
 
 
 def _ticks(spark: SparkSession, d: str) -> DataFrame:
-    return samples(spark, d).select("sample", "feed", (F.col("sample") * 10).alias("at"))
+    return samples(spark, d).select("sample", "obsid", "feed", (F.col("sample") * 10).alias("at"))
 
 
-@Q("wn1_contiguous_blocks", "select feed, min(sample) as first, max(sample) as last, count(*) as n from (select *, n - row_number() over (partition by feed order by sample) as isle from (select sample, feed, k, row_number() over (partition by feed order by sample) as n from samples) where k % 3 = 0) group by feed, isle")
+@Q("wn1_contiguous_blocks", "select obsid, feed, min(sample) as first, max(sample) as last, count(*) as n from (select *, n - row_number() over (partition by obsid, feed order by sample) as isle from (select sample, obsid, feed, k, row_number() over (partition by obsid, feed order by sample) as n from samples) where k % 3 = 0) group by obsid, feed, isle")
 def _(spark: SparkSession, d: str) -> DataFrame:
-    return O.runs(samples(spark, d), ["feed"], "sample", F.col("k") % 3 == 0)
+    return O.runs(samples(spark, d), ["obsid", "feed"], "sample", F.col("k") % 3 == 0)
 
 
-@Q("wn2_scan_edges", "with idx as (select feed, sample, lead(sample) over (partition by feed order by sample) as nx, lag(sample) over (partition by feed order by sample) as pv from samples where k < 90), e as (select feed, sample as a from idx where nx - sample > 1 or nx is null or pv is null), p as (select feed, a, lead(a) over (partition by feed order by a) as b from e) select feed, a + 10 as start, b - 5 as \"end\" from p where b is not null and b - 5 - (a + 10) >= 20")
+@Q("wn2_scan_edges", "with idx as (select obsid, feed, sample, lead(sample) over (partition by obsid, feed order by sample) as nx, lag(sample) over (partition by obsid, feed order by sample) as pv from samples where k < 90), e as (select obsid, feed, sample as a from idx where nx - sample > 1 or nx is null or pv is null), p as (select obsid, feed, a, lead(a) over (partition by obsid, feed order by a) as b from e) select obsid, feed, a + 10 as start, b - 5 as \"end\" from p where b is not null and b - 5 - (a + 10) >= 20")
 def _(spark: SparkSession, d: str) -> DataFrame:
-    return O.scan_edges(samples(spark, d).select("feed", "sample", "k"), ["feed"], "sample", F.col("k") < 90, 10, 5, 20)
+    return O.scan_edges(samples(spark, d).select("obsid", "feed", "sample", "k"), ["obsid", "feed"], "sample", F.col("k") < 90, 10, 5, 20)
 
 
-@Q("wn4_moving_mean", "select sample, round(avg(tod) over (partition by feed order by sample rows between 5 preceding and 4 following), 6) as mean from samples")
+@Q("wn4_moving_mean", "select sample, round(avg(tod) over (partition by obsid, feed order by sample rows between 5 preceding and 4 following), 6) as mean from samples")
 def _(spark: SparkSession, d: str) -> DataFrame:
-    return O.moving_mean(samples(spark, d).select("feed", "sample", "tod"), ["feed"], "sample", "tod", 10, "mean").select("sample", F.round("mean", 6).alias("mean"))
+    return O.moving_mean(samples(spark, d).select("obsid", "feed", "sample", "tod"), ["obsid", "feed"], "sample", "tod", 10, "mean").select("sample", F.round("mean", 6).alias("mean"))
 
 
-@Q("wn5_moving_median", "select sample, round(median(tod) over (partition by feed order by sample rows between 4 preceding and 4 following), 6) as mid from samples")
+@Q("wn5_moving_median", "select sample, round(median(tod) over (partition by obsid, feed order by sample rows between 4 preceding and 4 following), 6) as mid from samples")
 def _(spark: SparkSession, d: str) -> DataFrame:
-    return O.moving_median(samples(spark, d).select("feed", "sample", "tod"), ["feed"], "sample", "tod", 9, "mid").select("sample", F.round("mid", 6).alias("mid"))
+    return O.moving_median(samples(spark, d).select("obsid", "feed", "sample", "tod"), ["obsid", "feed"], "sample", "tod", 9, "mid").select("sample", F.round("mid", 6).alias("mid"))
 
 
 @Q("wn6_median_by_row", "select sample, channel, round(median(value) over (partition by sample order by channel rows between 2 preceding and 2 following), 9) as mid from spectra")
@@ -49,28 +49,28 @@ def _(spark: SparkSession, d: str) -> DataFrame:
     return O.moving_median(spectra(spark, d), ["sample"], "channel", "value", 5, "mid").select("sample", "channel", F.round("mid", 9).alias("mid"))
 
 
-@Q("wn5_long_median", "select feed, sample, median(tod) over (partition by feed order by sample rows between 100 preceding and 100 following) as mid from samples")
+@Q("wn5_long_median", "select obsid, feed, sample, median(tod) over (partition by obsid, feed order by sample rows between 100 preceding and 100 following) as mid from samples")
 def _(spark: SparkSession, d: str) -> DataFrame:
-    return S.long_median(samples(spark, d), ["feed"], "sample", "tod", 201, "mid").select("feed", "sample", "mid")
+    return S.long_median(samples(spark, d), ["obsid", "feed"], "sample", "tod", 201, "mid").select("obsid", "feed", "sample", "mid")
 
 
-@Q("wn8_dilate", "select sample, bool_or(tod > 470) over (partition by feed order by sample rows between 3 preceding and 3 following) as near from samples")
+@Q("wn8_dilate", "select sample, bool_or(tod > 470) over (partition by obsid, feed order by sample rows between 3 preceding and 3 following) as near from samples")
 def _(spark: SparkSession, d: str) -> DataFrame:
-    rows = samples(spark, d).select("feed", "sample", (F.col("tod") > 470).alias("spike"))
-    return O.dilate(rows, ["feed"], "sample", "spike", 3, "near").select("sample", "near")
+    rows = samples(spark, d).select("obsid", "feed", "sample", (F.col("tod") > 470).alias("spike"))
+    return O.dilate(rows, ["obsid", "feed"], "sample", "spike", 3, "near").select("sample", "near")
 
 
-@Q("wn9_spike_clip", "with a as (select feed, sample, case when abs(tod) > 480 then 0 else tod end as t from samples), b as (select *, abs(t - median(t) over (partition by feed order by sample rows between 3 preceding and 3 following)) > 400 as spike from a) select sample, case when bool_or(spike) over (partition by feed order by sample rows between 2 preceding and 2 following) then 0 else t end as tod from b")
+@Q("wn9_spike_clip", "with a as (select obsid, feed, sample, case when abs(tod) > 480 then 0 else tod end as t from samples), b as (select *, abs(t - median(t) over (partition by obsid, feed order by sample rows between 3 preceding and 3 following)) > 400 as spike from a) select sample, case when bool_or(spike) over (partition by obsid, feed order by sample rows between 2 preceding and 2 following) then 0 else t end as tod from b")
 def _(spark: SparkSession, d: str) -> DataFrame:
-    rows = samples(spark, d).select("feed", "sample", F.when(F.abs("tod") > 480, 0.0).otherwise(F.col("tod")).alias("t"))
-    rows = O.moving_median(rows, ["feed"], "sample", "t", 7, "mid").withColumn("spike", F.abs(F.col("t") - F.col("mid")) > 400)
-    return O.dilate(rows, ["feed"], "sample", "spike", 2, "near").select("sample", F.when(F.col("near"), 0.0).otherwise(F.col("t")).alias("tod"))
+    rows = samples(spark, d).select("obsid", "feed", "sample", F.when(F.abs("tod") > 480, 0.0).otherwise(F.col("tod")).alias("t"))
+    rows = O.moving_median(rows, ["obsid", "feed"], "sample", "t", 7, "mid").withColumn("spike", F.abs(F.col("t") - F.col("mid")) > 400)
+    return O.dilate(rows, ["obsid", "feed"], "sample", "spike", 2, "near").select("sample", F.when(F.col("near"), 0.0).otherwise(F.col("t")).alias("tod"))
 
 
-@Q("wn10_gap_fill", "with r as (select feed, sample, tod, k % 5 <> 0 as ok, row_number() over (partition by feed order by sample) as n from samples), g as (select *, last_value(case when ok then n end ignore nulls) over a as n0, last_value(case when ok then tod end ignore nulls) over a as v0, first_value(case when ok then n end ignore nulls) over b as n1, first_value(case when ok then tod end ignore nulls) over b as v1 from r window a as (partition by feed order by sample rows between unbounded preceding and current row), b as (partition by feed order by sample rows between current row and unbounded following)) select sample, round(coalesce(case when n1 > n0 then v0 + (v1 - v0) * (n - n0) / (n1 - n0) else v0 end, v0, v1), 6) as filled from g")
+@Q("wn10_gap_fill", "with r as (select obsid, feed, sample, tod, k % 5 <> 0 as ok, row_number() over (partition by obsid, feed order by sample) as n from samples), g as (select *, last_value(case when ok then n end ignore nulls) over a as n0, last_value(case when ok then tod end ignore nulls) over a as v0, first_value(case when ok then n end ignore nulls) over b as n1, first_value(case when ok then tod end ignore nulls) over b as v1 from r window a as (partition by obsid, feed order by sample rows between unbounded preceding and current row), b as (partition by obsid, feed order by sample rows between current row and unbounded following)) select sample, round(coalesce(case when n1 > n0 then v0 + (v1 - v0) * (n - n0) / (n1 - n0) else v0 end, v0, v1), 6) as filled from g")
 def _(spark: SparkSession, d: str) -> DataFrame:
-    rows = samples(spark, d).select("feed", "sample", "tod", "k")
-    return O.fill_gaps(rows, ["feed"], "sample", "tod", F.col("k") % 5 != 0, "filled").select("sample", F.round("filled", 6).alias("filled"))
+    rows = samples(spark, d).select("obsid", "feed", "sample", "tod", "k")
+    return O.fill_gaps(rows, ["obsid", "feed"], "sample", "tod", F.col("k") % 5 != 0, "filled").select("sample", F.round("filled", 6).alias("filled"))
 
 
 @Q("wn11_good_fraction", "select s.sample from samples s join (select feed, scan from samples group by 1, 2 having avg((k > 10)::int) >= 0.9) using (feed, scan)")
@@ -85,9 +85,9 @@ def _(spark: SparkSession, d: str) -> DataFrame:
     return O.less_median(samples(spark, d).select("feed", "band", "sample", "tod"), ["feed", "band"], "tod", "rest").select("sample", F.round("rest", 6).alias("rest"))
 
 
-@Q("wn13_drift", "select sample, case when pv is null then nx - az when nx is null then az - pv else (nx - pv) / 2 end > 0 as rising from (select sample, az, lag(az) over w as pv, lead(az) over w as nx from samples window w as (partition by feed order by sample)) where pv is not null or nx is not null")
+@Q("wn13_drift", "select sample, case when pv is null then nx - az when nx is null then az - pv else (nx - pv) / 2 end > 0 as rising from (select sample, az, lag(az) over w as pv, lead(az) over w as nx from samples window w as (partition by obsid, feed order by sample)) where pv is not null or nx is not null")
 def _(spark: SparkSession, d: str) -> DataFrame:
-    rows = O.gradient(samples(spark, d).select("feed", "sample", "az"), ["feed"], "sample", "az", "g")
+    rows = O.gradient(samples(spark, d).select("obsid", "feed", "sample", "az"), ["obsid", "feed"], "sample", "az", "g")
     return rows.where("g is not null").select("sample", (F.col("g") > 0).alias("rising"))
 
 
@@ -98,16 +98,16 @@ def _(spark: SparkSession, d: str) -> DataFrame:
     return mids.select("scan", jump.alias("jump")).orderBy(F.desc_nulls_last("jump"), "scan").limit(6)
 
 
-@Q("wn15_lst_groups", "with v as (select p_partkey as obsid, (p_partkey * 0.37) % 23.9 as lst from part where p_partkey < 40), a as (select *, case when lst - lag(lst) over (order by lst) > 0.5 then 1 else 0 end as new from v), b as (select *, sum(new) over (order by lst rows unbounded preceding) as g from a), c as (select *, case when (min(lst) over () + 24 - max(lst) over ()) <= 0.5 and g = max(g) over () then 0 else g end as h from b) select obsid, dense_rank() over (order by h) - 1 as grp from c")
+@Q("wn15_lst_groups", "with v as (select p_partkey as obsid, (p_partkey * 0.37) % 23.9 as lst from part), a as (select *, case when lst - lag(lst) over (order by lst) > 0.025 then 1 else 0 end as new from v), b as (select *, sum(new) over (order by lst rows unbounded preceding) as g from a), c as (select *, case when (min(lst) over () + 24 - max(lst) over ()) <= 0.025 and g = max(g) over () then 0 else g end as h from b) select obsid, dense_rank() over (order by h) - 1 as grp from c")
 def _(spark: SparkSession, d: str) -> DataFrame:
-    rows = raw(spark, d, "part").where("p_partkey < 40").select(F.col("p_partkey").alias("obsid"), F.expr("(p_partkey * 0.37D) % 23.9D").alias("lst"))
-    return O.circular_groups(rows, "lst", 0.25).select("obsid", "grp")
+    rows = raw(spark, d, "part").select(F.col("p_partkey").alias("obsid"), F.expr("(p_partkey * 0.37D) % 23.9D").alias("lst"))
+    return O.circular_groups(rows, "lst", 0.0125).select("obsid", "grp")
 
 
-@Q("wn16_gap_sessions", "select feed, grp, count(*) as n, min(sample) as first from (select feed, sample, sum(case when sample - pv > 40 then 1 else 0 end) over (partition by feed order by sample rows unbounded preceding)::bigint as grp from (select feed, sample, lag(sample) over (partition by feed order by sample) as pv from samples)) group by 1, 2")
+@Q("wn16_gap_sessions", "select obsid, feed, grp, count(*) as n, min(sample) as first from (select obsid, feed, sample, sum(case when sample - pv > 40 then 1 else 0 end) over (partition by obsid, feed order by sample rows unbounded preceding)::bigint as grp from (select obsid, feed, sample, lag(sample) over (partition by obsid, feed order by sample) as pv from samples)) group by 1, 2, 3")
 def _(spark: SparkSession, d: str) -> DataFrame:
-    rows = O.first_difference_groups(samples(spark, d).select("feed", "sample"), ["feed"], "sample", 40)
-    return rows.groupBy("feed", F.col("grp").cast("bigint").alias("grp")).agg(F.count(F.lit(1)).alias("n"), F.min("sample").alias("first"))
+    rows = O.first_difference_groups(samples(spark, d).select("obsid", "feed", "sample"), ["obsid", "feed"], "sample", 40)
+    return rows.groupBy("obsid", "feed", F.col("grp").cast("bigint").alias("grp")).agg(F.count(F.lit(1)).alias("n"), F.min("sample").alias("first"))
 
 
 @Q("wn17_offset_chunks", "select sample, (n // 7)::bigint as chunk from (select sample, row_number() over (partition by feed, scan order by sample) - 1 as n, count(*) over (partition by feed, scan) as c from samples) where n < c // 7 * 7")
@@ -137,9 +137,9 @@ def _(spark: SparkSession, d: str) -> DataFrame:
     return best.select("feed", "m.sample", (-F.col("m.t")).alias("tod"))
 
 
-@Q("wn25_curvature", "select sample, round(coalesce(lag(tod) over w, tod) - 2 * tod + coalesce(lead(tod) over w, tod), 6) as c from samples window w as (partition by feed order by sample)")
+@Q("wn25_curvature", "select sample, round(coalesce(lag(tod) over w, tod) - 2 * tod + coalesce(lead(tod) over w, tod), 6) as c from samples window w as (partition by obsid, feed order by sample)")
 def _(spark: SparkSession, d: str) -> DataFrame:
-    return O.curvature(samples(spark, d).select("feed", "sample", "tod"), ["feed"], "sample", "tod", "c").select("sample", F.round("c", 6).alias("c"))
+    return O.curvature(samples(spark, d).select("obsid", "feed", "sample", "tod"), ["obsid", "feed"], "sample", "tod", "c").select("sample", F.round("c", 6).alias("c"))
 
 
 @Q("wn27_airmass_template", "select sample, round(1 / sin(radians(el)) - avg(1 / sin(radians(el))) over (partition by feed, scan), 6) as air, round(az - degrees(atan2(avg(sin(radians(az))) over (partition by feed, scan), avg(cos(radians(az))) over (partition by feed, scan))), 6) as dev from samples")
@@ -149,29 +149,40 @@ def _(spark: SparkSession, d: str) -> DataFrame:
     return rows.join(mean, ["feed", "scan"]).select("sample", F.round(F.col("x") - F.col("m"), 6).alias("air"), F.round(F.col("az") - F.col("a"), 6).alias("dev"))
 
 
-@Q("jn11_interval_join", "select s.sample, i.lo from samples s join (select distinct feed, (sample // 300) * 300 + 40 as lo, (sample // 300) * 300 + 200 as hi from samples) i on s.feed = i.feed and s.sample >= i.lo and s.sample < i.hi")
+INTERVALS = "iv as (select obsid, feed, min(sample) + scan % 30 as lo, max(sample) + scan % 17 * 20 as hi, scan from samples group by obsid, feed, scan)"
+
+
+def _intervals(spark: SparkSession, d: str) -> DataFrame:
+    """Overlapping intervals of many lengths, some empty."""
+    rows = samples(spark, d).groupBy("obsid", "feed", "scan").agg(F.min("sample").alias("a"), F.max("sample").alias("b"))
+    return rows.select("obsid", "feed", (F.col("a") + F.col("scan") % 30).alias("lo"), (F.col("b") + F.col("scan") % 17 * 20).alias("hi"), F.col("scan").alias("interval"))
+
+
+@Q("jn11_interval_join", f"with {INTERVALS} select s.sample, iv.scan as interval, iv.lo from samples s join iv on s.obsid = iv.obsid and s.feed = iv.feed and s.sample >= iv.lo and s.sample < iv.hi")
+def _(spark: SparkSession, d: str) -> DataFrame:
+    rows = samples(spark, d).select("obsid", "feed", "sample")
+    return O.interval_join(rows, _intervals(spark, d), ["obsid", "feed"], "sample", "lo", "hi", 100).select("sample", "interval", "lo")
+
+
+@Q("jn11_outside_intervals", f"with {INTERVALS} select s.sample from samples s where not exists (select 1 from iv where s.obsid = iv.obsid and s.feed = iv.feed and s.sample >= iv.lo and s.sample < iv.hi)")
 def _(spark: SparkSession, d: str) -> DataFrame:
-    rows = samples(spark, d).select("feed", "sample")
-    base = F.floor(F.col("sample") / 300) * 300
-    scans = rows.select("feed", (base + 40).alias("lo"), (base + 200).alias("hi"), base.alias("cell")).distinct()
-    # intervals lie within cells of 300 samples: an equi-join on the cell, then the bounds
-    near = rows.withColumn("cell", base).join(scans, ["feed", "cell"]).where("sample >= lo and sample < hi")
-    return near.select("sample", "lo")
+    rows = samples(spark, d).select("obsid", "feed", "sample")
+    return O.interval_join(rows, _intervals(spark, d), ["obsid", "feed"], "sample", "lo", "hi", 100, how="left_anti").select("sample")
 
 
-@Q("jn12_asof_backward", f"with {HK} select s.sample, h.v from (select sample, feed, sample * 10 as tm from samples) s asof left join hk h on s.feed = h.feed and s.tm >= h.t")
+@Q("jn12_asof_backward", f"with {HK} select s.sample, h.v from (select sample, obsid, feed, sample * 10 as tm from samples) s asof left join hk h on s.obsid = h.obsid and s.feed = h.feed and s.tm >= h.t")
 def _(spark: SparkSession, d: str) -> DataFrame:
-    return O.asof(_ticks(spark, d), _hk(spark, d), ["feed"], "at", "t", "v").select("sample", "v")
+    return O.asof(_ticks(spark, d), _hk(spark, d), ["obsid", "feed"], "at", "t", "v").select("sample", "v")
 
 
-@Q("jn13_nearest_join", f"with {HK}, b as (select s.sample, s.feed, s.tm, h.t as t0, h.v as v0 from (select sample, feed, sample * 10 as tm from samples) s asof left join hk h on s.feed = h.feed and s.tm >= h.t), c as (select b.*, h.t as t1, h.v as v1 from b asof left join hk h on b.feed = h.feed and b.tm <= h.t) select sample, case when t0 is null or t1 is null then null when tm - t0 <= t1 - tm then v0 else v1 end as v from c")
+@Q("jn13_nearest_join", f"with {HK}, b as (select s.sample, s.obsid, s.feed, s.tm, h.t as t0, h.v as v0 from (select sample, obsid, feed, sample * 10 as tm from samples) s asof left join hk h on s.obsid = h.obsid and s.feed = h.feed and s.tm >= h.t), c as (select b.*, h.t as t1, h.v as v1 from b asof left join hk h on b.obsid = h.obsid and b.feed = h.feed and b.tm <= h.t) select sample, case when t0 is null or t1 is null then null when tm - t0 <= t1 - tm then v0 else v1 end as v from c")
 def _(spark: SparkSession, d: str) -> DataFrame:
-    return O.nearest(_ticks(spark, d), _hk(spark, d), ["feed"], "at", "t", "v").select("sample", "v")
+    return O.nearest(_ticks(spark, d), _hk(spark, d), ["obsid", "feed"], "at", "t", "v").select("sample", "v")
 
 
-@Q("jn14_linear_join", f"with {HK}, b as (select s.sample, s.feed, s.tm, h.t as t0, h.v as v0 from (select sample, feed, sample * 10 as tm from samples) s asof left join hk h on s.feed = h.feed and s.tm >= h.t), c as (select b.*, h.t as t1, h.v as v1 from b asof left join hk h on b.feed = h.feed and b.tm <= h.t) select sample, round(coalesce(case when t1 > t0 then v0 + (v1 - v0) * (tm - t0) / (t1 - t0) else v0 end, v0, v1), 9) as v from c")
+@Q("jn14_linear_join", f"with {HK}, b as (select s.sample, s.obsid, s.feed, s.tm, h.t as t0, h.v as v0 from (select sample, obsid, feed, sample * 10 as tm from samples) s asof left join hk h on s.obsid = h.obsid and s.feed = h.feed and s.tm >= h.t), c as (select b.*, h.t as t1, h.v as v1 from b asof left join hk h on b.obsid = h.obsid and b.feed = h.feed and b.tm <= h.t) select sample, round(coalesce(case when t1 > t0 then v0 + (v1 - v0) * (tm - t0) / (t1 - t0) else v0 end, v0, v1), 9) as v from c")
 def _(spark: SparkSession, d: str) -> DataFrame:
-    return O.interpolate(_ticks(spark, d), _hk(spark, d), ["feed"], "at", "t", "v").select("sample", F.round("v", 9).alias("v"))
+    return O.interpolate(_ticks(spark, d), _hk(spark, d), ["obsid", "feed"], "at", "t", "v").select("sample", F.round("v", 9).alias("v"))
 
 
 @Q("jn28_pixel_gather", "with m as (select pix, sum(w * tod) / sum(w) as sky from samples group by 1) select sample, round(tod - sky, 6) as rest from samples join m using (pix)")
@@ -222,7 +233,8 @@ def _(spark: SparkSession, d: str) -> DataFrame:
 
 @Q("ag19_median_weight", "select median(w) as mid from (select sum(w) as w from samples group by sample // 50)")
 def _(spark: SparkSession, d: str) -> DataFrame:
-    return _cells(spark, d).groupBy("offset").agg(F.sum("w").alias("w")).agg(F.percentile("w", F.lit(0.5)).alias("mid"))
+    (middle,) = M.quantiles(_cells(spark, d).groupBy("offset").agg(F.sum("w").alias("w")), "w", [0.5])
+    return spark.range(1).select(F.lit(middle).alias("mid"))
 
 
 @Q("ag21_extent", "select min(az) as az0, max(az) as az1, min(el) as el0, max(el) as el1 from samples where sample % 10 = 0")
@@ -252,22 +264,18 @@ def _(spark: SparkSession, d: str) -> DataFrame:
     m = M.binned(samples(spark, d), ["pix"], F.col("tod"), F.col("w")).withColumn("rms", F.sqrt(1 / F.col("weight")))
     r = F.sqrt(F.pow(F.col("pix") % 15 - 7, 2) + F.pow(F.floor(F.col("pix") / 15) - 7, 2))
     m = m.withColumn("r", r)
-    return m.agg(F.round(F.avg(F.when(F.col("r") < 5, F.col("rms"))), 6).alias("mean_rms"), F.round(F.percentile(F.when(F.col("r") < 5, F.col("rms")), F.lit(0.5)), 6).alias("mid_rms"), F.round(F.avg(F.when(F.col("r").between(6, 9), F.col("hits"))), 6).alias("ring_hits"))
+    (middle,) = M.quantiles(m.where("r < 5"), "rms", [0.5])
+    return m.agg(F.round(F.avg(F.when(F.col("r") < 5, F.col("rms"))), 6).alias("mean_rms"), F.round(F.lit(middle), 6).alias("mid_rms"), F.round(F.avg(F.when(F.col("r").between(6, 9), F.col("hits"))), 6).alias("ring_hits"))
 
 
-@Q("ag27_fold", "with r as (select feed, tod, row_number() over (partition by feed order by sample) - 1 as n, count(*) over (partition by feed) // 25 as f from samples) select feed, n % 25 as phase, round(avg(tod), 6) as mean, round(stddev_pop(tod) / sqrt(count(*)), 6) as error from r where n < f * 25 and f >= 2 group by 1, 2")
+@Q("ag27_fold", "with r as (select obsid, feed, tod, row_number() over (partition by obsid, feed order by sample) - 1 as n, count(*) over (partition by obsid, feed) // 25 as f from samples) select obsid, feed, n % 25 as phase, round(avg(tod), 6) as mean, round(stddev_pop(tod) / sqrt(count(*)), 6) as error from r where n < f * 25 and f >= 2 group by 1, 2, 3")
 def _(spark: SparkSession, d: str) -> DataFrame:
-    return O.fold(samples(spark, d).select("feed", "sample", "tod"), ["feed"], "sample", "tod", 25).select("feed", "phase", F.round("mean", 6).alias("mean"), F.round("error", 6).alias("error"))
+    return O.fold(samples(spark, d).select("obsid", "feed", "sample", "tod"), ["obsid", "feed"], "sample", "tod", 25).select("obsid", "feed", "phase", F.round("mean", 6).alias("mean"), F.round("error", 6).alias("error"))
 
 
-@Q("ag28_best_fold", "with r as (select feed, tod, row_number() over (partition by feed order by sample) - 1 as n, count(*) over (partition by feed) as c from samples), t as (select feed, p, n % p as phase, avg(tod) as m from r, range(10, 20) g(p) where n < c // p * p and c // p >= 2 group by 1, 2, 3), s as (select feed, p, round(max(m) - min(m), 9) as ptp from t group by 1, 2) select feed, p::bigint as period from (select *, row_number() over (partition by feed order by ptp desc, p) as k from s) where k = 1")
+@Q("ag28_best_fold", "with r as (select obsid, feed, tod, row_number() over (partition by obsid, feed order by sample) - 1 as n, count(*) over (partition by obsid, feed) as c from samples), t as (select obsid, feed, p, n % p as phase, avg(tod) as m from r, range(10, 20) g(p) where n < c // p * p and c // p >= 2 group by 1, 2, 3, 4), s as (select obsid, feed, p, round(max(m) - min(m), 9) as ptp from t group by 1, 2, 3) select obsid, feed, p::bigint as period from (select *, row_number() over (partition by obsid, feed order by ptp desc, p) as k from s) where k = 1")
 def _(spark: SparkSession, d: str) -> DataFrame:
-    w = Window.partitionBy("feed")
-    rows = samples(spark, d).select("feed", "sample", "tod").withColumn("n", F.row_number().over(w.orderBy("sample")) - 1).withColumn("c", F.count(F.lit(1)).over(w))
-    rows = rows.withColumn("p", F.explode(F.sequence(F.lit(10), F.lit(19)))).where((F.col("n") < F.floor(F.col("c") / F.col("p")) * F.col("p")) & (F.floor(F.col("c") / F.col("p")) >= 2))
-    per = rows.groupBy("feed", "p", (F.col("n") % F.col("p")).alias("phase")).agg(F.avg("tod").alias("m")).groupBy("feed", "p").agg(F.round(F.max("m") - F.min("m"), 9).alias("ptp"))
-    best = per.groupBy("feed").agg(F.min(F.struct((-F.col("ptp")).alias("t"), "p")).alias("b"))
-    return best.select("feed", F.col("b.p").cast("bigint").alias("period"))
+    return O.best_fold(samples(spark, d).select("obsid", "feed", "sample", "tod"), ["obsid", "feed"], "sample", "tod", 10, 19).select("obsid", "feed", "period")
 
 
 @Q("ag30_window_medians", "select floor((mjd - m0) / 2)::bigint as bin, round(median(tod), 6) as mid, count(*) as n from samples, (select min(mjd) as m0 from samples) group by 1")
@@ -286,9 +294,8 @@ def _(spark: SparkSession, d: str) -> DataFrame:
 @Q("ag32_histogram", "with c as (select quantile_cont(tod, 0.01) as lo, quantile_cont(tod, 0.99) as hi from samples) select floor((tod - lo) / (hi - lo) * 20)::bigint as bin, count(*) as n from samples, c where tod >= lo and tod < hi group by 1")
 def _(spark: SparkSession, d: str) -> DataFrame:
     rows = samples(spark, d).select("tod")
-    p = rows.agg(F.percentile("tod", F.array(F.lit(0.01), F.lit(0.99))).alias("p")).select(F.col("p")[0].alias("lo"), F.col("p")[1].alias("hi"))
-    both = rows.crossJoin(F.broadcast(p)).where("tod >= lo and tod < hi")
-    return both.groupBy(F.floor((F.col("tod") - F.col("lo")) / (F.col("hi") - F.col("lo")) * 20).alias("bin")).agg(F.count(F.lit(1)).alias("n"))
+    lo, hi = M.quantiles(rows, "tod", [0.01, 0.99])
+    return rows.where((F.col("tod") >= lo) & (F.col("tod") < hi)).groupBy(F.floor((F.col("tod") - lo) / F.lit(hi - lo) * 20).alias("bin")).agg(F.count(F.lit(1)).alias("n"))
 
 
 @Q("ag35_binned_image", "select floor((az - 100) / 18.5 * 8)::bigint as x, floor((el - 40) / 20 * 8)::bigint as y, round(avg(tod), 6) as mean from samples group by 1, 2")
@@ -350,7 +357,7 @@ def _(spark: SparkSession, d: str) -> DataFrame:
 
 @Q("kn15_noise_fit")
 def _(spark: SparkSession, d: str) -> DataFrame:
-    return S.noise_spectra(samples(spark, d), ["feed"], "sample", "tod")
+    return S.noise_spectra(samples(spark, d), ["obsid", "feed"], "sample", "tod")
 
 
 @Q("kn16_detrend")
@@ -360,7 +367,7 @@ def _(spark: SparkSession, d: str) -> DataFrame:
 
 @Q("kn10_prior_gain")
 def _(spark: SparkSession, d: str) -> DataFrame:
-    return S.prior_gain(samples(spark, d), ["feed"], "sample", "tod", 1.0, 0.5, -2.0)
+    return S.prior_gain(samples(spark, d), ["obsid", "feed"], "sample", "tod", 1.0, 0.5, -2.0)
 
 
 @Q("kn21_right_side", f"with {CELLS}, m as (select pix, sum(wd) / sum(w) as sky from cells group by 1) select o as \"offset\", round(sum(wd - w * sky), 4) as b from cells join m using (pix) group by 1")
@@ -377,7 +384,7 @@ def _(spark: SparkSession, d: str) -> DataFrame:
 
 @Q("kn24_destriper")
 def _(spark: SparkSession, d: str) -> DataFrame:
-    return M.destriped(_cells(spark, d), most_rounds=30)[0]
+    return M.destriped(_cells(spark, d))[0]
 
 
 @Q("kn28_map_masks", "with m as (select pix, sum(w * tod) / sum(w) as naive, sqrt(1 / sum(w)) as rms, count(*) as hits from samples group by 1), e as (select *, pix % 15 < 2 or pix // 15 < 2 or pix % 15 >= 13 or pix // 15 >= 13 as edge from m), c as (select greatest(quantile_cont(hits, 0.05), 1) as low, quantile_cont(naive, 0.005) filter (not edge) as lo, quantile_cont(naive, 0.995) filter (not edge) as hi from e) select pix, case when mask = 0 then round(naive, 6) end as naive, case when mask = 0 then round(rms, 6) end as rms, case when mask = 0 then hits end as hits, mask from (select *, ((case when hits < low then 2 else 0 end) + (case when edge and not naive between lo and hi then 4 else 0 end))::bigint as mask from e, c)")
@@ -392,11 +399,11 @@ def _(spark: SparkSession, d: str) -> DataFrame:
     return m.select("ifreq", "pix", F.round(F.col("total") / F.col("weight"), 6).alias("map"), "hits")
 
 
-@Q("kn40_polynomial_fit", "with t as (select feed, band, channel, (mjd - 59000) / 365.25 as t, measured / expected as g from flux where expected > 0), c as (select feed, band, channel, avg(t) as m from t group by all), u as (select t.*, t.t - m as u, m from t join c using (feed, band, channel)), s as (select feed, band, channel, any_value(m) as m, count(*) as n, sum(u) as s1, sum(u ** 2) as s2, sum(u ** 3) as s3, sum(u ** 4) as s4, sum(g) as y0, sum(u * g) as y1, sum(u ** 2 * g) as y2 from u group by all), k as (select *, n * (s2 * s4 - s3 * s3) - s1 * (s1 * s4 - s3 * s2) + s2 * (s1 * s3 - s2 * s2) as det, n * (s2 * y2 - y1 * s3) - s1 * (s1 * y2 - y1 * s2) + y0 * (s1 * s3 - s2 * s2) as dc from s) select feed, band, channel, n, round(dc / det, 4) as c2 from k where n >= 10")
+@Q("kn40_polynomial_fit", "with t as (select feed, band, channel, (mjd - 59000) / 365.25 as t, measured / expected as g from flux where expected > 0), c as (select feed, band, channel, avg(t) as m from t group by all), u as (select t.*, t.t - m as u, m from t join c using (feed, band, channel)), s as (select feed, band, channel, any_value(m) as m, count(*) as n, sum(u) as s1, sum(u ** 2) as s2, sum(u ** 3) as s3, sum(u ** 4) as s4, sum(g) as y0, sum(u * g) as y1, sum(u ** 2 * g) as y2 from u group by all), k as (select *, n * (s2 * s4 - s3 * s3) - s1 * (s1 * s4 - s3 * s2) + s2 * (s1 * s3 - s2 * s2) as det, n * (s2 * y2 - y1 * s3) - s1 * (s1 * y2 - y1 * s2) + y0 * (s1 * s3 - s2 * s2) as dc, y0 * (s2 * s4 - s3 * s3) - s1 * (y1 * s4 - s3 * y2) + s2 * (y1 * s3 - s2 * y2) as da, n * (y1 * s4 - s3 * y2) - y0 * (s1 * s4 - s3 * s2) + s2 * (s1 * y2 - y1 * s2) as db from s) select feed, band, channel, n, round(da / det - db / det * m + dc / det * m * m, 4) as c0, round(db / det - 2 * dc / det * m, 4) as c1, round(dc / det, 4) as c2 from k where n >= 10")
 def _(spark: SparkSession, d: str) -> DataFrame:
     rows = flux(spark, d).where("expected > 0").withColumn("g", F.col("measured") / F.col("expected"))
     fit = S.polynomial_fit(rows, ["feed", "band", "channel"], "mjd", "g")
-    return fit.where("n >= 10").select("feed", "band", "channel", "n", F.round("c2", 4).alias("c2"))
+    return fit.where("n >= 10").select("feed", "band", "channel", "n", *[F.round(c, 4).alias(c) for c in ("c0", "c1", "c2")])
 
 
 @Q("ct9_split_maps", "select feed % 2 as split, pix, round(sum(w * tod) / sum(w), 6) as map, count(*) as hits from samples group by 1, 2")

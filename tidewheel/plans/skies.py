@@ -43,7 +43,7 @@ def _(spark: SparkSession, d: str) -> DataFrame:
     return rows.select("region", "txt", F.round(K.sexagesimal(F.col("txt")), 9).alias("deg"))
 
 
-@Q("sf11_to_sexagesimal")
+@Q("sf11_to_sexagesimal", "with v as (select region, round(abs(l) / 15 * 360000)::bigint as r, l < 0 as rn, round(abs(b) * 360000)::bigint as c, b < 0 as dn from regions) select region, case when rn then '-' else '' end || lpad((r // 360000)::varchar, 2, '0') || ':' || lpad((r // 6000 % 60)::varchar, 2, '0') || ':' || lpad((r // 100 % 60)::varchar, 2, '0') || '.' || lpad((r % 100)::varchar, 2, '0') as ra, case when dn then '-' else '' end || lpad((c // 360000)::varchar, 2, '0') || ':' || lpad((c // 6000 % 60)::varchar, 2, '0') || ':' || lpad((c // 100 % 60)::varchar, 2, '0') || '.' || lpad((c % 100)::varchar, 2, '0') as dec from v")
 def _(spark: SparkSession, d: str) -> DataFrame:
     return regions(spark, d).select("region", K.to_sexagesimal(F.col("l"), hours=True).alias("ra"), K.to_sexagesimal(F.col("b")).alias("dec"))
 
@@ -110,7 +110,16 @@ def _(spark: SparkSession, d: str) -> DataFrame:
     return samples(spark, d).select("pix").distinct().select("pix", lon.cast("double").alias("lon"), lat.cast("double").alias("lat"))
 
 
-@Q("sf31_healpix_ring")
+def healpix_sql(rows: str, n: int) -> str:
+    """(key, pix) of rows (key, lon, lat): the RING number by the same formulas."""
+    return f"""with p as (select key, sin(radians(lat)) as z, ((lon % 360) + 360) % 360 / 90 as tt from ({rows})),
+q as (select key, z, tt, floor({n} * (0.5 + tt) - {n} * 0.75 * z)::bigint as jp, floor({n} * (0.5 + tt) + {n} * 0.75 * z)::bigint as jm, {n} * sqrt(3.0 * (1 - abs(z))) as root, tt - floor(tt) as tp from p),
+r as (select *, {n + 1} + jp - jm as ir, floor(tp * root)::bigint + floor((1 - tp) * root)::bigint + 1 as ring from q)
+select key, case when abs(z) <= 2.0 / 3 then {2 * n * (n - 1)} + (ir - 1) * {4 * n} + (((jp + jm - {n} + case when ir % 2 = 0 then 1 else 0 end + 1) // 2) % {4 * n} + {4 * n}) % {4 * n}
+  when z > 0 then 2 * ring * (ring - 1) + floor(tt * ring)::bigint % (4 * ring) else {12 * n * n} - 2 * ring * (ring + 1) + floor(tt * ring)::bigint % (4 * ring) end as pix from r"""
+
+
+@Q("sf31_healpix_ring", "select key as region, pix from (" + healpix_sql("select region as key, l as lon, b * 8 as lat from regions", 64) + ")")
 def _(spark: SparkSession, d: str) -> DataFrame:
     return regions(spark, d).select("region", K.healpix_ring(F.col("l"), F.col("b") * 8, 64).alias("pix"))
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+import re
 import tomllib
 from collections.abc import Callable
 from dataclasses import dataclass, field
@@ -78,3 +79,36 @@ def split_keys(df: DataFrame, mode: str, **how: object) -> DataFrame:
     else:
         raise ValueError(f"no split is called {mode}")
     return df.withColumn("split", key)
+
+
+def call(text: str) -> tuple[str, str, dict[str, object]]:
+    """(package, module, arguments) of ``Package.Module(name=value, ...)``.
+
+    Values are quoted texts, lists of texts, True or False, whole or other numbers, else the text as it stands. A text
+    of another form is an error.
+    """
+    whole = re.fullmatch(r"([^()]*)\.([^().]+)\(([^()]*)\)", text)
+    if not whole:
+        raise ValueError(f"not of the form Package.Module(name=value, ...): {text}")
+
+    def value(v: str) -> object:
+        if v.startswith("["):
+            return [x.replace('"', "").strip() for x in v[1:-1].split(",")]
+        if len(v) > 1 and v[0] == v[-1] and v[0] in "\"'":
+            return v[1:-1]
+        if v in ("True", "False"):
+            return v == "True"
+        for kind in (int, float):
+            try:
+                return kind(v)
+            except ValueError:
+                continue
+        return v
+
+    arguments = {}
+    for pair in whole[3].split(", ") if whole[3] else []:
+        name, equals, v = pair.partition("=")
+        if not equals or not v or "=" in v:
+            raise ValueError(f"not name=value: {pair}")
+        arguments[name.strip()] = value(v)
+    return whole[1], whole[2], arguments

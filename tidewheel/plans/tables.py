@@ -24,7 +24,7 @@ def samples(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = raw(spark, sf_dir, "events")
     k = F.get_json_object("props", "$.k").cast("bigint")
     return e.select(
-        F.col("event_id").alias("sample"), (F.col("user_id") % 19 + 1).alias("feed"), (F.col("event_id") % 4).alias("band"), F.floor(F.col("event_id") / 250).alias("scan"),
+        F.col("event_id").alias("sample"), (F.col("user_id") % 19 + 1).alias("feed"), (F.col("event_id") % 4).alias("band"), F.floor(F.col("event_id") / 250).alias("scan"), F.floor(F.col("event_id") / 5000).alias("obsid"),
         F.col("event_type").alias("status"), F.col("value").alias("tod"), k.alias("k"), (k % 4 + 1).cast("double").alias("w"),
         ((F.col("user_id") * 37 + F.col("event_id") * 11) % 211).alias("pix"), mjd(F.col("ts")).alias("mjd"), F.col("ts"),
         (F.lit(40.0) + (F.col("event_id") % 200) / 10.0).alias("el"), (F.lit(100.0) + (F.col("event_id") % 37) / 2.0).alias("az"),
@@ -85,7 +85,7 @@ def spectra(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 #: The same tables for DuckDB.
 SQL = {
-    "samples": "select event_id as sample, user_id % 19 + 1 as feed, event_id % 4 as band, event_id // 250 as scan, event_type as status, value as tod, regexp_extract(props, '[0-9]+')::bigint as k, (regexp_extract(props, '[0-9]+')::bigint % 4 + 1)::double as w, (user_id * 37 + event_id * 11) % 211 as pix, epoch_us(ts) / 86400e6 + 40587.0 as mjd, ts, 40.0::double + (event_id % 200) / 10.0::double as el, 100.0::double + (event_id % 37) / 2.0::double as az from events",
+    "samples": "select event_id as sample, user_id % 19 + 1 as feed, event_id % 4 as band, event_id // 250 as scan, event_id // 5000 as obsid, event_type as status, value as tod, regexp_extract(props, '[0-9]+')::bigint as k, (regexp_extract(props, '[0-9]+')::bigint % 4 + 1)::double as w, (user_id * 37 + event_id * 11) % 211 as pix, epoch_us(ts) / 86400e6 + 40587.0 as mjd, ts, 40.0::double + (event_id % 200) / 10.0::double as el, 100.0::double + (event_id % 37) / 2.0::double as az from events",
     "observations": "select o_orderkey as obsid, list_extract(['TauA,', 'GField10,CasA', 'GField11, ', 'fg10, ,', 'co2', 'Jupiter', 'CygA', 'Field of view', 'fg3', ''], o_custkey % 10 + 1) as source, case when o_orderkey % 11 = 0 then null else list_extract(['Galactic', 'Foreground', 'Calibrator', 'SkyDip', 'CO'], o_custkey % 5 + 1) end as source_group, case when o_orderkey % 13 = 0 then 'Sky Nod run' else 'science' end as comment, case when o_orderkey % 3 = 0 then null when o_orderkey % 7 = 0 then '' else '/data/Level2_scope-' || lpad(o_orderkey::varchar, 7, '0') || '-2020.hd5' end as level2_path, strftime(o_orderdate, '%Y-%m-%d-%H:%M:%S') as utc_start, o_orderdate as started from orders",
     "summaries": "select o_orderkey as obsid, case o_orderstatus when 'F' then 'complete' when 'P' then 'pending' else 'failed' end as processing_status, case when o_orderkey % 9 <> 0 then round(o_totalprice / 1000, 3) end as median_tsys, case when o_orderkey % 4 <> 0 then (o_orderkey % 100) / 100.0::double end as mean_tau, case when o_orderkey % 2 = 0 then o_totalprice end as calibrator_flux, o_orderkey % 17 as n_scans from orders where o_orderkey % 5 <> 0",
     "flags": "select l_orderkey as obsid, l_suppkey % 19 + 1 as pixel, (l_linenumber % 8)::bigint as band, bool_and(l_returnflag <> 'R') as is_good, max(l_quantity) as auto_rms, nullif(max(l_discount), 0) as red_noise, nullif(min(l_tax), 0) as white_noise, -min(l_discount) * 30 as noise_index, count(*) as n_spikes from lineitem group by all",

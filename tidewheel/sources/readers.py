@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import os
+import tomllib
+from collections.abc import Callable
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -98,3 +102,54 @@ def per_scan(cubes: DataFrame, names: list[str]) -> DataFrame:
         else:
             rows = rows.select(*parts, level, *[F.col(f"_e.{n}").alias(n) for n in names])
     return rows
+
+
+def file_metadata(files: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """((obsid, path, attributes), mismatches) of (path, attributes) rows: attributes are a JSON object with ``obsid``.
+
+    Files whose name has no id, or whose attributes don't parse or have no id, are left out; of several files of one
+    attribute id the last path stays. Mismatches are the files whose name has another id than their attributes.
+    """
+    rows = files.select("path", "attributes", obsid_of_path(F.col("path")).alias("named"), F.get_json_object("attributes", "$.obsid").try_cast("bigint").alias("obsid"))
+    rows = rows.where("named is not null and obsid is not null")
+    last = rows.groupBy("obsid").agg(F.max(F.struct("path", "attributes")).alias("f")).select("obsid", "f.path", "f.attributes")
+    return last, rows.where("named <> obsid").select("path", "named", "obsid")
+
+
+def wcs_definition(paths: list[str], name: str) -> dict[str, float]:
+    """A named grid of the first file of definitions that exists, as ``functions.sky.pixel`` takes it; no such file or name is an error."""
+    for path in paths:
+        if os.path.exists(path):
+            with open(path, "rb") as f:
+                known = tomllib.load(f)
+            if name not in known:
+                raise KeyError(f"{path} defines no grid {name}")
+            own = {k.lower(): v for k, v in known[name].items()}
+            return {"nx": own["naxis1"], "ny": own["naxis2"]} | {k: float(own[k]) for k in ("crpix1", "crpix2", "crval1", "crval2", "cdelt1", "cdelt2")}
+    raise FileNotFoundError(f"none of {paths} exists")
+
+
+def map_products(spark: SparkSession, path: str, columns: tuple[str, ...] = ("naive", "rms", "hits")) -> DataFrame:
+    """The images of a map product, a column each."""
+    return spark.read.parquet(f"{path}/map").select("pix", *columns)
+
+
+def parameters(spark: SparkSession, path: str, keys: list[str], values: list[str]) -> DataFrame:
+    """A small table of parameters by key, of distinct keys: a key that comes twice is an error."""
+    rows = spark.read.parquet(path).select(*keys, *values)
+    again = rows.groupBy(*keys).count().where("count > 1").first()
+    if again:
+        raise ValueError(f"parameters of {tuple(again)[:-1]} come twice")
+    return rows
+
+
+def cached(spark: SparkSession, path: str, make: Callable[[], DataFrame], rebuild: bool = False) -> DataFrame:
+    """The table at ``path``, made and written first if it is not there or ``rebuild`` is asked."""
+    if not rebuild:
+        try:
+            return spark.read.parquet(path)
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+    make().write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)

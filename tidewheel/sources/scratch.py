@@ -9,9 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared(spark: SparkSession) -> str:
-    """The folder of ``spark.checkpoint.dir``; a local one is made only where the session names none."""
+    """The folder of ``spark.checkpoint.dir``. Only a local session that names none gets a temporary one; on a cluster that is an error."""
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
+        if not (spark.sparkContext.master or "").startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and the executors share")
         base = "file://" + tempfile.mkdtemp(prefix="tidewheel-")
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(base)

@@ -51,3 +51,13 @@ def map_product(maps: DataFrame, path: str, header: dict[str, object]) -> None:
 def model_table(models: DataFrame, path: str) -> None:
     """Calibration models with coefficients as arrays."""
     models.write.mode("overwrite").parquet(path)
+
+
+def line_cube(cube: DataFrame, path: str) -> None:
+    """A line's cube (ifreq, pix, map and others), only its sky, one folder for each frequency."""
+    cube.select("ifreq", "pix", "map").write.mode("overwrite").partitionBy("ifreq").parquet(path)
+
+
+def stages(maps: DataFrame, path: str, stage: str) -> None:
+    """Cumulative maps, one folder for each stage."""
+    maps.write.mode("overwrite").partitionBy(stage).parquet(path)

@@ -117,12 +117,15 @@ def edited_copies(n_texts=90, seed=11):
 
 
 def test_signs_give_the_likeness():
-    prints = [w for w in E.walk([codes(t) for _, t in edited_copies(12)] + [codes(""), codes("ab"), codes("abc" * 900)])]
+    prints = [w for w in E.walk([codes(""), codes("ab"), codes("abc" * 900), codes("")] + [codes(t) for _, t in edited_copies(13)])]
     every = np.arange(len(prints))
     for threshold in (0.3, 0.8):
         a, b = E.alike(prints, every, every, threshold)
         want = {(i, j) for i in every for j in every if E.likeness(prints[i], prints[j]) >= threshold}
         assert set(zip(a.tolist(), b.tolist(), strict=True)) == want
+        some, unit = prints[:29], np.arange(29) // 10
+        a, b = E.near_pairs(some, unit < 2, unit, threshold)
+        assert set(zip(a.tolist(), b.tolist(), strict=True)) == {(i, j) for i, j in want if i < j < 20 and unit[i] == unit[j]}
 
 
 def test_classes_against_all_pairs(spark):

@@ -21,7 +21,6 @@ row's next is the first, a single row's next is itself. Other columns are ignore
 from __future__ import annotations
 
 import hashlib
-import struct
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,8 +28,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewheel.llm.common import chunks, codes, in_order, stored
-from tidewheel.llm.linking import by_unit, components, forest, units
+from tidewheel.llm.common import chunks, codes, in_order, mix64, stored
+from tidewheel.llm.linking import UNIT, components, forest, unit_starts, units, whole_units
 
 #: Steps of the walk that a fingerprint keeps, about: between half of it and all.
 BITS = 512
@@ -244,14 +243,19 @@ def reaches(level: int, bits: int, threshold: float) -> list[tuple[int, int, int
     return out
 
 
-def samples(level: int, bits: np.ndarray, spread: np.ndarray, threshold: float) -> list[tuple[bytes, int]]:
-    """(bits, reach) of every band of every reach; the places are spread over all of the reach."""
-    out = []
+def samples(level: int, bits: np.ndarray, spread: np.ndarray, threshold: float) -> tuple[list[np.ndarray], list[int]]:
+    """The sampled bits of every band as an integer, and the reach, for every reach; the places are spread over all of the reach."""
+    power = np.uint64(1) << np.arange(spread.shape[1], dtype=np.uint64)
+    out, at = [], []
     for reach, up, steps in reaches(level, len(bits), threshold):
         own = bits[:: 1 << (up - level)]
-        places = (spread * max(1, steps >> up)).astype(np.int64)
-        out += [(row.tobytes(), reach) for row in own[np.minimum(places, max(0, len(own) - 1))]] if len(own) else [(b"", reach)] * len(spread)
-    return out
+        if len(own):
+            places = np.minimum((spread * max(1, steps >> up)).astype(np.int32), len(own) - 1)
+            out.append((own[places] * power).sum(1, dtype=np.uint64))
+        else:
+            out.append(np.zeros(len(spread), np.uint64))
+        at.append(reach)
+    return out, at
 
 
 def alike(prints: list[tuple[int, np.ndarray]], left: np.ndarray, right: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
@@ -279,30 +283,82 @@ def alike(prints: list[tuple[int, np.ndarray]], left: np.ndarray, right: np.ndar
     return np.concatenate(a), np.concatenate(b)
 
 
+#: Rows of a unit that is verified together with others.
+SHORT = 32
+
+
+def near_pairs(prints: list[tuple[int, np.ndarray]], short: np.ndarray, unit: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of rows of one unit, among the rows marked ``short``, with a likeness of ``threshold`` or more.
+
+    Bits are laid out at their own level in rows of bytes; all pairs of rows d apart are compared at once.
+    """
+    rows = np.flatnonzero(short)
+    level, n = np.array([prints[r][0] for r in rows]), np.array([len(prints[r][1]) for r in rows])
+    flat = np.zeros((len(rows), 2 * BITS), np.uint8)
+    for k, r in enumerate(rows.tolist()):
+        flat[k, : n[k]] = prints[r][1]
+    packed, own = np.packbits(flat, axis=1).view(np.uint64), unit[rows]
+    mask = np.packbits(np.arange(2 * BITS)[None, :] < np.arange(2 * BITS + 1)[:, None], axis=1).view(np.uint64)  # by length
+    a, b = [], []
+    for d in range(1, SHORT):
+        i = np.flatnonzero(own[d:] == own[:-d]) if len(own) > d else np.zeros(0, int)
+        if not len(i):
+            break
+        j = i + d
+        same = level[i] == level[j]
+        for x, y in zip(i[~same].tolist(), j[~same].tolist(), strict=True):  # a level apart
+            if likeness(prints[rows[x]], prints[rows[y]]) >= threshold - 1e-9:
+                a.append([rows[x]])
+                b.append([rows[y]])
+        i, j = i[same], j[same]
+        less, more = np.minimum(n[i], n[j]), np.maximum(n[i], n[j])
+        differ = np.bitwise_count((packed[i] ^ packed[j]) & mask[less]).sum(1, dtype=np.int64)
+        near = (less - 2 * differ >= threshold * more - 1e-6) | (more == 0)
+        a.append(rows[i[near]])
+        b.append(rows[j[near]])
+    return tuple(np.concatenate([np.zeros(0, np.int64), *side]).astype(np.int64) for side in (a, b))
+
+
 def links(prints: DataFrame, threshold: float, recall: float, block: int) -> DataFrame:
     """(a, b): verified links of (node, print) rows, print a fingerprint's bytes. Buckets are worked through in pairs of blocks."""
     width, bands = bands_for(prints.count(), threshold, recall)
     spread = np.random.default_rng(7).random((bands, width))
 
     def lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        band = np.arange(bands, dtype=np.uint64)
         for batch in batches:
-            value, node = [], []
-            for n, p in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                for k, (own, reach) in enumerate(samples(*bits_in(p), spread, threshold)):
-                    value.append(int.from_bytes(hashlib.blake2b(own, digest_size=8, person=struct.pack("<HH", reach, k % bands)).digest(), "little") >> 1)
-                    node.append(n)
-            yield pa.RecordBatch.from_arrays([pa.array(value, pa.int64()), pa.array(node, pa.int64())], names=["value", "node"])
-
-    def verify(unit: tuple, rows: pa.Table) -> Iterator[pa.RecordBatch]:
-        own, node = rows.column("own").to_numpy(), rows.column("node").to_numpy()
-        left, right = np.flatnonzero(own == unit[1]), np.flatnonzero(own == unit[2])
-        if len(node) < 2 or not len(left) or not len(right):
-            return
-        a, b = alike([bits_in(p) for p in rows.column("print").to_pylist()], left, right, threshold)
-        joined = forest(len(node), a[a != b], b[a != b])
-        if joined:
-            x, y = (np.array(c) for c in zip(*joined, strict=True))
-            yield pa.RecordBatch.from_arrays([pa.array(node[x]), pa.array(node[y])], names=["a", "b"])
-
-    listed = units(prints.mapInArrow(lists, "value long, node long"), block)
-    return by_unit(listed.join(prints, "node"), verify, "a long, b long")
+            value, reach, node, count = [], [], batch.column(0).to_numpy(), []
+            for p in batch.column(1).to_pylist():
+                own, at = samples(*bits_in(p), spread, threshold)
+                value += own
+                reach += at
+                count.append(len(at))
+            salt = np.array(reach, np.uint64)[:, None] * np.uint64(1 << 20) + band
+            mixed = mix64(mix64(np.array(value, np.uint64).reshape(-1, bands)) ^ mix64(salt + np.uint64(1))) >> np.uint64(1)
+            yield pa.RecordBatch.from_arrays([pa.array(mixed.ravel().astype(np.int64)), pa.array(np.repeat(np.repeat(node, count), bands))], names=["value", "node"])
+
+    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Short units lie in one batch and are verified together; the last unit of a batch is held back until it is whole."""
+        for rows in whole_units(batches):
+            node, own = rows.column("node").to_numpy(), rows.column("own").to_numpy()
+            prints = [bits_in(p) for p in rows.column("print").to_pylist()]
+            begins = unit_starts(rows)
+            size = np.diff([*begins, len(node)])
+            short = np.repeat((size <= SHORT) & (rows.column("bi").to_numpy() == rows.column("bj").to_numpy())[begins], size)
+            pairs = [near_pairs(prints, short, np.repeat(np.arange(len(size)), size), threshold)]
+            for lo, n in zip(begins.tolist(), size.tolist(), strict=True):
+                if not short[lo] and n > 1:
+                    part, bi, bj = own[lo : lo + n], rows.column("bi")[lo].as_py(), rows.column("bj")[lo].as_py()
+                    left, right = np.flatnonzero(part == bi), np.flatnonzero(part == bj)
+                    if len(left) and len(right):
+                        pairs.append(tuple(lo + x for x in alike(prints[lo : lo + n], left, right, threshold)))
+            a, b = (node[np.concatenate([p[k] for p in pairs])] for k in (0, 1))
+            names, at = np.unique(np.concatenate([a, b]), return_inverse=True)
+            joined = forest(len(names), at[: len(a)], at[len(a) :])
+            if joined:
+                x, y = (np.array(c) for c in zip(*joined, strict=True))
+                yield pa.RecordBatch.from_arrays([pa.array(names[x]), pa.array(names[y])], names=["a", "b"])
+
+    postings = stored(prints.mapInArrow(lists, "value long, node long"), "postings")
+    rows = units(postings, block).join(prints, "node").select(*UNIT, "own", "node", "print")
+    return rows.repartition(*UNIT).sortWithinPartitions(*UNIT, "node").mapInArrow(verify, "a long, b long")

@@ -54,6 +54,33 @@ def by_unit(rows: DataFrame, f: Callable[[dict, list], Iterator[pa.RecordBatch]
     return rows.select(*UNIT, *names).repartition(*UNIT).sortWithinPartitions(*UNIT, "node").mapInArrow(apply, schema)
 
 
+def unit_starts(rows: pa.Table) -> np.ndarray:
+    """Where each unit of sorted rows starts."""
+    new = np.ones(rows.num_rows, bool)
+    if rows.num_rows:
+        new[1:] = np.logical_or.reduce([np.diff(rows.column(c).to_numpy()) != 0 for c in UNIT])
+    return np.flatnonzero(new)
+
+
+def whole_units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """Tables of whole units from sorted rows: the last unit of a batch waits for the next."""
+    held: list[pa.Table] = []
+    for batch in batches:
+        table = pa.Table.from_batches([batch])
+        if not table.num_rows:
+            continue
+        if held and all(held[-1].column(c)[-1].as_py() == table.column(c)[-1].as_py() for c in UNIT):
+            held.append(table)  # one unit goes on through the whole batch
+            continue
+        rows = pa.concat_tables([*held, table])
+        last = int(unit_starts(rows)[-1])
+        if last:
+            yield rows.slice(0, last)
+        held = [rows.slice(last)]
+    if held:
+        yield pa.concat_tables(held)
+
+
 #: Values that are compared at once.
 SLICE = 1_000_000
 

@@ -183,14 +183,19 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x
 
 
+#: Strata whose counts are broadcast.
+FEW_STRATA = 10_000
+
+
 def bounded_ids(ids: DataFrame, strata: str, most: int, seed: int = 0) -> DataFrame:
     """About ``most`` rows of each value of ``strata``, those with the lowest hashes of ``doc_id``; all of them where there are fewer.
 
-    The cut for each stratum is its share of the hash range, so that no row is sorted or gathered. The strata's
-    counts are joined, so there may be any number of them.
+    The cut for each stratum is its share of the hash range, so that no row is sorted or gathered. Up to ``FEW_STRATA``
+    strata are counted into a broadcast table; beyond, their counts meet the rows in a shuffle join.
     """
     light(ids.sparkSession)
     seen = ids.groupBy(F.col(strata).alias("_stratum")).agg(F.count(F.lit(1)).alias("_count"))
+    seen = F.broadcast(seen) if len(seen.limit(FEW_STRATA + 1).collect()) <= FEW_STRATA else seen
     spin = F.pmod(F.xxhash64(F.lit(seed), F.col("doc_id")), F.lit(1 << 30)) / float(1 << 30)
     return ids.join(seen, F.col(strata).eqNullSafe(F.col("_stratum"))).where((F.col("_count") <= most) | (spin * F.col("_count") < most)).select(*ids.columns)
 

@@ -16,6 +16,7 @@ HEADLINE = [
     "kn28_map_masks", "ag15_bin_tod_to_map", "ag23_median_mjd", "wn21_cumulative_maps", "kn21_right_side", "kn23_destriper_matvec", "ag12_auto_rms", "wn5_moving_median",
     "wn10_gap_fill", "jn12_asof_backward", "jn13_nearest_join", "jn14_linear_join", "kn1_atmosphere", "ag14_frequency_bins", "kn7_gain_solution", "jn1_flags_catalogue",
     "jn6_reconcile", "ag4_coverage_by_group", "ag37_residuals", "kn40_polynomial_fit", "mu1_insert_or_update", "mu14_observer_flags", "jn16_nearest_field", "sf14_equatorial_to_galactic",
+    "jn11_interval_join", "wn5_long_median", "ag28_best_fold", "kn15_noise_fit", "kn16_detrend", "kn18_process_scan", "kn47_gain_filter_and_bin",
 ]
 
 

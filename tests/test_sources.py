@@ -3,7 +3,8 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from tidewheel.plans import steps
+from tidewheel.operators import jobs as J
+from tidewheel.plans import library, steps
 from tidewheel.plans.tables import flags, observations, samples
 from tidewheel.sources import readers as R
 from tidewheel.sources import writers as W
@@ -128,3 +129,59 @@ def test_unprocessed(spark, tmp_path):
     stream = I.unprocessed(I.source(spark, str(tmp_path / "in"), done.schema), done)
     I.written(stream, str(tmp_path / "out"), str(tmp_path / "c")).awaitTermination(120)
     assert sorted(r["obsid"] for r in spark.read.parquet(str(tmp_path / "out")).collect()) == [3, 4, 5]
+
+
+def test_retried_and_timed():
+    waits, tries = [], []
+
+    def read(path):
+        tries.append(path)
+        if len(tries) < 3:
+            raise OSError("busy")
+        return 7
+
+    assert R.retried(read, "/a/scope-0029828-2022.hd5", sleep=waits.append) == 7
+    assert len(waits) == 2 and 1.4 <= waits[0] <= 2.6 and 2.8 <= waits[1] <= 5.2
+
+    def broken(path):
+        raise OSError("gone")
+
+    for path, obsid in (("/a/scope-0029828-2022.hd5", 29828), ("/a/junk.hd5", -1)):
+        waits.clear()
+        with pytest.raises(R.BadFile) as e:
+            R.retried(broken, path, most=3, sleep=waits.append)
+        assert e.value.obsid == obsid and len(waits) == 3
+    rows = R.timed_reads(lambda p: 5 if p == "x" else broken(p), ["x", "y"], 2)
+    assert [(r[0], r[1], r[4], r[5]) for r in rows] == [(2, "x", 5, None), (2, "y", 0, "gone")] and all(r[2] <= r[3] for r in rows)
+
+
+def test_registered(spark, tmp_path):
+    spark.range(2).write.parquet(str(tmp_path / "a.parquet"))
+    a, b = R.registered(spark, str(tmp_path), {"a": "id bigint", "b": "id bigint"}, "own_")
+    assert spark.sql(f"select (select count(*) from {a}), (select count(*) from {b})").first() == (2, 0)
+
+
+def test_job_books(spark, tmp_path):
+    rows = spark.createDataFrame([("a", "x"), ("a", "y"), ("b", "x"), ("b", None), (None, "z")], "label string, path string")
+    jobs = {r["label"]: (r["n"], r["token"]) for r in J.map_jobs(rows, {"p": 1}).collect()}
+    assert {k: v[0] for k, v in jobs.items()} == {"a": 2, "b": 1, None: 1} and len({v[1] for v in jobs.values()}) == 3
+    assert {r["token"] for r in J.map_jobs(rows.orderBy(F.desc("path")), {"p": 1}).collect()} == {v[1] for v in jobs.values()}
+    assert not {r["token"] for r in J.map_jobs(rows, {"p": 2}).collect()} & {v[1] for v in jobs.values()}
+    W.job_files(rows, J.map_jobs(rows, {"p": 1}), str(tmp_path / "jobs"))
+    assert sorted(r["value"] for r in spark.read.text(str(tmp_path / "jobs/lists")).collect()) == ["x", "x", "y", "z"]
+    there, lost = J.absent(spark.createDataFrame([(1, "x"), (2, "q"), (3, None), (4, "")], "obsid int, path string"), rows.select("path"))
+    assert [r["obsid"] for r in there.collect()] == [1]
+    assert sorted(tuple(r) for r in lost.collect()) == [(2, "files", "no file q"), (3, "files", "no path"), (4, "files", "no path")]
+    rates = J.read_rates(spark.createDataFrame([(1, 0.0, 2.0, 1 << 20, None), (1, 1.0, 4.0, 1 << 20, None), (2, 1.0, 1.0, 0, "bad")], "k int, began double, ended double, bytes long, error string"), ["k"])
+    assert {tuple(round(v, 9) if isinstance(v, float) else v for v in r) for r in rates.collect()} == {(1, 4.0, 0.5, 2.5, 2.95, 0), (2, 0.0, None, None, None, 1)}
+
+
+def test_library_steps(spark):
+    df = spark.createDataFrame([(1, 1.0, 2.0), (1, 3.0, 2.0), (2, float("nan"), 1.0), (2, None, 1.0), (2, float("inf"), 1.0), (3, 5.0, 0.0)], "pix int, tod double, w double")
+    text = '[pipeline]\nsteps = ["Clean.Finite", {name = "Maps.Binned", keys = ["pix"], value = "tod", weight = "w"}]\n[Clean.Finite]\ncolumns = ["tod"]\n'
+    assert {tuple(r) for r in steps.Config.loads(text).apply(df).collect()} == {(1, 2.0, 4.0, 2), (3, None, 0.0, 1)}
+    assert library.between(df, "tod", 1.0, 3.0).count() == 2 and library.where(df, "pix = 3").count() == 1
+    out, bad = steps.run(steps.Config(), spark.createDataFrame([(1, 1), (2, None)], "obsid int, v int"), df.withColumnRenamed("pix", "obsid"), {"no v": F.col("v").isNotNull()})
+    assert out.count() == 2 and [tuple(r) for r in bad.collect()] == [(2, "check", "no v")]
+    with pytest.raises(ValueError):
+        steps.preset(df, "no such", "pix", "tod", "w")

@@ -26,6 +26,13 @@ def less_atmosphere(df: DataFrame, fit: DataFrame, keys: list[str], value: str,
     return rows.withColumn(out, F.col(value) - F.col("offset") - F.coalesce(F.col("tau"), F.lit(0.0)) / F.sin(F.radians(el))).drop("offset", "tau")
 
 
+def airmass_templates(df: DataFrame, keys: list[str], el: str = "el", az: str = "az") -> DataFrame:
+    """Adds ``air``, the airmass less its mean over the keys, and ``dev``, the azimuth less its circular mean, in degrees."""
+    x, a = 1 / F.sin(F.radians(el)), F.radians(az)
+    mean = df.groupBy(*keys).agg(F.avg(x).alias("_m"), F.degrees(F.atan2(F.avg(F.sin(a)), F.avg(F.cos(a)))).alias("_a"))
+    return df.join(mean, keys).withColumn("air", x - F.col("_m")).withColumn("dev", F.col(az) - F.col("_a")).drop("_m", "_a")
+
+
 def frequency_bins(df: DataFrame, keys: list[str], channel: str, size: int, value: str, weight: str, freq: str) -> DataFrame:
     """(keys, bin, value, freq, width, masked): weighted mean of blocks of ``size`` channels, null without weight, weighted centre and rms width; masked without weight or where more than half the channels weigh nothing."""
     w, v, f = F.col(weight), F.col(value), F.col(freq)

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from tidewheel.plans import additions, lookups, more, rest, series, skies
+from tidewheel.plans import additions, jobs, lookups, more, rest, series, skies
 from tidewheel.plans.tables import Query
 
-BOOKS = (lookups.book, series.book, skies.book, more.book, rest.book, additions.book)
+BOOKS = (lookups.book, series.book, skies.book, more.book, rest.book, additions.book, jobs.book)
 
 
 def queries() -> dict[str, Query]:

@@ -144,9 +144,8 @@ def _(spark: SparkSession, d: str) -> DataFrame:
 
 @Q("wn27_airmass_template", "select sample, round(1 / sin(radians(el)) - avg(1 / sin(radians(el))) over (partition by feed, scan), 6) as air, round(az - degrees(atan2(avg(sin(radians(az))) over (partition by feed, scan), avg(cos(radians(az))) over (partition by feed, scan))), 6) as dev from samples")
 def _(spark: SparkSession, d: str) -> DataFrame:
-    rows = samples(spark, d).select("feed", "scan", "sample", "az", (1 / F.sin(F.radians("el"))).alias("x"))
-    mean = rows.groupBy("feed", "scan").agg(F.avg("x").alias("m"), F.degrees(F.atan2(F.avg(F.sin(F.radians("az"))), F.avg(F.cos(F.radians("az"))))).alias("a"))
-    return rows.join(mean, ["feed", "scan"]).select("sample", F.round(F.col("x") - F.col("m"), 6).alias("air"), F.round(F.col("az") - F.col("a"), 6).alias("dev"))
+    rows = S.airmass_templates(samples(spark, d), ["feed", "scan"])
+    return rows.select("sample", F.round("air", 6).alias("air"), F.round("dev", 6).alias("dev"))
 
 
 INTERVALS = "iv as (select obsid, feed, min(sample) + scan % 30 as lo, max(sample) + scan % 17 * 20 as hi, scan from samples group by obsid, feed, scan)"

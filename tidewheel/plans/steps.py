@@ -64,6 +64,23 @@ def errors(df: DataFrame, key: str, checks: dict[str, object]) -> tuple[DataFram
     return rows.where(F.size("_failed") == 0).drop("_failed"), rows.where(F.size("_failed") > 0).select(key, F.lit("check").alias("step"), F.explode("_failed").alias("message"))
 
 
+def run(config: Config, work: DataFrame, samples: DataFrame, checks: dict[str, object]) -> tuple[DataFrame, DataFrame]:
+    """(result, errors) of a configuration over the samples of those observations of ``work`` that pass all checks; one job, whatever their number."""
+    good, bad = errors(work, "obsid", checks)
+    return config.apply(samples.join(good.select("obsid").distinct(), "obsid", "left_semi")), bad
+
+
+#: The named kinds of map and the split that each stands for.
+PRESETS: dict[str, dict[str, object]] = {"map": {"mode": "none"}, "map_per_feed": {"mode": "per_feed"}, "map_day_night": {"mode": "day_night", "threshold": 0.0}, "line_map": {"mode": "custom", "column": "ifreq"}}
+
+
+def preset(df: DataFrame, name: str, pix: str, value: str, weight: str) -> DataFrame:
+    """(split, pix, map, weight, hits): the maps of a named kind in one job."""
+    if name not in PRESETS:
+        raise ValueError(f"no kind of map is called {name}")
+    return STEPS["Maps.Binned"](split_keys(df, **PRESETS[name]), keys=["split", pix], value=value, weight=weight)
+
+
 def split_keys(df: DataFrame, mode: str, **how: object) -> DataFrame:
     """Adds ``split``, a key that map-making groups by: none, per_feed, day_night (sun altitude above a threshold), alternate_scans or custom (a column)."""
     if mode == "none":

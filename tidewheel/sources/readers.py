@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import os
+import random
+import time
 import tomllib
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -18,6 +21,46 @@ FLAG_COLUMNS = "obsid_start string, obsid_end string, pixels string, sidebands s
 FIELD_COLUMNS = "field_name string, ra string, dec string, `group` string, notes string"
 
 
+class BadFile(Exception):
+    """A file that can't be read; ``obsid`` is the id in its name, or -1."""
+
+    def __init__(self, obsid: int, message: str) -> None:
+        super().__init__(f"{obsid}: {message}")
+        self.obsid = obsid
+
+
+def retried(read: Callable[[str], object], path: str, most: int = 8, delay: float = 2.0, factor: float = 2.0, sleep: Callable[[float], None] = time.sleep) -> object:
+    """What ``read`` gives of a path on the driver: after an OSError it waits, each time ``factor`` times longer and up to 30 % more or less, and tries again, at most ``most`` times more; then BadFile.
+
+    Spark's own scans need none of this: their tasks are tried again by the scheduler.
+    """
+    for n in range(most + 1):
+        try:
+            return read(path)
+        except OSError as e:
+            last = e
+            if n < most:
+                sleep(delay * factor**n * random.uniform(0.7, 1.3))
+    parts = os.path.basename(path).split("-")
+    obsid = int(parts[1]) if len(parts) > 1 and parts[1].isascii() and parts[1].isdigit() else -1
+    raise BadFile(obsid, f"can't read {path} after {most} further tries: {last}")
+
+
+def timed_reads(read: Callable[[str], int], paths: list[str], workers: int) -> list[tuple[int, str, float, float, int, str | None]]:
+    """(workers, path, began, ended, bytes, error) of reading each path once with so many threads; for ``operators.jobs.read_rates``."""
+
+    def one(path: str) -> tuple[int, str, float, float, int, str | None]:
+        began = time.perf_counter()
+        try:
+            size, error = read(path), None
+        except (OSError, BadFile) as e:
+            size, error = 0, str(e)
+        return workers, path, began, time.perf_counter(), size, error
+
+    with ThreadPoolExecutor(workers) as pool:
+        return list(pool.map(one, paths))
+
+
 def listed(spark: SparkSession, root: str, pattern: str = "*.hd5") -> DataFrame:
     """(path, modified, size) of the files below a folder; contents aren't read."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", pattern).load(root)
@@ -63,6 +106,11 @@ def field_csv(spark: SparkSession, path: str) -> DataFrame:
     return rows.withColumn("l", lon).withColumn("b", lat)
 
 
+def text_csv(spark: SparkSession, path: str) -> DataFrame:
+    """All columns of a CSV file with a header, as they stand, as text."""
+    return spark.read.csv(path, header=True, inferSchema=False)
+
+
 def region_csv(spark: SparkSession, path: str, lon: str, lat: str) -> DataFrame:
     """Catalogue rows that have both coordinates, renamed l and b; a missing column is an error."""
     rows = spark.read.csv(path, header=True, inferSchema=True)
@@ -91,6 +139,13 @@ def optional(spark: SparkSession, path: str, schema: StructType | str) -> DataFr
         raise
 
 
+def registered(spark: SparkSession, folder: str, schemas: dict[str, str], prefix: str = "") -> list[str]:
+    """Names the tables of a folder as views that ``spark.sql`` can ask; a table that isn't there yet has no rows."""
+    for name, schema in schemas.items():
+        optional(spark, f"{folder}/{name}.parquet", schema).createOrReplaceTempView(prefix + name)
+    return [prefix + name for name in schemas]
+
+
 def per_scan(cubes: DataFrame, names: list[str]) -> DataFrame:
     """One row for each (feed, band, channel, scan) of nested array columns ``names``, all of one shape."""
     rows = cubes.select(*[c for c in cubes.columns if c not in names], F.arrays_zip(*names).alias("_z"))

@@ -61,3 +61,11 @@ def line_cube(cube: DataFrame, path: str) -> None:
 def stages(maps: DataFrame, path: str, stage: str) -> None:
     """Cumulative maps, one folder for each stage."""
     maps.write.mode("overwrite").partitionBy(stage).parquet(path)
+
+
+def job_files(files: DataFrame, jobs: DataFrame, path: str) -> None:
+    """A map job's list of files (label, path) and its row (label, n, token), one folder for each label and token."""
+    jobs.write.mode("overwrite").parquet(f"{path}/jobs")
+    own = files.sparkSession.read.parquet(f"{path}/jobs").select(F.col("label").alias("_label"), "token")
+    rows = files.where("path is not null").join(own, F.col("label").eqNullSafe(F.col("_label")))
+    rows.select("label", "token", F.col("path").alias("value")).write.mode("overwrite").partitionBy("label", "token").text(f"{path}/lists")

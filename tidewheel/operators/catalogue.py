@@ -10,13 +10,15 @@ from tidewheel.functions.values import blank, matches_source, percent
 PIXELS, BANDS = range(1, 20), range(8)
 
 
-def by_group(obs: DataFrame, group: str | None, source: str | None = None, least: int = 7000, most: int = 1_000_000, strict: bool = False) -> DataFrame:
-    """Observations of a group within inclusive id bounds; any other group means Galactic or Foreground unless ``strict``."""
+def by_group(obs: DataFrame, group: str | None, source: str | None = None, least: int | None = 7000, most: int | None = 1_000_000, strict: bool = False) -> DataFrame:
+    """Observations of a group within inclusive id bounds (None: no bound); any other group means Galactic or Foreground unless ``strict``."""
     if group in ("SkyDip", "Calibrator") or strict:
         own = F.col("source_group") == group
     else:
         own = F.col("source_group").isin("Galactic", "Foreground")
-    return obs.where(own & matches_source(F.col("source"), source) & F.col("obsid").between(least, most))
+    rows = obs.where(own & matches_source(F.col("source"), source))
+    rows = rows if least is None else rows.where(F.col("obsid") >= least)
+    return rows if most is None else rows.where(F.col("obsid") <= most)
 
 
 def by_ids(obs: DataFrame, ids: DataFrame, least: int = 7000) -> DataFrame:

@@ -375,7 +375,7 @@ def _(spark: SparkSession, d: str) -> DataFrame:
 @Q("ct7_resolve_files", "select obsid, level2_path from observations o where source_group in ('Galactic', 'Foreground') and level2_path <> '' and exists (select 1 from flags f where f.obsid = o.obsid and is_good)")
 def _(spark: SparkSession, d: str) -> DataFrame:
     good = flags(spark, d).where("is_good").select("obsid")
-    return C.by_group(observations(spark, d), "Galactic", least=0).where("level2_path <> ''").join(good, "obsid", "left_semi").select("obsid", "level2_path")
+    return C.by_group(observations(spark, d), "Galactic", least=None, most=None).where("level2_path <> ''").join(good, "obsid", "left_semi").select("obsid", "level2_path")
 
 
 @Q("ct11_chunk_files", "select obsid, (row_number() over (order by obsid) - 1) // 20 as chunk from observations o where source ilike '%field%' and obsid between 50 and 2000 and level2_path is not null and not exists (select 1 from flags f where f.obsid = o.obsid group by f.obsid having not bool_or(is_good))")
